@@ -1,0 +1,101 @@
+"""Deterministic adapter from the driver's ``events`` table to Kafka-shaped messages.
+
+Each event becomes one message on one of the three topics. The rule (see FIXTURES.md §7) is plain
+column arithmetic, so it runs as one projection with no shuffle, in batch or streaming plans, and
+an equivalent DuckDB query can be written for the oracle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from zoneflow import schemas as S
+from zoneflow.functions.text import iso_text, sensor_id
+
+
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+
+
+def zone_lookup(idx: Column) -> Column:
+    """The zone-dimension struct (name, lat, lon, aqi_modifier, free_flow, rush_hours) at ``idx``.
+
+    A literal array of five structs: a per-row lookup in generated code, no join.
+    """
+    arr = F.array(*[
+        F.struct(F.lit(name).alias("name"), F.lit(lat).alias("lat"), F.lit(lon).alias("lon"),
+                 F.lit(mod).alias("aqi_modifier"), F.lit(ff).alias("free_flow"),
+                 F.array(*[F.lit(h) for h in rush]).alias("rush_hours"))
+        for name, lat, lon, mod, ff, rush in S.ZONES
+    ])
+    return F.element_at(arr, (idx + 1).cast("int"))
+
+
+def _dbl(c: Column) -> Column:
+    return c.cast("double")
+
+
+def events_to_messages(events: DataFrame) -> DataFrame:
+    """Kafka-shaped rows: key, value, topic, partition, offset, timestamp, timestampType."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    zone = zone_lookup(F.col("user_id") % 5)
+    name = zone["name"]
+    zone_text = F.when(F.col("user_id") % 10 >= 5, F.concat(F.lit(" "), F.upper(name), F.lit(" "))
+                       ).otherwise(name)
+    ts_text = iso_text("ts")
+    quarter = _dbl(k) / 4
+
+    aqi = F.struct(
+        sensor_id(S.AQI_TOPIC, name).alias("sensor_id"), zone_text.alias("zone"),
+        zone["lat"].alias("lat"), zone["lon"].alias("lon"),
+        (k * 4).alias("aqi"), (_dbl(k) / 2).alias("pm25"), _dbl(k).alias("pm10"),
+        quarter.alias("no2"), (_dbl(k) / 8).alias("co"),
+        (quarter + 20).alias("temperature"), _dbl(k).alias("humidity"),
+        F.col("value").alias("wind"), ts_text.alias("timestamp"),
+    )
+    traffic = F.struct(
+        sensor_id(S.TRAFFIC_TOPIC, name).alias("sensor_id"), zone_text.alias("zone"),
+        zone["lat"].alias("lat"), zone["lon"].alias("lon"), ts_text.alias("timestamp"),
+        (F.lit(50.0) - _dbl(k) / 2).alias("current_speed_kmph"),
+        F.lit(50).alias("free_flow_speed"), _dbl(k).alias("congestion_pct"),
+        (F.col("event_type") == "error").alias("road_closure"),
+        F.lit("fixture").alias("data_source"),
+    )
+    weather = F.struct(
+        sensor_id(S.WEATHER_TOPIC, name).alias("sensor_id"), zone_text.alias("zone"),
+        zone["lat"].alias("lat"), zone["lon"].alias("lon"),
+        (quarter + 20).alias("temperature_c"), F.col("value").alias("wind_speed_kmph"),
+        k.alias("humidity_pct"), (_dbl(k) / 16).alias("rainfall_mm"),
+        (quarter + 1000).alias("pressure_hpa"), ts_text.alias("timestamp"),
+    )
+    slot = F.col("event_id") % 3
+    topic = (F.when(slot == 0, S.AQI_TOPIC).when(slot == 1, S.TRAFFIC_TOPIC)
+             .otherwise(S.WEATHER_TOPIC))
+    payload = (F.when(slot == 0, F.to_json(aqi)).when(slot == 1, F.to_json(traffic))
+               .otherwise(F.to_json(weather)))
+    return events.select(
+        F.lit(None).cast("binary").alias("key"),
+        F.encode(payload, "UTF-8").alias("value"),
+        topic.alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+
+
+def read_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch stand-in for a bounded Kafka read over all three topics."""
+    return events_to_messages(read_events(spark, sf_dir))
+
+
+def read_message_stream(spark: SparkSession, sf_dir: str,
+                        max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming stand-in: a file stream over ``events.parquet`` turned into messages."""
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
+    reader = (spark.readStream.schema(schema)
+              .option("pathGlobFilter", "events.parquet"))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return events_to_messages(reader.parquet(sf_dir))
