@@ -129,3 +129,12 @@ def reject_report(messages: DataFrame) -> DataFrame:
     return (with_reject_reason(messages)
             .groupBy("topic", F.coalesce("reject_reason", F.lit("ok")).alias("outcome"))
             .agg(F.count(F.lit(1)).alias("messages")))
+
+
+def expand_payload(messages: DataFrame, topic: str) -> DataFrame:
+    """PRJ-02/03 as the per-topic streams do it: the payload's own field names (``data.*``)."""
+    schema = S.FEED_SCHEMAS[topic]
+    return (route(messages, topic)
+            .select(F.from_json("json_payload", schema).alias("data"))
+            .select(*[_clean(F.col(f"data.{f.name}"), f.dataType).alias(f.name)
+                      for f in schema.fields]))

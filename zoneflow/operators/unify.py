@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from zoneflow import schemas as S
 from zoneflow.functions.rules import with_unified_rules
+from zoneflow.functions.times import ntz
 from zoneflow.operators import latest as L
 from zoneflow.operators import parse as P
 
@@ -51,7 +52,7 @@ def unified_rows(joined: DataFrame, synchronized_time: Column) -> DataFrame:
 
 def as_of_literal(as_of: dt.datetime) -> Column:
     """A fixed processing time (``timestamp_ntz``), constant for the whole batch."""
-    return F.lit(as_of).cast("timestamp_ntz")
+    return ntz(as_of)
 
 
 def unified_snapshot(messages: DataFrame, as_of: dt.datetime,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow import schemas as S
+from zoneflow.functions.times import between_inclusive
 
 DEFAULT_LOGIN_MODULE = "org.apache.kafka.common.security.plain.PlainLoginModule"
 
@@ -105,8 +106,7 @@ def within_lookback(df: DataFrame, as_of: dt.datetime, lookback_minutes: int,
     A plain range predicate, so it reaches the Parquet scan as a pushed filter.
     """
     start = as_of - dt.timedelta(minutes=lookback_minutes)
-    t = F.col(time_col)
-    return df.filter((t >= F.lit(start)) & (t <= F.lit(as_of)))
+    return df.filter(between_inclusive(time_col, start, as_of))
 
 
 def within_offsets(messages: DataFrame, starting: int | None = None,
