@@ -85,10 +85,8 @@ def parse_all(messages: DataFrame) -> DataFrame:
             .select("topic", zone.alias("norm_zone"), *KAFKA_COLS, *readings))
 
 
-def _bad_type(topic: str) -> Column:
+def _bad_type(topic: str, raw: Column, typed: Column) -> Column:
     """True when a field is present in the payload but did not parse into its declared type."""
-    raw = F.from_json("json_payload", "map<string,string>")
-    typed = F.from_json("json_payload", S.FEED_SCHEMAS[topic])
     checks = [raw[f.name].isNotNull() & typed[f.name].isNull() for f in S.FEED_SCHEMAS[topic].fields]
     out = checks[0]
     for c in checks[1:]:
@@ -101,19 +99,26 @@ def with_reject_reason(messages: DataFrame) -> DataFrame:
 
     Reasons: ``unknown_topic``, ``malformed_json`` (not a JSON object), ``missing_zone``
     (null or blank zone), ``bad_field_type`` (a present field of the wrong type; it would be read
-    as null). Nothing is dropped here: the caller splits valid and rejected rows.
+    as null). Nothing is dropped here: the caller splits valid and rejected rows. The payload is
+    parsed twice per row (as text values and as the topic's typed struct), each once, in one
+    projection; the checks read those columns in the next.
     """
-    raw = F.from_json("json_payload", "map<string,string>")
-    zone = normalize_zone(F.get_json_object("json_payload", "$.zone"))
     topic = F.col("topic")
-    bad_type = (F.when(topic == S.AQI_TOPIC, _bad_type(S.AQI_TOPIC))
-                .when(topic == S.TRAFFIC_TOPIC, _bad_type(S.TRAFFIC_TOPIC))
-                .otherwise(_bad_type(S.WEATHER_TOPIC)))
+    typed = [F.when(topic == t, F.from_json("json_payload", S.FEED_SCHEMAS[t])).alias(f"_t{i}")
+             for i, t in enumerate(S.TOPICS)]
+    parsed = messages.select(
+        "*", F.from_json("json_payload", "map<string,string>").alias("_raw"), *typed)
+    raw = F.col("_raw")
+    zone = normalize_zone(raw["zone"])
+    bad_type = F.lit(False)
+    for i, t in enumerate(S.TOPICS):
+        bad_type = F.when(topic == t, _bad_type(t, raw, F.col(f"_t{i}"))).otherwise(bad_type)
     reason = (F.when(~topic.isin(*S.TOPICS) | topic.isNull(), "unknown_topic")
               .when(raw.isNull(), "malformed_json")
               .when(zone.isNull() | (zone == ""), "missing_zone")
               .when(bad_type, "bad_field_type"))
-    return messages.withColumn("reject_reason", reason)
+    return (parsed.withColumn("reject_reason", reason)
+            .drop("_raw", *[f"_t{i}" for i in range(len(S.TOPICS))]))
 
 
 def valid_messages(messages: DataFrame) -> DataFrame:

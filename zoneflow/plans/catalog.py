@@ -397,3 +397,171 @@ def str_03_weather(spark, sf_dir):
 def str_08(spark, sf_dir):
     mc = K.within_lookback(message_cols(spark, sf_dir), AS_OF, RANGE_LONG)
     return U.unified_snapshot(mc, AS_OF)
+
+
+# --- feeds and zone dimension (SRC-09/10, JN-04..06, SC-10..12) ------------------------------
+
+def _events(spark, sf_dir):
+    return fixtures.read_events(spark, sf_dir)
+
+
+_BASE_AQI = """SELECT event_id AS poll_id, ts AS fetched_at,
+  CASE WHEN event_type <> 'signup' THEN k * 4 ELSE 50 END AS base_aqi,
+  CAST(k AS DOUBLE) / 2 AS base_pm25, CAST(k AS DOUBLE) AS base_pm10,
+  CASE WHEN event_type <> 'error' THEN CAST(k AS DOUBLE) / 4 END AS base_no2,
+  CAST(k AS DOUBLE) / 8 AS base_co, CAST(k AS DOUBLE) / 4 + 20 AS base_temperature,
+  CAST(k AS DOUBLE) AS base_humidity,
+  CASE WHEN event_type <> 'error' THEN value END AS base_wind,
+  strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+05:30' AS timestamp
+FROM ev"""
+
+
+@register("src_09_aqi_feed_flatten", O.with_base(_BASE_AQI))
+def src_09(spark, sf_dir):
+    from zoneflow.sources import feeds
+    return feeds.flatten_aqi_feed(feeds.raw_aqi_polls(_events(spark, sf_dir)))
+
+
+@register("jn_05_baseline_fanout", O.with_base(f"""SELECT b.poll_id,
+  'AQI_' || upper(replace(zd.zone_name, ' ', '')) || '_001' AS sensor_id,
+  zd.zone_name AS zone, zd.lat, zd.lon,
+  CAST(round_even(b.base_aqi * zd.aqi_modifier, 0) AS INTEGER) AS aqi,
+  coalesce({O.r1('b.base_pm25 * zd.aqi_modifier')}, 15.0) AS pm25,
+  coalesce({O.r1('b.base_pm10 * zd.aqi_modifier')}, 40.0) AS pm10,
+  coalesce({O.r1('b.base_no2 * zd.aqi_modifier')}, 12.0) AS no2,
+  coalesce({O.r1('b.base_co * zd.aqi_modifier')}, 4.0) AS co,
+  coalesce({O.r1('b.base_temperature * zd.aqi_modifier')}, 30.0) AS temperature,
+  coalesce({O.r1('b.base_humidity * zd.aqi_modifier')}, 60.0) AS humidity,
+  coalesce({O.r1('b.base_wind * zd.aqi_modifier')}, 5.0) AS wind,
+  b.timestamp
+FROM base b, zd""", f",\nbase AS ({_BASE_AQI})"))
+def jn_05(spark, sf_dir):
+    from zoneflow.sources import feeds
+    return feeds.zone_aqi_readings(feeds.flatten_aqi_feed(feeds.raw_aqi_polls(_events(spark, sf_dir))))
+
+
+@register("src_10_weather_feed_flatten", O.with_base("""SELECT kafka_offset AS poll_id,
+  'WTR_' || sensor_zone || '_001' AS sensor_id, zone_name AS zone, lat, lon,
+  CASE WHEN event_type = 'error' THEN 32.0 ELSE CAST(k AS DOUBLE) / 4 + 20 END AS temperature_c,
+  CASE WHEN event_type = 'error' THEN 10.0 ELSE value END AS wind_speed_kmph,
+  CASE WHEN event_type IN ('error', 'signup') THEN 60 ELSE k END AS humidity_pct,
+  CASE WHEN event_type IN ('error', 'signup') THEN 0.0 ELSE CAST(k AS DOUBLE) / 16 END AS rainfall_mm,
+  CASE WHEN event_type IN ('error', 'signup') THEN 1008.0
+       ELSE CAST(k AS DOUBLE) / 4 + 1000 END AS pressure_hpa,
+  ts_text || '+05:30' AS timestamp
+FROM msg"""))
+def src_10(spark, sf_dir):
+    from zoneflow.operators.zones import zone_dimension
+    from zoneflow.sources import feeds
+    return feeds.flatten_weather_feed(feeds.raw_weather_polls(_events(spark, sf_dir)),
+                                      zone_dimension(spark))
+
+
+@register("jn_04_zone_dimension_lookup", O.with_base("""SELECT kafka_offset AS reading_id,
+  zone_name, lat AS zone_lat, lon AS zone_lon, aqi_modifier, free_flow FROM msg"""))
+def jn_04(spark, sf_dir):
+    from zoneflow.operators.zones import with_zone_attributes, zone_dimension
+    obs = _events(spark, sf_dir).select(
+        F.col("event_id").alias("reading_id"),
+        fixtures.zone_lookup(F.col("user_id") % 5)["name"].alias("zone_name"))
+    return with_zone_attributes(obs, zone_dimension(spark)).drop("rush_hours")
+
+
+@register("jn_06_traffic_rush_readings", O.with_base(f"""SELECT kafka_offset AS reading_id,
+  'TRF_' || sensor_zone || '_001' AS sensor_id, zone_name AS zone, lat, lon,
+  ts_text || '+05:30' AS timestamp, CAST(k AS DOUBLE) / 2 AS current_speed_kmph,
+  free_flow AS free_flow_speed,
+  greatest({O.r1('(1.0::DOUBLE - (CAST(k AS DOUBLE) / 2) / free_flow) * 100')}, 0.0::DOUBLE)
+    AS congestion_pct,
+  list_contains(rush_hours, hour(ts)) AND event_type = 'error' AS road_closure,
+  list_contains(rush_hours, hour(ts)) AS in_rush_hour
+FROM msg"""))
+def jn_06(spark, sf_dir):
+    from zoneflow.operators.zones import zone_dimension
+    from zoneflow.sources import feeds
+    return feeds.traffic_readings(_events(spark, sf_dir), zone_dimension(spark))
+
+
+# --- streaming runs (STR-04, STR-06, STR-07) and sinks (SNK-03, SNK-04, SNK-07) ----------------
+
+def _scratch(spark, name):
+    from zoneflow.session import shared_path
+    return shared_path(spark, "zoneflow-runs", name, unique=True)
+
+
+@register("str_04_latest_state_stream", SQL["jn_02_latest_state_merge"])
+def str_04(spark, sf_dir):
+    """The keyed latest state after a streaming run over all messages (final state)."""
+    from zoneflow.streaming import streams as ST
+    base = _scratch(spark, "str_04")
+    state = ST.latest_state(fixtures.read_message_stream(spark, sf_dir))
+    q = ST.start_table_stream(L.expand_readings(state), f"{base}/out", f"{base}/ckpt",
+                              output_mode="complete")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("str_06_unified_stream", SQL["prj_05_unified_projection"])
+def str_06(spark, sf_dir):
+    """The unified stream end to end; documents read back from the idempotent sink."""
+    from zoneflow.plans.params import AS_OF as _asof
+    from zoneflow.functions.times import ntz
+    from zoneflow.sinks.documents import DocumentSink
+    from zoneflow.streaming import streams as ST
+    base = _scratch(spark, "str_06")
+    sink = DocumentSink(f"{base}/docs")
+    q = ST.start_unified_stream(fixtures.read_message_stream(spark, sf_dir), sink,
+                                f"{base}/ckpt", stamp=lambda _batch: ntz(_asof))
+    q.awaitTermination()
+    return sink.read(spark)
+
+
+@register("str_07_trend_stream", O.with_base("""SELECT
+  time_bucket(INTERVAL 30 SECOND, kafka_time) AS time, CAST(count(*) AS BIGINT) AS messages,
+  round(avg(CASE WHEN topic = 'aqi-data' THEN k * 4 END), 1) AS avg_aqi,
+  round(avg(CASE WHEN topic = 'traffic-data' THEN CAST(k AS DOUBLE) END), 1) AS avg_congestion,
+  round(avg(CASE WHEN topic = 'traffic-data' THEN 50.0::DOUBLE - CAST(k AS DOUBLE) / 2 END), 1)
+    AS avg_speed,
+  round(avg(CASE WHEN topic = 'weather-data' THEN CAST(k AS DOUBLE) / 4 + 20 END), 1)
+    AS avg_temperature,
+  CAST(count_if(topic = 'traffic-data' AND event_type = 'error') AS BIGINT) AS road_closures
+FROM msg GROUP BY 1"""))
+def str_07(spark, sf_dir):
+    """30-second trend over the message stream, complete mode, read back from its table."""
+    from zoneflow.streaming import streams as ST
+    base = _scratch(spark, "str_07")
+    trend = ST.reading_trends(fixtures.read_message_stream(spark, sf_dir))
+    q = ST.start_table_stream(trend, f"{base}/out", f"{base}/ckpt", output_mode="complete")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("snk_03_document_upsert", SQL["jn_03_history_replay"])
+def snk_03(spark, sf_dir):
+    """History written as daily batches, one batch replayed, read back: the same documents."""
+    from zoneflow.sinks.documents import DocumentSink, write_batches
+    sink = DocumentSink(_scratch(spark, "snk_03"))
+    docs = history(spark, sf_dir)
+    day = F.datediff(F.to_date("synchronized_time"), F.lit("2024-01-01").cast("date"))
+    write_batches(docs.withColumn("_day", day), sink.path, "_day")
+    replay = sink.read_all(spark).filter(F.col("batch_id") == 10).drop("batch_id")
+    sink.write(replay, 10)
+    return sink.read(spark).drop("_day")
+
+
+@register("snk_04_document_render")
+def snk_04(spark, sf_dir):
+    from zoneflow.sinks.documents import render_documents
+    return render_documents(history(spark, sf_dir))
+
+
+@register("snk_07_publish_roundtrip", O.with_base(f"""SELECT aqi_sensor_id AS sensor_id, zone,
+  aqi_lat AS lat, aqi_lon AS lon, aqi, pm25, pm10, no2, co, aqi_temperature AS temperature,
+  aqi_humidity AS humidity, aqi_wind AS wind, aqi_source_timestamp AS timestamp FROM aqi_r"""))
+def snk_07(spark, sf_dir):
+    """AQI readings published back as messages and parsed again: nothing lost or changed."""
+    from zoneflow.sinks.publish import to_messages
+    readings = P.expand_payload(message_cols(spark, sf_dir), S.AQI_TOPIC)
+    published = to_messages(readings, S.AQI_TOPIC).withColumn("timestamp", F.current_timestamp())
+    published = published.withColumn("partition", F.lit(0)).withColumn("offset", F.lit(0).cast("long"))
+    return P.expand_payload(K.message_columns(published), S.AQI_TOPIC)

@@ -193,6 +193,15 @@ def range_filter(minutes: int) -> str:
 TRAP = f"'{S.ALERT_POLLUTION_TRAP}'"
 
 
+def r1(expr: str) -> str:
+    """One-decimal half-up rounding of a double's shortest decimal text (Spark's ``round``).
+
+    DuckDB's double ``round`` works on the scaled binary value, so for 9 * 0.85 =
+    7.6499999999999995 it gives 7.7 where Spark (and Python) give 7.6.
+    """
+    return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 20)), 1) AS DOUBLE)"
+
+
 def summary_sql(minutes: int) -> str:
     return with_base(f"""SELECT
   CAST(count(DISTINCT zone) AS BIGINT) AS zone_count,
