@@ -110,3 +110,9 @@ def read_message_stream(spark: SparkSession, sf_dir: str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return events_to_messages(reader.parquet(sf_dir))
+
+
+def read_message_files_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Streaming stand-in for a topic landed as Parquet files with the Kafka columns
+    (see ``sinks.publish.write_message_files``)."""
+    return spark.readStream.schema(S.MESSAGE_SCHEMA).parquet(path)

@@ -50,8 +50,13 @@ def unified_batch_writer(sink: Callable[[DataFrame, int], None],
     and write them; no rows are collected."""
     def process(state: DataFrame, batch_id: int) -> None:
         sync = stamp(batch_id) if stamp else processing_time()
-        docs = U.unified_from_state(state, sync, zones)
-        sink(docs, batch_id)
+        # One document per complete zone: small, cached on the executors for the two passes.
+        docs = U.unified_from_state(state, sync, zones).persist()
+        try:
+            if not docs.isEmpty():  # no complete zone yet: nothing to write (PRJ-08)
+                sink(docs, batch_id)
+        finally:
+            docs.unpersist()
     return process
 
 
