@@ -23,7 +23,7 @@ FEED_TZ_SUFFIX = "+05:30"
 
 
 def _k() -> F.Column:
-    return F.get_json_object("props", "$.k").cast("int")
+    return F.get_json_object("props", "$.k").try_cast("int")
 
 
 def raw_aqi_polls(events: DataFrame) -> DataFrame:
