@@ -565,3 +565,14 @@ def snk_07(spark, sf_dir):
     published = to_messages(readings, S.AQI_TOPIC).withColumn("timestamp", F.current_timestamp())
     published = published.withColumn("partition", F.lit(0)).withColumn("offset", F.lit(0).cast("long"))
     return P.expand_payload(K.message_columns(published), S.AQI_TOPIC)
+
+
+@register("snk_06_reject_report", O.with_base("""SELECT
+  CASE WHEN k % 10 = 4 THEN 'unknown-data' ELSE topic END AS topic,
+  CASE k % 10 WHEN 1 THEN 'malformed_json' WHEN 2 THEN 'missing_zone'
+       WHEN 3 THEN 'bad_field_type' WHEN 4 THEN 'unknown_topic' ELSE 'ok' END AS outcome,
+  CAST(count(*) AS BIGINT) AS messages
+FROM msg GROUP BY 1, 2"""))
+def snk_06(spark, sf_dir):
+    """Reject report over the noisy topic: every defect class counted, nothing lost."""
+    return P.reject_report(K.message_columns(fixtures.noisy_messages(_events(spark, sf_dir))))

@@ -16,15 +16,15 @@ from zoneflow.functions.text import iso_text, sensor_id
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table. A source that arrives in fewer splits than the cluster has cores (one
-    small file here) is spread round-robin first, so the parse stage is not one task; at scale
-    the table has many files and this is a no-op."""
+    small file here) is spread by ``event_id`` first (deterministic placement, no pre-sort), so
+    the parse stage is not one task; at scale the table has many files and this is a no-op."""
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     try:
         cores = spark.sparkContext.defaultParallelism
         splits = events.rdd.getNumPartitions()  # plans the scan only; reads no rows
     except Exception:  # sessions without the RDD API: leave the scan as it is
         return events
-    return events.repartition(cores) if splits < cores else events
+    return events.repartition(cores, "event_id") if splits < cores else events
 
 
 def zone_lookup(idx: Column) -> Column:
@@ -45,8 +45,9 @@ def _dbl(c: Column) -> Column:
     return c.cast("double")
 
 
-def events_to_messages(events: DataFrame) -> DataFrame:
-    """Kafka-shaped rows: key, value, topic, partition, offset, timestamp, timestampType."""
+def events_to_messages(events: DataFrame, keep_k: bool = False) -> DataFrame:
+    """Kafka-shaped rows: key, value, topic, partition, offset, timestamp, timestampType
+    (and the event's ``_k`` when ``keep_k``)."""
     # k and the zone are computed once per row, then used by every payload field.
     events = events.select("event_id", "ts", "user_id", "event_type", "value",
                            F.get_json_object("props", "$.k").try_cast("int").alias("_k"),
@@ -95,9 +96,33 @@ def events_to_messages(events: DataFrame) -> DataFrame:
         F.col("event_id").alias("offset"),
         F.col("ts").alias("timestamp"),
         F.lit(0).alias("timestampType"),
+        *([F.col("_k")] if keep_k else []),
     )
 
 
+# Fixed defect classes of the noisy topic, chosen by k mod 10 of each event.
+DEFECT_TRUNCATED, DEFECT_BLANK_ZONE, DEFECT_BAD_TYPE, DEFECT_UNKNOWN_TOPIC = 1, 2, 3, 4
+UNKNOWN_TOPIC = "unknown-data"
+
+
+def noisy_messages(events: DataFrame) -> DataFrame:
+    """The same messages with deterministic defects, for the reject report (PRJ-08, SNK-06):
+    by ``k mod 10`` of each event, 1 cuts the payload short (malformed JSON), 2 blanks the zone,
+    3 writes the latitude as text (a field of the wrong type), 4 moves the message to an
+    unknown topic; every other message is unchanged. No message is dropped."""
+    m = events_to_messages(events, keep_k=True)
+    v = F.col("value").cast("string")
+    d = F.col("_k") % 10
+    text = (F.when(d == DEFECT_TRUNCATED, F.expr("substring(value, 1, length(value) - 1)"))
+            .when(d == DEFECT_BLANK_ZONE,
+                  F.regexp_replace(v, '"zone":"[^"]*"', '"zone":"  "'))
+            .when(d == DEFECT_BAD_TYPE, F.regexp_replace(v, '"lat":[-0-9.]+', '"lat":"north"'))
+            .otherwise(v))
+    topic = F.when(d == DEFECT_UNKNOWN_TOPIC, F.lit(UNKNOWN_TOPIC)).otherwise(F.col("topic"))
+    return m.select("key", F.encode(text, "UTF-8").alias("value"), topic.alias("topic"),
+                    "partition", "offset", "timestamp", "timestampType")
+
+
 def read_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch stand-in for a bounded Kafka read over all three topics."""
     return events_to_messages(read_events(spark, sf_dir))
