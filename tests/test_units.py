@@ -65,3 +65,16 @@ def test_history_segments_agree(spark, segment):
     base = H.replay_history(parsed, AS_OF, segment="day")
     other = H.replay_history(parsed, AS_OF, segment=segment)
     assert sorted(map(tuple, base.collect())) == sorted(map(tuple, other.collect()))
+
+
+def test_debug_sinks(spark, capsys):
+    """SNK-08 vertical display and SNK-01 console stream (append, one pass)."""
+    from zoneflow.sinks.documents import show_vertical
+    from zoneflow.streaming.streams import start_console
+    from zoneflow.streaming.tagging import tag_weather
+    show_vertical(spark.createDataFrame([("Kothrud", 1)], "zone string, n int"))
+    assert "zone | Kothrud" in capsys.readouterr().out
+    stream = tag_weather(message_columns(fixtures.read_message_stream(spark, "/root/testdata/sf0.001")))
+    q = start_console(stream, trigger="availableNow")
+    q.awaitTermination()
+    assert q.lastProgress is not None and q.lastProgress["numInputRows"] > 0

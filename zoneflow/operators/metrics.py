@@ -23,7 +23,10 @@ def in_range(history: DataFrame, as_of: dt.datetime, range_minutes: int = S.RANG
     """PRJ-06: ``as_of - range <= time <= as_of`` (both ends), range checked to 1..1440 minutes."""
     check_range_minutes(range_minutes)
     start = as_of - dt.timedelta(minutes=range_minutes)
-    return history.filter(between_inclusive(time_col, start, as_of))
+    cond = between_inclusive(time_col, start, as_of)
+    if "sync_date" in history.columns:  # a date-partitioned document table: prune dates too
+        cond = cond & F.col("sync_date").between(F.lit(start.date()), F.lit(as_of.date()))
+    return history.filter(cond)
 
 
 def r1(c: Column) -> Column:
