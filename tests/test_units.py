@@ -78,3 +78,19 @@ def test_debug_sinks(spark, capsys):
     q = start_console(stream, trigger="availableNow")
     q.awaitTermination()
     assert q.lastProgress is not None and q.lastProgress["numInputRows"] > 0
+
+
+def test_cluster_conf_applies(spark):
+    from zoneflow.session import CLUSTER_CONF, apply_cluster_conf
+    before = {k: spark.conf.get(k, None) for k in CLUSTER_CONF}
+    before["spark.sql.shuffle.partitions"] = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        apply_cluster_conf(spark, shuffle_partitions=16)
+        assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "16"
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -50,3 +50,34 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     tail = list(parts) + ([uuid.uuid4().hex] if unique else [])
     return "/".join([base, *tail]) if "://" in base else os.path.join(base, *tail)
+
+
+# Settings for a large cluster (runtime SQL settings; a deployment may override any of them).
+CLUSTER_CONF = {
+    # AQE re-plans from runtime sizes: joins become broadcasts only when a side is measured small,
+    # small shuffle partitions are merged and skewed ones split.
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Scan splits sized for executor memory; many files make many tasks.
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # Streaming state (latest reading per zone) in RocksDB: large populations stay off-heap,
+    # and the state is versioned in the checkpoint.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
+    """Apply ``CLUSTER_CONF`` (and an initial shuffle width, which AQE then coalesces).
+
+    Streaming queries fix their shuffle width at the first checkpoint, so set it before the
+    first start of a stream.
+    """
+    for k, v in CLUSTER_CONF.items():
+        spark.conf.set(k, v)
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    ensure_checkpoint_dir(spark)
+    return spark
