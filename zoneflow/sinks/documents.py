@@ -54,10 +54,11 @@ class DocumentSink:
         self.backoff_seconds = backoff_seconds
 
     def write(self, documents: DataFrame, batch_id: int) -> None:
-        # One trigger's documents, clustered by date: one file per date, not one per task.
+        # One trigger's documents, clustered by date (few files per date, not one per task);
+        # REBALANCE lets AQE split a date that holds most of the batch into several tasks.
         out = (_partitioned(documents.drop(DATE_COL))
                .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-               .repartition(DATE_COL))
+               .hint("rebalance", DATE_COL))
 
         def attempt(_: int) -> None:
             (out.write.mode("overwrite")
@@ -106,6 +107,8 @@ def show_vertical(df: DataFrame, n: int = 100) -> None:
 def write_batches(documents: DataFrame, path: str, batch_col: str = "batch_id") -> None:
     """Write many batches in one job: each value of ``batch_col`` replaces its own partition."""
     (_partitioned(documents).withColumn("batch_id", F.col(batch_col).cast("long"))
-     .repartition(DATE_COL, "batch_id")  # one file per (date, batch), not one per task
+     # clustered by (date, batch) so each partition folder gets few files; AQE splits a hot
+     # (date, batch) into advisory-sized tasks instead of writing it from one task
+     .hint("rebalance", DATE_COL, "batch_id")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(DATE_COL, "batch_id").parquet(path))
