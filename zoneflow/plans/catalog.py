@@ -271,7 +271,7 @@ def ag_07(spark, sf_dir):
     return M.status_breakdown(history(spark, sf_dir), AS_OF, RANGE_LONG)
 
 
-@register("ag_08_summary_maps")
+@register("ag_08_summary_maps", O.summary_maps_sql(RANGE_LONG))
 def ag_08(spark, sf_dir):
     return M.summary_maps(history(spark, sf_dir), AS_OF, RANGE_LONG)
 

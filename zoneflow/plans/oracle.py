@@ -233,8 +233,7 @@ FROM history WHERE {range_filter(minutes)} AND zone IS NOT NULL
 GROUP BY zone ORDER BY zone LIMIT {S.ZONE_ANALYTICS_SIZE}""", history_ctes())
 
 
-def status_breakdown_sql(minutes: int) -> str:
-    return with_base(f"""SELECT dimension, name, value, rank FROM (
+_RANKED_STATUS_COUNTS = f"""(
   SELECT dimension, name, value,
     CAST(row_number() OVER (PARTITION BY dimension ORDER BY value DESC, name) AS INTEGER) AS rank
   FROM (
@@ -244,8 +243,24 @@ def status_breakdown_sql(minutes: int) -> str:
       UNION ALL SELECT 'traffic_statuses', traffic_status FROM h
       UNION ALL SELECT 'weather_conditions', weather_condition FROM h) s
     WHERE name IS NOT NULL GROUP BY dimension, name) c) r
-WHERE rank <= {S.TERMS_SIZE}""", history_ctes(),
-        f",\nh AS (SELECT * FROM history WHERE {range_filter(minutes)})")
+WHERE rank <= {S.TERMS_SIZE}"""
+
+
+def _ranged(minutes: int) -> str:
+    return f",\nh AS (SELECT * FROM history WHERE {range_filter(minutes)})"
+
+
+def status_breakdown_sql(minutes: int) -> str:
+    return with_base(f"SELECT dimension, name, value, rank FROM {_RANKED_STATUS_COUNTS}",
+                     history_ctes(), _ranged(minutes))
+
+
+def summary_maps_sql(minutes: int) -> str:
+    """AG-08: the alert / AQI / traffic value -> count maps of the summary (top ten each)."""
+    return with_base(
+        "SELECT dimension, map_from_entries(list({'k': name, 'v': value} ORDER BY name)) AS counts "
+        f"FROM {_RANKED_STATUS_COUNTS} AND dimension <> 'weather_conditions' GROUP BY dimension",
+        history_ctes(), _ranged(minutes))
 
 
 def trends_sql(minutes: int) -> str:
