@@ -94,3 +94,19 @@ def test_cluster_conf_applies(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_document_text_keeps_fraction_offset_and_nulls(spark):
+    import json
+
+    from zoneflow.sinks.documents import render_documents
+    df = spark.createDataFrame(
+        [(" FC ROAD ", dt.datetime(2024, 1, 1, 8, 0), dt.datetime(2024, 1, 1, 7, 36, 12, 733472), None),
+         ("Kothrud", dt.datetime(2024, 1, 1, 9, 0), dt.datetime(2024, 1, 1, 8, 59, 1, 500), 42)],
+        "zone string, synchronized_time timestamp_ntz, aqi_kafka_time timestamp_ntz, aqi int")
+    got = {r.doc_id: json.loads(r.document) for r in render_documents(df).collect()}
+    assert got[" FC ROAD -2024-01-01T08:00:00+05:30"] == {
+        "zone": " FC ROAD ", "synchronized_time": "2024-01-01T08:00:00+05:30",
+        "aqi_kafka_time": "2024-01-01T07:36:12.733472+05:30", "aqi": None}
+    assert got["Kothrud-2024-01-01T09:00:00+05:30"]["aqi_kafka_time"] == \
+        "2024-01-01T08:59:01.000500+05:30"

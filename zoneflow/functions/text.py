@@ -20,12 +20,22 @@ def iso_text(ts: str | Column, offset: str | None = None) -> Column:
     return F.concat(text, F.lit(offset)) if offset else text
 
 
+def document_time_text(ts: str | Column, offset: str = S.LOCAL_UTC_OFFSET) -> Column:
+    """SC-08: a wall-clock timestamp as document text: ``yyyy-MM-ddTHH:mm:ss``, then
+    ``.ffffff`` only when the microseconds are not zero, then the local offset
+    (``2024-01-01T07:36:12.733472+05:30``, ``2024-01-01T08:00:00+05:30``)."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    micros = F.date_format(c, "SSSSSS")
+    fraction = F.when(micros != "000000", F.concat(F.lit("."), micros)).otherwise(F.lit(""))
+    return F.concat(F.date_format(c, ISO_SECONDS), fraction, F.lit(offset))
+
+
 def document_key(zone: str | Column = "zone",
                  synchronized_time: str | Column = "synchronized_time") -> Column:
-    """SC-09: ``<zone>-<synchronized time as ISO text>``."""
+    """SC-09: ``<zone>-<synchronized time as document text>``."""
     z = F.col(zone) if isinstance(zone, str) else zone
     t = F.col(synchronized_time) if isinstance(synchronized_time, str) else synchronized_time
-    return F.concat_ws("-", z, iso_text(t))
+    return F.concat_ws("-", z, document_time_text(t))
 
 
 def sensor_id(topic: str, zone_name: str | Column) -> Column:

@@ -195,7 +195,7 @@ def prj_08(spark, sf_dir):
 
 _SEVERITY = (f"CASE WHEN city_alert LIKE '%POLLUTION%' THEN '{S.SEVERITY_RED}' "
              f"WHEN city_alert LIKE '%ROAD%' THEN '{S.SEVERITY_AMBER}' ELSE '{S.SEVERITY_GREEN}' END")
-_DOC_ID = "zone || '-' || strftime(synchronized_time, '%Y-%m-%dT%H:%M:%S')"
+_DOC_ID = O.DOC_ID
 
 
 @register("prj_10_alert_filter", O.with_base(
@@ -549,7 +549,7 @@ def snk_03(spark, sf_dir):
     return sink.read(spark).drop("_day")
 
 
-@register("snk_04_document_render")
+@register("snk_04_document_render", O.rendered_documents_sql())
 def snk_04(spark, sf_dir):
     from zoneflow.sinks.documents import render_documents
     return render_documents(history(spark, sf_dir))

@@ -185,6 +185,25 @@ def with_base(body: str, *extra: str) -> str:
     return "WITH " + BASE + "".join(extra) + "\n" + body
 
 
+def doc_time_sql(col: str) -> str:
+    """SC-08 in DuckDB: ISO seconds, ``.ffffff`` only when the microseconds are not zero, offset."""
+    return (f"(strftime({col}, '%Y-%m-%dT%H:%M:%S') || CASE WHEN strftime({col}, '%f') <> '000000' "
+            f"THEN '.' || strftime({col}, '%f') ELSE '' END || '{S.LOCAL_UTC_OFFSET}')")
+
+
+DOC_ID = f"zone || '-' || {doc_time_sql('synchronized_time')}"
+
+
+def rendered_documents_sql() -> str:
+    """SNK-04 in DuckDB: the key and the JSON document, timestamps as document text, nulls kept."""
+    stamps = ("synchronized_time", "aqi_kafka_time", "traffic_kafka_time", "weather_kafka_time")
+    replace = ", ".join(f"{doc_time_sql(c)} AS {c}" for c in stamps)
+    # synchronized_time is already document text in d
+    return with_base("SELECT zone || '-' || synchronized_time AS doc_id, "
+                     "CAST(to_json(d) AS VARCHAR) AS document FROM "
+                     f"(SELECT * REPLACE ({replace}) FROM history) d", history_ctes())
+
+
 def range_filter(minutes: int) -> str:
     return (f"synchronized_time BETWEEN {AS_OF_SQL} - INTERVAL {minutes} MINUTE "
             f"AND {AS_OF_SQL}")

@@ -67,6 +67,11 @@ AQI_FEED_DEFAULTS = {"aqi": 50, "pm25": 15, "pm10": 40, "no2": 12, "co": 4,
 WEATHER_FEED_FALLBACK = {"temperature_c": 32.0, "wind_speed_kmph": 10.0, "humidity_pct": 60,
                          "rainfall_mm": 0.0, "pressure_hpa": 1008.0}
 
+# Local time zone of the documents: a zone-less time is read as local wall-clock time and its
+# ISO text ends with this offset (the zone has kept one offset, without daylight saving, since 1945).
+LOCAL_TIME_ZONE = "Asia/Kolkata"
+LOCAL_UTC_OFFSET = "+05:30"
+
 # Dashboard query bounds and sizes.
 RANGE_MINUTES_MIN, RANGE_MINUTES_MAX, RANGE_MINUTES_DEFAULT = 1, 1440, 60
 LATEST_SCAN_LIMIT = 500

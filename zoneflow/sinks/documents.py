@@ -15,8 +15,9 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from zoneflow.functions.text import document_key
+from zoneflow.functions.text import document_key, document_time_text
 
 T = TypeVar("T")
 
@@ -91,12 +92,17 @@ def latest_version(docs: DataFrame, key: tuple[str, ...] = DOC_KEY) -> DataFrame
 
 
 def render_documents(documents: DataFrame) -> DataFrame:
-    """SNK-04: one (doc_id, JSON document) row per document, rendered on the executors."""
+    """SNK-04: one (doc_id, JSON document) row per document, rendered on the executors.
+
+    Timestamps become document text (SC-08); null fields are kept as ``null``, so every
+    document carries all of its fields.
+    """
+    fields = [document_time_text(f.name).alias(f.name)
+              if isinstance(f.dataType, (TimestampType, TimestampNTZType)) else F.col(f.name)
+              for f in documents.schema.fields]
     return documents.select(
         document_key().alias("doc_id"),
-        F.to_json(F.struct(*documents.columns),
-                  {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss",
-                   "timestampFormat": "yyyy-MM-dd'T'HH:mm:ssXXX"}).alias("document"))
+        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("document"))
 
 
 def show_vertical(df: DataFrame, n: int = 100) -> None:
