@@ -30,6 +30,13 @@ def document_time_text(ts: str | Column, offset: str = S.LOCAL_UTC_OFFSET) -> Co
     return F.concat(F.date_format(c, ISO_SECONDS), fraction, F.lit(offset))
 
 
+def store_time_text(ts: str | Column, zone: str = S.LOCAL_TIME_ZONE) -> Column:
+    """AG-11: a local wall-clock timestamp as the store prints a date aggregate: the same
+    instant in UTC with milliseconds (``2024-01-31T00:00:00`` local -> ``2024-01-30T18:30:00.000Z``)."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return F.date_format(F.convert_timezone(F.lit(zone), F.lit("UTC"), c), S.STORE_TIME_FORMAT)
+
+
 def document_key(zone: str | Column = "zone",
                  synchronized_time: str | Column = "synchronized_time") -> Column:
     """SC-09: ``<zone>-<synchronized time as document text>``."""

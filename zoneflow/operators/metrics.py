@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from zoneflow import schemas as S
 from zoneflow.functions.rules import alert_severity
-from zoneflow.functions.text import ISO_SECONDS, document_key
+from zoneflow.functions.text import document_key, store_time_text
 from zoneflow.functions.times import between_inclusive, check_range_minutes
 
 
@@ -56,7 +56,7 @@ def summary(history: DataFrame, as_of: dt.datetime,
         r1(F.avg("temperature_c")).alias("avg_temperature"),
         F.count_if(is_trap()).alias("pollution_trap_count"),
         F.count_if(is_closed()).alias("road_closure_count"),
-        F.date_format(F.max("synchronized_time"), ISO_SECONDS).alias("last_updated"),
+        store_time_text(F.max("synchronized_time")).alias("last_updated"),
     )
 
 
@@ -191,4 +191,4 @@ def last_update(history: DataFrame, as_of: dt.datetime,
     """AG-11: newest synchronized time in range, as a timestamp and as ISO text."""
     r = in_range(history, as_of, range_minutes)
     return r.agg(F.max("synchronized_time").alias("last_updated_time")).select(
-        "last_updated_time", F.date_format("last_updated_time", ISO_SECONDS).alias("last_updated"))
+        "last_updated_time", store_time_text("last_updated_time").alias("last_updated"))

@@ -283,7 +283,7 @@ def ag_09(spark, sf_dir):
 
 @register("ag_11_last_update", O.with_base(
     "SELECT max(synchronized_time) AS last_updated_time, "
-    "strftime(max(synchronized_time), '%Y-%m-%dT%H:%M:%S') AS last_updated "
+    f"{O.store_time_sql('max(synchronized_time)')} AS last_updated "
     f"FROM history WHERE {O.range_filter(RANGE_LONG)}", O.history_ctes()))
 def ag_11(spark, sf_dir):
     return M.last_update(history(spark, sf_dir), AS_OF, RANGE_LONG)

@@ -185,6 +185,12 @@ def with_base(body: str, *extra: str) -> str:
     return "WITH " + BASE + "".join(extra) + "\n" + body
 
 
+def store_time_sql(expr: str) -> str:
+    """AG-11 in DuckDB: local wall-clock time shifted to UTC by the zone's fixed offset."""
+    return (f"strftime({expr} - INTERVAL {S.LOCAL_UTC_OFFSET_MINUTES} MINUTE, "
+            "'%Y-%m-%dT%H:%M:%S.%g') || 'Z'")
+
+
 def doc_time_sql(col: str) -> str:
     """SC-08 in DuckDB: ISO seconds, ``.ffffff`` only when the microseconds are not zero, offset."""
     return (f"(strftime({col}, '%Y-%m-%dT%H:%M:%S') || CASE WHEN strftime({col}, '%f') <> '000000' "
@@ -231,7 +237,7 @@ def summary_sql(minutes: int) -> str:
   round(avg(temperature_c), 1) AS avg_temperature,
   CAST(count_if(city_alert = {TRAP}) AS BIGINT) AS pollution_trap_count,
   CAST(count_if(road_closure) AS BIGINT) AS road_closure_count,
-  strftime(max(synchronized_time), '%Y-%m-%dT%H:%M:%S') AS last_updated
+  {store_time_sql('max(synchronized_time)')} AS last_updated
 FROM history WHERE {range_filter(minutes)}""", history_ctes())
 
 

@@ -71,6 +71,10 @@ WEATHER_FEED_FALLBACK = {"temperature_c": 32.0, "wind_speed_kmph": 10.0, "humidi
 # ISO text ends with this offset (the zone has kept one offset, without daylight saving, since 1945).
 LOCAL_TIME_ZONE = "Asia/Kolkata"
 LOCAL_UTC_OFFSET = "+05:30"
+LOCAL_UTC_OFFSET_MINUTES = 330
+# A date as the document store prints it in aggregation results (its default date format): UTC,
+# milliseconds, "Z".
+STORE_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 # Dashboard query bounds and sizes.
 RANGE_MINUTES_MIN, RANGE_MINUTES_MAX, RANGE_MINUTES_DEFAULT = 1, 1440, 60
