@@ -110,3 +110,24 @@ def test_document_text_keeps_fraction_offset_and_nulls(spark):
         "aqi_kafka_time": "2024-01-01T07:36:12.733472+05:30", "aqi": None}
     assert got["Kothrud-2024-01-01T09:00:00+05:30"]["aqi_kafka_time"] == \
         "2024-01-01T08:59:01.000500+05:30"
+
+
+def test_instants_render_as_local_wall_clock(spark):
+    import json
+    from zoneflow.sinks.documents import render_documents
+    # an instant (timestamp) column: 02:06:12.733472 UTC is 07:36:12.733472 in the local zone
+    df = spark.sql("SELECT 'Kothrud' AS zone, TIMESTAMP_NTZ'2024-01-01 08:00:00' AS synchronized_time, "
+                   "to_utc_timestamp(TIMESTAMP_NTZ'2024-01-01 02:06:12.733472', 'UTC') AS kafka_time")
+    assert dict(df.dtypes)["kafka_time"] == "timestamp"
+    doc = json.loads(render_documents(df).first().document)
+    assert doc["kafka_time"] == "2024-01-01T07:36:12.733472+05:30"
+
+
+def test_processing_time_is_local_wall_clock(spark):
+    import zoneinfo
+
+    from zoneflow import schemas as S
+    from zoneflow.streaming.streams import processing_time
+    got = spark.range(1).select(processing_time().alias("t")).first().t
+    now = dt.datetime.now(zoneinfo.ZoneInfo(S.LOCAL_TIME_ZONE)).replace(tzinfo=None)
+    assert abs((now - got).total_seconds()) < 120

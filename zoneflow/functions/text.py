@@ -20,6 +20,14 @@ def iso_text(ts: str | Column, offset: str | None = None) -> Column:
     return F.concat(text, F.lit(offset)) if offset else text
 
 
+def local_wall_clock(ts: str | Column) -> Column:
+    """An instant (``timestamp``) as local wall-clock ``timestamp_ntz`` in the documents' zone,
+    whatever the session zone. Zone-less values are already local wall-clock time (L9) and
+    need no conversion."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return F.convert_timezone(None, F.lit(S.LOCAL_TIME_ZONE), c.cast("timestamp_ntz"))
+
+
 def document_time_text(ts: str | Column, offset: str = S.LOCAL_UTC_OFFSET) -> Column:
     """SC-08: a wall-clock timestamp as document text: ``yyyy-MM-ddTHH:mm:ss``, then
     ``.ffffff`` only when the microseconds are not zero, then the local offset

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from zoneflow.functions.text import document_key, document_time_text
+from zoneflow.functions.text import document_time_text, local_wall_clock
 
 T = TypeVar("T")
 
@@ -97,12 +97,17 @@ def render_documents(documents: DataFrame) -> DataFrame:
     Timestamps become document text (SC-08); null fields are kept as ``null``, so every
     document carries all of its fields.
     """
-    fields = [document_time_text(f.name).alias(f.name)
-              if isinstance(f.dataType, (TimestampType, TimestampNTZType)) else F.col(f.name)
-              for f in documents.schema.fields]
-    return documents.select(
-        document_key().alias("doc_id"),
-        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("document"))
+    def field(f):
+        if isinstance(f.dataType, TimestampType):  # an instant: local wall clock first
+            return document_time_text(local_wall_clock(f.name))
+        if isinstance(f.dataType, TimestampNTZType):
+            return document_time_text(f.name)
+        return F.col(f.name)
+
+    fields = [field(f).alias(f.name) for f in documents.schema.fields]
+    return (documents.select(F.struct(*fields).alias("d"))
+            .select(F.concat_ws("-", "d.zone", "d.synchronized_time").alias("doc_id"),
+                    F.to_json("d", {"ignoreNullFields": "false"}).alias("document")))
 
 
 def show_vertical(df: DataFrame, n: int = 100) -> None:

@@ -17,6 +17,7 @@ from zoneflow import schemas as S
 from zoneflow.operators import latest as L
 from zoneflow.operators import parse as P
 from zoneflow.operators import unify as U
+from zoneflow.functions.text import local_wall_clock
 from zoneflow.sources.kafka import message_columns
 
 
@@ -39,8 +40,9 @@ def latest_state(message_stream: DataFrame) -> DataFrame:
 
 
 def processing_time() -> Column:
-    """The trigger's processing time (one value per micro-batch), as ``timestamp_ntz``."""
-    return F.current_timestamp().cast("timestamp_ntz")
+    """The trigger's processing time (one value per micro-batch) as local wall-clock
+    ``timestamp_ntz`` in the documents' zone, whatever the session zone."""
+    return local_wall_clock(F.current_timestamp())
 
 
 def unified_batch_writer(sink: Callable[[DataFrame, int], None],
