@@ -43,6 +43,12 @@ def test_latest_window_is_limited_before_shuffle(spark):
     assert plan.count("WindowGroupLimit") >= 2, plan
 
 
+def test_three_way_join_reads_the_source_once(spark):
+    # the newest row per (zone, feed) is checkpointed; the three join sides read that table
+    plan = executed_plan(E.queries()["jn_01_three_way_join"](spark, SF_SMALL))
+    assert "FileScan" not in plan and plan.count("Scan ExistingRDD") == 3, plan
+
+
 def test_zone_lookup_scan_is_pruned(spark):
     plan = executed_plan(E.queries()["jn_04_zone_dimension_lookup"](spark, SF_SMALL))
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in plan, plan

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zoneflow import schemas as S
@@ -13,6 +13,7 @@ from zoneflow.functions.rules import with_unified_rules
 from zoneflow.functions.times import ntz
 from zoneflow.operators import latest as L
 from zoneflow.operators import parse as P
+from zoneflow.session import ensure_checkpoint_dir
 
 
 def expected_zones(spark: SparkSession, zones: tuple[str, ...] = S.EXPECTED_ZONES) -> DataFrame:
@@ -26,19 +27,39 @@ def known_zones_only(df: DataFrame, zones: DataFrame) -> DataFrame:
     return df.join(F.broadcast(zones), "norm_zone", "left_semi")
 
 
-def join_latest(messages: DataFrame) -> DataFrame:
+def join_latest(messages: DataFrame, materialize: bool = True) -> DataFrame:
     """JN-01: newest reading per zone for each feed, inner-joined on ``norm_zone``.
 
-    The three window stages shuffle on ``norm_zone``; the joins reuse that partitioning. Each side
-    holds one row per zone, and AQE turns the joins into broadcasts from runtime sizes.
+    The messages are scanned and parsed once (``parse.parse_all``). One ``row_number`` window
+    over (zone, feed) keeps the newest message of each feed per zone; Spark puts a partial
+    ``WindowGroupLimit`` before its shuffle, so each map task sends at most one row per (zone,
+    feed). That small table (three rows per zone) feeds the three join sides; ``materialize``
+    checkpoints it to the shared checkpoint folder, so the source is read once, not once per
+    side (each side prunes different columns, so Spark would not share the scan by itself).
     """
-    aqi = L.latest_by_zone(P.parse_aqi(messages), "aqi")
-    traffic = L.latest_by_zone(P.parse_traffic(messages), "traffic").withColumnRenamed(
-        "norm_zone", "_z_traffic")
-    weather = L.latest_by_zone(P.parse_weather(messages), "weather").withColumnRenamed(
-        "norm_zone", "_z_weather")
+    parsed = P.parse_all(messages)
+    feed = F.coalesce(*[F.when(F.col(r).isNotNull(), F.lit(i)) for i, r in enumerate(L.READINGS)])
+    w = Window.partitionBy("norm_zone", "_feed").orderBy(
+        *[F.col(k).desc() for k in P.KAFKA_COLS])
+    # The zone check is a column, not a filter below the window: a filter on the partition key
+    # would be pushed below the parse and parse each payload twice.
+    newest = (parsed.withColumn("_feed", feed)
+              .withColumn("_zone_ok", L.has_zone())
+              .withColumn("_rn", F.row_number().over(w))
+              .filter((F.col("_rn") == 1) & F.col("_zone_ok"))
+              .drop("_rn", "_zone_ok"))
+    if materialize:
+        ensure_checkpoint_dir(newest.sparkSession)
+        newest = newest.checkpoint(eager=True)
+
+    def side(reading: str, key: str) -> DataFrame:
+        return (newest.filter(F.col(reading).isNotNull())
+                .select(F.col("norm_zone").alias(key), f"{reading}.*"))
+
+    aqi, traffic, weather = (side(r, k) for r, k in zip(
+        L.READINGS, ("norm_zone", "_z_traffic", "_z_weather")))
     # Null zones are already gone; a null-safe key keeps Catalyst from inferring an
-    # ``isnotnull(zone)`` filter and pushing a second JSON parse into the scan.
+    # ``isnotnull(zone)`` filter and pushing it (and a second JSON parse) into the scan.
     return (aqi.join(traffic, aqi["norm_zone"].eqNullSafe(traffic["_z_traffic"]), "inner")
             .join(weather, aqi["norm_zone"].eqNullSafe(weather["_z_weather"]), "inner")
             .drop("_z_traffic", "_z_weather"))
