@@ -78,9 +78,12 @@ def alert_severity(city_alert_col: str | Column = "city_alert") -> Column:
             .otherwise(S.SEVERITY_GREEN))
 
 
+def unified_rule_columns() -> dict[str, Column]:
+    """The four rule columns of a unified row, by output name."""
+    return {"aqi_status": aqi_status(), "traffic_status": traffic_status(),
+            "weather_condition": weather_condition(), "city_alert": city_alert()}
+
+
 def with_unified_rules(df):
-    """Add the four rule columns of a unified row."""
-    return (df.withColumn("aqi_status", aqi_status())
-            .withColumn("traffic_status", traffic_status())
-            .withColumn("weather_condition", weather_condition())
-            .withColumn("city_alert", city_alert()))
+    """Add the four rule columns of a unified row (one projection)."""
+    return df.withColumns(unified_rule_columns())

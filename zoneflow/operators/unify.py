@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zoneflow import schemas as S
-from zoneflow.functions.rules import with_unified_rules
+from zoneflow.functions.rules import unified_rule_columns
 from zoneflow.functions.times import ntz
 from zoneflow.operators import latest as L
 from zoneflow.operators import parse as P
@@ -66,9 +66,10 @@ def join_latest(messages: DataFrame, materialize: bool = True) -> DataFrame:
 
 
 def unified_rows(joined: DataFrame, synchronized_time: Column) -> DataFrame:
-    """PRJ-05/09 + SC-02..07: the 41-column unified row."""
-    return (with_unified_rules(joined.withColumn("synchronized_time", synchronized_time))
-            .select(*S.UNIFIED_COLUMNS))
+    """PRJ-05/09 + SC-02..07: the 41-column unified row, in one projection."""
+    computed = {"synchronized_time": synchronized_time, **unified_rule_columns()}
+    return joined.select(*[computed[c].alias(c) if c in computed else F.col(c)
+                           for c in S.UNIFIED_COLUMNS])
 
 
 def as_of_literal(as_of: dt.datetime) -> Column:

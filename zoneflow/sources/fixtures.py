@@ -27,18 +27,26 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.repartition(cores, "event_id") if splits < cores else events
 
 
+def _zone_array_sql() -> str:
+    """The zone dimension as one SQL array literal of structs (name, lat, lon, aqi_modifier,
+    free_flow, rush_hours), built from ``schemas.ZONES``."""
+    def one(name, lat, lon, mod, ff, rush):
+        return (f"named_struct('name', '{name}', 'lat', {lat}D, 'lon', {lon}D, "
+                f"'aqi_modifier', {mod}D, 'free_flow', {ff}, "
+                f"'rush_hours', array({', '.join(str(h) for h in rush)}))")
+    return "array(" + ", ".join(one(*z) for z in S.ZONES) + ")"
+
+
+_ZONE_ARRAY_SQL = _zone_array_sql()
+
+
 def zone_lookup(idx: Column) -> Column:
     """The zone-dimension struct (name, lat, lon, aqi_modifier, free_flow, rush_hours) at ``idx``.
 
-    A literal array of five structs: a per-row lookup in generated code, no join.
+    A literal array of five structs: a per-row lookup in generated code, no join. It is given as
+    one SQL expression, so building it is one call to the JVM rather than one per field.
     """
-    arr = F.array(*[
-        F.struct(F.lit(name).alias("name"), F.lit(lat).alias("lat"), F.lit(lon).alias("lon"),
-                 F.lit(mod).alias("aqi_modifier"), F.lit(ff).alias("free_flow"),
-                 F.array(*[F.lit(h) for h in rush]).alias("rush_hours"))
-        for name, lat, lon, mod, ff, rush in S.ZONES
-    ])
-    return F.element_at(arr, (idx + 1).cast("int"))
+    return F.element_at(F.expr(_ZONE_ARRAY_SQL), (idx + 1).cast("int"))
 
 
 def _dbl(c: Column) -> Column:
