@@ -67,6 +67,16 @@ def test_history_segments_agree(spark, segment):
     assert sorted(map(tuple, base.collect())) == sorted(map(tuple, other.collect()))
 
 
+@pytest.mark.parametrize("segment", ["day", "week"])
+def test_history_without_tick_broadcast_agrees(spark, segment):
+    """Beyond the broadcast bound the grid is an equi-join on the tick: same history."""
+    parsed = P.parse_all(message_columns(fixtures.read_messages(spark, "/root/testdata/sf0.001")))
+    base = H.replay_history(parsed, AS_OF, segment=segment)
+    spread = H.replay_history(parsed, AS_OF, segment=segment, max_broadcast_ticks=0)
+    rows = sorted(map(tuple, base.collect()))
+    assert rows and rows == sorted(map(tuple, spread.collect()))
+
+
 def test_debug_sinks(spark, capsys):
     """SNK-08 vertical display and SNK-01 console stream (append, one pass)."""
     from zoneflow.sinks.documents import show_vertical

@@ -8,7 +8,8 @@ streams, built from shuffles, joins and windows:
 1. one aggregation reduces the messages to the newest reading per (zone, tick, feed) - partial
    aggregation before the shuffle, so a hot zone sends one row per map task and tick;
 2. the (zone, tick) grid comes from an equi-join of the non-empty ticks with each zone's segments
-   (days by default) from its first tick on - no cross join;
+   (days by default) from its first tick on - no cross join. The ticks are counted first and
+   broadcast only within a fixed bound; beyond it the grid is an equi-join on the tick itself;
 3. the newest reading is carried forward with ``last(..., ignorenulls)`` over windows partitioned
    by (zone, segment), so no task holds a zone's whole history; each segment starts from a
    carry-in computed on the small per-(zone, segment) table.
@@ -47,8 +48,35 @@ def per_tick_latest(parsed: DataFrame, tick: str, until: dt.datetime) -> DataFra
                    for r in L.READINGS]))
 
 
+# Non-empty ticks broadcast to every task at most (a tick row is a timestamp and its segment,
+# a few tens of bytes: about 32 MB at this bound).
+MAX_BROADCAST_TICKS = 1_000_000
+
+
+def _zone_tick_grid(first_ticks: DataFrame, zone_segments: DataFrame, ticks: DataFrame,
+                    tick: str, segment: str, max_broadcast_ticks: int) -> DataFrame:
+    """(norm_zone, segment, synchronized_time): every non-empty tick from each zone's first one.
+
+    The number of non-empty ticks is counted first (one row back to the driver). Within the
+    bound, the ticks are broadcast and joined to each zone's segments: the zones stay where they
+    are. Beyond it, no broadcast: each zone's ticks are generated from its first tick to the
+    last non-empty one and equi-joined with the non-empty ticks on the tick itself, so the work
+    is spread by tick (a segment key would put every zone of a day into one task).
+    """
+    stats = ticks.agg(F.count(F.lit(1)).alias("n"), F.max("synchronized_time").alias("last")).first()
+    if stats["n"] <= max_broadcast_ticks:
+        return (zone_segments.join(F.broadcast(ticks), "segment")
+                .filter(F.col("synchronized_time") >= F.col("first_tick"))
+                .select("norm_zone", "segment", "synchronized_time"))
+    every_tick = first_ticks.select("norm_zone", F.explode(F.sequence(
+        F.col("first_tick"), ntz(stats["last"]), F.expr(f"INTERVAL {tick}"))).alias("synchronized_time"))
+    return (every_tick.join(ticks, "synchronized_time")
+            .select("norm_zone", "segment", "synchronized_time"))
+
+
 def replay_states(parsed: DataFrame, until: dt.datetime, tick: str = "1 hour",
-                  segment: str = "day", materialize: bool = True) -> DataFrame:
+                  segment: str = "day", materialize: bool = True,
+                  max_broadcast_ticks: int = MAX_BROADCAST_TICKS) -> DataFrame:
     """(norm_zone, synchronized_time, aqi_reading, traffic_reading, weather_reading) for every
     non-empty tick ending at or before ``until``, from each zone's first tick on.
 
@@ -66,15 +94,13 @@ def replay_states(parsed: DataFrame, until: dt.datetime, tick: str = "1 hour",
     readings = per_tick.filter(F.col("_zone_ok")).drop("_zone_ok")
 
     step = F.expr(f"INTERVAL 1 {_SEGMENT_UNITS[segment]}")
-    zone_segments = (readings.groupBy("norm_zone")
-                     .agg(F.min("synchronized_time").alias("first_tick"))
-                     .select("norm_zone", "first_tick", F.explode(F.sequence(
-                         _segment_of(F.col("first_tick"), segment),
-                         _segment_of(ntz(until), segment), step)).alias("segment")))
-
-    grid = (zone_segments.join(ticks, "segment")
-            .filter(F.col("synchronized_time") >= F.col("first_tick"))
-            .select("norm_zone", "segment", "synchronized_time"))
+    first_ticks = (readings.groupBy("norm_zone")
+                   .agg(F.min("synchronized_time").alias("first_tick")))
+    zone_segments = first_ticks.select(
+        "norm_zone", "first_tick", F.explode(F.sequence(
+            _segment_of(F.col("first_tick"), segment),
+            _segment_of(ntz(until), segment), step)).alias("segment"))
+    grid = _zone_tick_grid(first_ticks, zone_segments, ticks, tick, segment, max_broadcast_ticks)
 
     # Newest reading of each feed per (zone, segment), then carried in from earlier segments.
     seg_last = (readings.withColumn("segment", _segment_of(F.col("synchronized_time"), segment))
@@ -101,9 +127,10 @@ def replay_states(parsed: DataFrame, until: dt.datetime, tick: str = "1 hour",
 
 def replay_history(parsed: DataFrame, until: dt.datetime, tick: str = "1 hour",
                    segment: str = "day", zones: DataFrame | None = None,
-                   materialize: bool = True) -> DataFrame:
+                   materialize: bool = True,
+                   max_broadcast_ticks: int = MAX_BROADCAST_TICKS) -> DataFrame:
     """The unified documents (41 columns) of every tick, as the stream would have written them."""
-    states = replay_states(parsed, until, tick, segment, materialize)
+    states = replay_states(parsed, until, tick, segment, materialize, max_broadcast_ticks)
     rows = L.expand_readings(states, extra=("synchronized_time",))
     if zones is not None:
         rows = U.known_zones_only(rows, zones)
