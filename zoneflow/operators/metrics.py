@@ -119,7 +119,10 @@ def summary_maps(history: DataFrame, as_of: dt.datetime,
 
 def trends(history: DataFrame, as_of: dt.datetime, range_minutes: int = S.RANGE_MINUTES_DEFAULT,
            bucket: str = S.TREND_BUCKET) -> DataFrame:
-    """AG-09: epoch-aligned buckets (empty ones left out), four averages and the trap count."""
+    """AG-09: epoch-aligned buckets (empty ones left out), four averages and the trap count.
+
+    ``time`` is the bucket start as the store prints a histogram key (UTC, milliseconds, ``Z``);
+    rows come in bucket order."""
     r = in_range(history, as_of, range_minutes)
     return (r.groupBy(F.window("synchronized_time", bucket).alias("w")).agg(
         F.count(F.lit(1)).alias("record_count"),
@@ -128,9 +131,9 @@ def trends(history: DataFrame, as_of: dt.datetime, range_minutes: int = S.RANGE_
         r1(F.avg("current_speed_kmph")).alias("avg_speed"),
         r1(F.avg("temperature_c")).alias("avg_temperature"),
         F.count_if(is_trap()).alias("pollution_trap_count"),
-    ).select(F.col("w.start").alias("time"), "record_count", "avg_aqi", "avg_congestion",
-             "avg_speed", "avg_temperature", "pollution_trap_count")
-     .orderBy("time"))
+    ).orderBy("w.start")
+     .select(store_time_text(F.col("w.start")).alias("time"), "record_count", "avg_aqi",
+             "avg_congestion", "avg_speed", "avg_temperature", "pollution_trap_count"))
 
 
 def newest(history: DataFrame, n: int) -> DataFrame:

@@ -289,7 +289,7 @@ def summary_maps_sql(minutes: int) -> str:
 
 
 def trends_sql(minutes: int) -> str:
-    return with_base(f"""SELECT time_bucket(INTERVAL 30 SECOND, synchronized_time) AS time,
+    return with_base(f"""SELECT {store_time_sql('time_bucket(INTERVAL 30 SECOND, synchronized_time)')} AS time,
   CAST(count(*) AS BIGINT) AS record_count,
   round(avg(aqi), 1) AS avg_aqi,
   round(avg(congestion_pct), 1) AS avg_congestion,
