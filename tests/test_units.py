@@ -77,6 +77,27 @@ def test_history_without_tick_broadcast_agrees(spark, segment):
     assert rows and rows == sorted(map(tuple, spread.collect()))
 
 
+def test_dimension_broadcast_is_size_checked(spark):
+    """A dimension is broadcast only within the row bound; beyond it the join keeps no hint and
+    gives the same rows."""
+    from zoneflow.operators.dims import broadcast_if_small
+    from zoneflow.operators.zones import with_zone_attributes, zone_dimension
+    dim = zone_dimension(spark)
+    facts = spark.createDataFrame([(n, i) for i, n in enumerate(["FC Road", "Hinjewadi", "x"] * 3)],
+                                  "zone_name string, i int")
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+    assert hinted(broadcast_if_small(dim)) and not hinted(broadcast_if_small(dim, max_rows=4))
+    small = facts.join(broadcast_if_small(dim), "zone_name").select("zone_name", "i", "zone_lat")
+    large = facts.join(broadcast_if_small(dim, max_rows=4), "zone_name").select("zone_name", "i", "zone_lat")
+    rows = sorted(map(tuple, small.collect()))
+    assert len(rows) == 6 and rows == sorted(map(tuple, large.collect()))
+    assert sorted(map(tuple, with_zone_attributes(facts, dim).select("zone_name", "i", "zone_lat")
+                      .collect())) == rows
+
+
 def test_debug_sinks(spark, capsys):
     """SNK-08 vertical display and SNK-01 console stream (append, one pass)."""
     from zoneflow.sinks.documents import show_vertical

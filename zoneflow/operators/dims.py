@@ -1,0 +1,20 @@
+"""Broadcast of a dimension only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimension rows broadcast to every task at most (zone dimensions are a handful of rows; a
+# dimension row is a name and a few numbers, so this bound stays within a few MB).
+MAX_BROADCAST_DIM_ROWS = 100_000
+
+
+def broadcast_if_small(dim: DataFrame, max_rows: int = MAX_BROADCAST_DIM_ROWS) -> DataFrame:
+    """``dim`` with a broadcast hint when it has at most ``max_rows`` rows; otherwise unchanged,
+    and the join shuffles both sides on its key (or AQE broadcasts it if measured small).
+
+    The check reads at most ``max_rows + 1`` rows (a limit, then a count), so its cost is bounded
+    whatever the dimension's size.
+    """
+    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim

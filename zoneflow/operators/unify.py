@@ -12,6 +12,7 @@ from zoneflow import schemas as S
 from zoneflow.functions.rules import unified_rule_columns
 from zoneflow.functions.times import ntz
 from zoneflow.operators import latest as L
+from zoneflow.operators.dims import broadcast_if_small
 from zoneflow.operators import parse as P
 from zoneflow.session import ensure_checkpoint_dir
 
@@ -22,9 +23,9 @@ def expected_zones(spark: SparkSession, zones: tuple[str, ...] = S.EXPECTED_ZONE
 
 
 def known_zones_only(df: DataFrame, zones: DataFrame) -> DataFrame:
-    """PRJ-07: keep rows whose ``norm_zone`` is in the zone dimension (left-semi, broadcast:
-    the dimension is a fixed, small literal list)."""
-    return df.join(F.broadcast(zones), "norm_zone", "left_semi")
+    """PRJ-07: keep rows whose ``norm_zone`` is in the zone dimension (left-semi; the dimension
+    is broadcast when its row count is within the bound, as the fixed literal list always is)."""
+    return df.join(broadcast_if_small(zones), "norm_zone", "left_semi")
 
 
 def join_latest(messages: DataFrame, materialize: bool = True) -> DataFrame:

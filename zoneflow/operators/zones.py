@@ -9,6 +9,7 @@ from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StringType, S
                                StructType)
 
 from zoneflow import schemas as S
+from zoneflow.operators.dims import broadcast_if_small
 
 ZONE_DIM_SCHEMA = StructType([
     StructField("zone_name", StringType(), False),
@@ -29,12 +30,12 @@ def zone_dimension(spark: SparkSession) -> DataFrame:
 def with_zone_attributes(df: DataFrame, zones: DataFrame, zone_col: str = "zone_name") -> DataFrame:
     """JN-04: attach coordinates, modifier, free-flow speed and rush hours by zone name.
 
-    The dimension is a fixed handful of rows, so broadcasting it is safe and the fact side
-    never shuffles.
+    The dimension is broadcast when its row count is within the bound (the fixed five-zone
+    dimension always is), so the fact side never shuffles.
     """
     if zone_col != "zone_name":
         df = df.withColumnRenamed(zone_col, "zone_name")
-    return df.join(F.broadcast(zones), "zone_name", "inner")
+    return df.join(broadcast_if_small(zones), "zone_name", "inner")
 
 
 def fan_out_to_zones(df: DataFrame) -> DataFrame:
