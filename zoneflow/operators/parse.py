@@ -74,17 +74,30 @@ def parse_all(messages: DataFrame) -> DataFrame:
     topic = F.col("topic")
     parsed = [F.when(topic == t, F.from_json("json_payload", S.FEED_SCHEMAS[t])).alias(f"_p{i}")
               for i, t in enumerate(S.TOPICS)]
-    readings = []
-    for i, t in enumerate(S.TOPICS):
-        p = F.col(f"_p{i}")
-        fields = feed_columns(t, p)[1:]  # norm_zone is carried outside the struct
-        readings.append(F.when(p.isNotNull(), F.struct(*fields)).alias(f"{S.FEED_PREFIX[t]}_reading"))
+    readings = [F.expr(_reading_sql(t, f"_p{i}")).alias(f"{S.FEED_PREFIX[t]}_reading")
+                for i, t in enumerate(S.TOPICS)]
     zone = normalize_zone(F.coalesce(*[F.col(f"_p{i}.zone") for i in range(len(S.TOPICS))]))
     return (messages
             .select("topic", *KAFKA_COLS, *parsed)
             .select("topic", zone.alias("norm_zone"), *KAFKA_COLS, *readings))
 
 
+def _reading_sql(topic: str, parsed: str) -> str:
+    """The reading struct of one feed from its parsed struct column, as one SQL expression: the
+    same fields as ``feed_columns`` (NaN doubles to null, Kafka columns with the feed prefix),
+    null when the message is not of this feed. Given as text, it is one call to the JVM to build
+    rather than several per field."""
+    types = {f.name: f.dataType for f in S.FEED_SCHEMAS[topic].fields}
+    fields = []
+    for src, out in S.FEED_COLUMNS[topic]:
+        v = f"{parsed}.`{src}`"
+        if isinstance(types[src], DoubleType):
+            v = f"nanvl({v}, CAST(NULL AS DOUBLE))"
+        fields.append(f"'{out}', {v}")
+    fields += [f"'{S.FEED_PREFIX[topic]}_{k}', `{k}`" for k in KAFKA_COLS]
+    return f"CASE WHEN {parsed} IS NOT NULL THEN named_struct({', '.join(fields)}) END"
+
+
 def _bad_type(topic: str, raw: Column, typed: Column) -> Column:
     """True when a field is present in the payload but did not parse into its declared type."""
     checks = [raw[f.name].isNotNull() & typed[f.name].isNull() for f in S.FEED_SCHEMAS[topic].fields]

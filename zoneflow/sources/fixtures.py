@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow import schemas as S
-from zoneflow.functions.text import iso_text, sensor_id
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,62 +48,64 @@ def zone_lookup(idx: Column) -> Column:
     return F.element_at(F.expr(_ZONE_ARRAY_SQL), (idx + 1).cast("int"))
 
 
-def _dbl(c: Column) -> Column:
-    return c.cast("double")
+def _sensor_id_sql(topic: str, name: str) -> str:
+    """SC-12 as SQL text (the same rule as ``functions.text.sensor_id``)."""
+    return f"concat('{S.SENSOR_PREFIX[topic]}', upper(replace({name}, ' ', '')), '{S.SENSOR_SUFFIX}')"
+
+
+def _payload_sql() -> str:
+    """The JSON payload of each message as one SQL expression over ``_k``, ``_zone`` and the
+    event's columns: the topic slot (``event_id % 3``) picks the feed, and each feed's fields
+    are plain arithmetic on k (FIXTURES.md §7)."""
+    name = "_zone.name"
+    zone_text = f"CASE WHEN user_id % 10 >= 5 THEN concat(' ', upper({name}), ' ') ELSE {name} END"
+    ts_text = "date_format(ts, 'yyyy-MM-dd\\'T\\'HH:mm:ss')"
+    k = "CAST(_k AS DOUBLE)"
+    quarter = f"{k} / 4"
+    aqi = [("sensor_id", _sensor_id_sql(S.AQI_TOPIC, name)), ("zone", zone_text),
+           ("lat", "_zone.lat"), ("lon", "_zone.lon"), ("aqi", "_k * 4"), ("pm25", f"{k} / 2"),
+           ("pm10", k), ("no2", quarter), ("co", f"{k} / 8"), ("temperature", f"{quarter} + 20"),
+           ("humidity", k), ("wind", "value"), ("timestamp", ts_text)]
+    traffic = [("sensor_id", _sensor_id_sql(S.TRAFFIC_TOPIC, name)), ("zone", zone_text),
+               ("lat", "_zone.lat"), ("lon", "_zone.lon"), ("timestamp", ts_text),
+               ("current_speed_kmph", f"50.0D - {k} / 2"), ("free_flow_speed", "50"),
+               ("congestion_pct", k), ("road_closure", "event_type = 'error'"),
+               ("data_source", "'fixture'")]
+    weather = [("sensor_id", _sensor_id_sql(S.WEATHER_TOPIC, name)), ("zone", zone_text),
+               ("lat", "_zone.lat"), ("lon", "_zone.lon"), ("temperature_c", f"{quarter} + 20"),
+               ("wind_speed_kmph", "value"), ("humidity_pct", "_k"), ("rainfall_mm", f"{k} / 16"),
+               ("pressure_hpa", f"{quarter} + 1000"), ("timestamp", ts_text)]
+
+    def json(fields):
+        return "to_json(named_struct(" + ", ".join(f"'{n}', {e}" for n, e in fields) + "))"
+    return (f"CASE event_id % 3 WHEN 0 THEN {json(aqi)} WHEN 1 THEN {json(traffic)} "
+            f"ELSE {json(weather)} END")
+
+
+_PAYLOAD_SQL = _payload_sql()
+_TOPIC_SQL = (f"CASE event_id % 3 WHEN 0 THEN '{S.AQI_TOPIC}' WHEN 1 THEN '{S.TRAFFIC_TOPIC}' "
+              f"ELSE '{S.WEATHER_TOPIC}' END")
 
 
 def events_to_messages(events: DataFrame, keep_k: bool = False) -> DataFrame:
     """Kafka-shaped rows: key, value, topic, partition, offset, timestamp, timestampType
-    (and the event's ``_k`` when ``keep_k``)."""
-    # k and the zone are computed once per row, then used by every payload field.
-    events = events.select("event_id", "ts", "user_id", "event_type", "value",
-                           F.get_json_object("props", "$.k").try_cast("int").alias("_k"),
-                           zone_lookup(F.col("user_id") % 5).alias("_zone"))
-    k = F.col("_k")
-    zone = F.col("_zone")
-    name = zone["name"]
-    zone_text = F.when(F.col("user_id") % 10 >= 5, F.concat(F.lit(" "), F.upper(name), F.lit(" "))
-                       ).otherwise(name)
-    ts_text = iso_text("ts")
-    quarter = _dbl(k) / 4
-
-    aqi = F.struct(
-        sensor_id(S.AQI_TOPIC, name).alias("sensor_id"), zone_text.alias("zone"),
-        zone["lat"].alias("lat"), zone["lon"].alias("lon"),
-        (k * 4).alias("aqi"), (_dbl(k) / 2).alias("pm25"), _dbl(k).alias("pm10"),
-        quarter.alias("no2"), (_dbl(k) / 8).alias("co"),
-        (quarter + 20).alias("temperature"), _dbl(k).alias("humidity"),
-        F.col("value").alias("wind"), ts_text.alias("timestamp"),
-    )
-    traffic = F.struct(
-        sensor_id(S.TRAFFIC_TOPIC, name).alias("sensor_id"), zone_text.alias("zone"),
-        zone["lat"].alias("lat"), zone["lon"].alias("lon"), ts_text.alias("timestamp"),
-        (F.lit(50.0) - _dbl(k) / 2).alias("current_speed_kmph"),
-        F.lit(50).alias("free_flow_speed"), _dbl(k).alias("congestion_pct"),
-        (F.col("event_type") == "error").alias("road_closure"),
-        F.lit("fixture").alias("data_source"),
-    )
-    weather = F.struct(
-        sensor_id(S.WEATHER_TOPIC, name).alias("sensor_id"), zone_text.alias("zone"),
-        zone["lat"].alias("lat"), zone["lon"].alias("lon"),
-        (quarter + 20).alias("temperature_c"), F.col("value").alias("wind_speed_kmph"),
-        k.alias("humidity_pct"), (_dbl(k) / 16).alias("rainfall_mm"),
-        (quarter + 1000).alias("pressure_hpa"), ts_text.alias("timestamp"),
-    )
-    slot = F.col("event_id") % 3
-    topic = (F.when(slot == 0, S.AQI_TOPIC).when(slot == 1, S.TRAFFIC_TOPIC)
-             .otherwise(S.WEATHER_TOPIC))
-    payload = (F.when(slot == 0, F.to_json(aqi)).when(slot == 1, F.to_json(traffic))
-               .otherwise(F.to_json(weather)))
-    return events.select(
-        F.lit(None).cast("binary").alias("key"),
-        F.encode(payload, "UTF-8").alias("value"),
-        topic.alias("topic"),
-        F.lit(0).alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.col("ts").alias("timestamp"),
-        F.lit(0).alias("timestampType"),
-        *([F.col("_k")] if keep_k else []),
+    (and the event's ``_k`` when ``keep_k``).
+
+    Two projections given as SQL text (one call to the JVM each, not one per field): k and the
+    zone are computed once per row, then every payload field reads them."""
+    events = events.selectExpr(
+        "event_id", "ts", "user_id", "event_type", "value",
+        "try_cast(get_json_object(props, '$.k') AS INT) AS _k",
+        f"element_at({_ZONE_ARRAY_SQL}, CAST(user_id % 5 + 1 AS INT)) AS _zone")
+    return events.selectExpr(
+        "CAST(NULL AS BINARY) AS key",
+        f"encode({_PAYLOAD_SQL}, 'UTF-8') AS value",
+        f"{_TOPIC_SQL} AS topic",
+        "0 AS `partition`",
+        "event_id AS `offset`",
+        "ts AS `timestamp`",
+        "0 AS timestampType",
+        *(["_k"] if keep_k else []),
     )
 
 
