@@ -98,13 +98,11 @@ def _reading_sql(topic: str, parsed: str) -> str:
     return f"CASE WHEN {parsed} IS NOT NULL THEN named_struct({', '.join(fields)}) END"
 
 
-def _bad_type(topic: str, raw: Column, typed: Column) -> Column:
-    """True when a field is present in the payload but did not parse into its declared type."""
-    checks = [raw[f.name].isNotNull() & typed[f.name].isNull() for f in S.FEED_SCHEMAS[topic].fields]
-    out = checks[0]
-    for c in checks[1:]:
-        out = out | c
-    return out
+def _bad_type(topic: str, raw: str, typed: str) -> Column:
+    """True when a field is present in the payload (the text map ``raw``) but did not parse into
+    its declared type (null in the typed struct ``typed``). One SQL expression per feed."""
+    return F.expr(" OR ".join(f"({raw}['{f.name}'] IS NOT NULL AND {typed}.`{f.name}` IS NULL)"
+                              for f in S.FEED_SCHEMAS[topic].fields))
 
 
 def with_reject_reason(messages: DataFrame) -> DataFrame:
@@ -125,7 +123,7 @@ def with_reject_reason(messages: DataFrame) -> DataFrame:
     zone = normalize_zone(raw["zone"])
     bad_type = F.lit(False)
     for i, t in enumerate(S.TOPICS):
-        bad_type = F.when(topic == t, _bad_type(t, raw, F.col(f"_t{i}"))).otherwise(bad_type)
+        bad_type = F.when(topic == t, _bad_type(t, "_raw", f"_t{i}")).otherwise(bad_type)
     reason = (F.when(~topic.isin(*S.TOPICS) | topic.isNull(), "unknown_topic")
               .when(raw.isNull(), "malformed_json")
               .when(zone.isNull() | (zone == ""), "missing_zone")
