@@ -12,7 +12,8 @@ streams, built from shuffles, joins and windows:
    broadcast only within a fixed bound; beyond it the grid is an equi-join on the tick itself;
 3. the newest reading is carried forward with ``last(..., ignorenulls)`` over windows partitioned
    by (zone, segment), so no task holds a zone's whole history; each segment starts from a
-   carry-in computed on the small per-(zone, segment) table.
+   carry-in computed on the small per-(zone, segment) table. Carry-in, reading and grid rows
+   are one union, shuffled once on (zone, segment): the grid is never joined to the readings.
 
 Readings are carried as whole structs, so a null field in the newest reading is never filled
 from an older one.
@@ -115,13 +116,26 @@ def replay_states(parsed: DataFrame, until: dt.datetime, tick: str = "1 hour",
                         *[F.last(r, ignorenulls=True).over(before).alias(f"_in_{r}")
                           for r in L.READINGS]))
 
-    so_far = (Window.partitionBy("norm_zone", "segment").orderBy("synchronized_time")
+    # Carry-in rows (at the segment start), reading rows and grid rows in one union, shuffled
+    # once on (zone, segment): within a tick the carry-in and the reading sort before the grid
+    # row, so the grid row's running last() sees them. No join on the grid's size.
+    kind = {"carry": 0, "reading": 1, "grid": 2}
+    types = {r: readings.schema[r].dataType for r in (*L.READINGS, "synchronized_time")}
+    rows = (carry_in.select("norm_zone", "segment",
+                            F.col("segment").cast(types["synchronized_time"]).alias("synchronized_time"),
+                            F.lit(kind["carry"]).alias("_kind"),
+                            *[F.col(f"_in_{r}").alias(r) for r in L.READINGS])
+            .unionByName(readings.select(
+                "norm_zone", _segment_of(F.col("synchronized_time"), segment).alias("segment"),
+                "synchronized_time", F.lit(kind["reading"]).alias("_kind"), *L.READINGS))
+            .unionByName(grid.select(
+                "norm_zone", "segment", "synchronized_time", F.lit(kind["grid"]).alias("_kind"),
+                *[F.lit(None).cast(types[r]).alias(r) for r in L.READINGS])))
+    so_far = (Window.partitionBy("norm_zone", "segment").orderBy("synchronized_time", "_kind")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    filled = (grid.join(readings, ["norm_zone", "synchronized_time"], "left")
-              .join(carry_in, ["norm_zone", "segment"], "left")
-              .select("norm_zone", "synchronized_time",
-                      *[F.coalesce(F.last(r, ignorenulls=True).over(so_far), F.col(f"_in_{r}"))
-                        .alias(r) for r in L.READINGS]))
+    filled = (rows.select("norm_zone", "synchronized_time", "_kind",
+                          *[F.last(r, ignorenulls=True).over(so_far).alias(r) for r in L.READINGS])
+              .filter(F.col("_kind") == kind["grid"]).drop("_kind"))
     return L.complete(filled)
 
 
