@@ -43,6 +43,27 @@ def test_latest_window_is_limited_before_shuffle(spark):
     assert plan.count("WindowGroupLimit") >= 2, plan
 
 
+def test_history_shuffles_the_grid_once(spark):
+    # as for tables too big to broadcast: the grid and the readings meet in one exchange on
+    # (zone, segment); the only sort-merge join is on the small per-(zone, day) table
+    import re
+    from zoneflow.operators import history as H, parse as P
+    from zoneflow.plans import catalog as C
+    from zoneflow.plans.params import AS_OF, TICK
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",
+                                           "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = executed_plan(H.replay_states(P.parse_all(C.message_cols(spark, SF_SMALL)),
+                                             AS_OF, TICK))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert plan.count("SortMergeJoin") == 1, plan
+    assert not re.search(r"hashpartitioning\(norm_zone#\d+, synchronized_time#\d+", plan), plan
+
+
 def test_three_way_join_reads_the_source_once(spark):
     # the newest row per (zone, feed) is checkpointed; the three join sides read that table
     plan = executed_plan(E.queries()["jn_01_three_way_join"](spark, SF_SMALL))
