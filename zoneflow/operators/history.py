@@ -108,19 +108,25 @@ def replay_states(parsed: DataFrame, until: dt.datetime, tick: str = "1 hour",
                 .groupBy("norm_zone", "segment")
                 .agg(*[F.max_by(F.col(r), F.when(F.col(r).isNotNull(), F.col("synchronized_time")))
                        .alias(r) for r in L.READINGS]))
-    before = (Window.partitionBy("norm_zone").orderBy("segment")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carry_in = (zone_segments.select("norm_zone", "segment")
-                .join(seg_last, ["norm_zone", "segment"], "left")
-                .select("norm_zone", "segment",
+    types = {r: readings.schema[r].dataType for r in (*L.READINGS, "synchronized_time")}
+    nulls = [F.lit(None).cast(types[r]).alias(r) for r in L.READINGS]
+    # The zone's segments and its per-segment newest readings in one union, shuffled once on the
+    # zone: a segment row sorts before that segment's readings, so its running last() sees the
+    # readings of earlier segments only.
+    before = (Window.partitionBy("norm_zone").orderBy("segment", "_kind")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    carry_in = (zone_segments.select("norm_zone", "segment", F.lit(0).alias("_kind"), *nulls)
+                .unionByName(seg_last.select("norm_zone", "segment", F.lit(1).alias("_kind"),
+                                             *L.READINGS))
+                .select("norm_zone", "segment", "_kind",
                         *[F.last(r, ignorenulls=True).over(before).alias(f"_in_{r}")
-                          for r in L.READINGS]))
+                          for r in L.READINGS])
+                .filter(F.col("_kind") == 0).drop("_kind"))
 
     # Carry-in rows (at the segment start), reading rows and grid rows in one union, shuffled
     # once on (zone, segment): within a tick the carry-in and the reading sort before the grid
     # row, so the grid row's running last() sees them. No join on the grid's size.
     kind = {"carry": 0, "reading": 1, "grid": 2}
-    types = {r: readings.schema[r].dataType for r in (*L.READINGS, "synchronized_time")}
     rows = (carry_in.select("norm_zone", "segment",
                             F.col("segment").cast(types["synchronized_time"]).alias("synchronized_time"),
                             F.lit(kind["carry"]).alias("_kind"),
@@ -130,7 +136,7 @@ def replay_states(parsed: DataFrame, until: dt.datetime, tick: str = "1 hour",
                 "synchronized_time", F.lit(kind["reading"]).alias("_kind"), *L.READINGS))
             .unionByName(grid.select(
                 "norm_zone", "segment", "synchronized_time", F.lit(kind["grid"]).alias("_kind"),
-                *[F.lit(None).cast(types[r]).alias(r) for r in L.READINGS])))
+                *nulls)))
     so_far = (Window.partitionBy("norm_zone", "segment").orderBy("synchronized_time", "_kind")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     filled = (rows.select("norm_zone", "synchronized_time", "_kind",
