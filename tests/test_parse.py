@@ -1,5 +1,8 @@
 """Malformed and edge-case payloads (FIXTURES.md §8): parse results and reject reasons."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from zoneflow import schemas as S
 from zoneflow.operators import parse as P
 
@@ -60,3 +63,21 @@ def test_unknown_topic(spark):
                                "topic string, json_payload string, kafka_time timestamp_ntz, "
                                "kafka_partition int, kafka_offset long")
     assert P.with_reject_reason(df).first()["reject_reason"] == "unknown_topic"
+
+
+@pytest.mark.parametrize("topic", S.TOPICS)
+def test_one_pass_parse_equals_per_feed_parse(spark, topic):
+    """``parse_all`` builds each reading struct from SQL text; its fields and values equal the
+    per-feed parse (``parse_feed``), on the edge cases and on the fixture messages."""
+    from conftest import SF_SMALL
+    from zoneflow.sources import fixtures
+    from zoneflow.sources.kafka import message_columns
+    edge = frame(spark).drop("case").withColumn("topic", F.lit(topic))
+    for msgs in (edge, message_columns(fixtures.read_messages(spark, SF_SMALL))):
+        per_feed = P.parse_feed(msgs, topic)
+        reading = f"{S.FEED_PREFIX[topic]}_reading"
+        one_pass = (P.parse_all(msgs).filter(F.col("topic") == topic)
+                    .select("norm_zone", f"{reading}.*"))
+        assert one_pass.columns == per_feed.columns
+        rows = sorted(map(repr, per_feed.collect()))
+        assert rows and rows == sorted(map(repr, one_pass.collect()))
