@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zoneflow.llm import bpe
+from zoneflow.llm import bpe, secrets
 from zoneflow.llm.common import table
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every whole text: the three base kinds, and tokens that pass the randomness battery."""
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact ids of every whole text, and the digest of the text decoded from them."""
     import public_tokenizers
@@ -17,6 +22,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_secrets": op7_secrets,
     "op10_bpe": op10_bpe,
 }
 
