@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zoneflow.llm import bpe, secrets
+from zoneflow.llm import bpe, jaccard, secrets
 from zoneflow.llm.common import table
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its near-duplicate class (5-word sets, similarity 0.8 or more) and its number of links."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every whole text: the three base kinds, and tokens that pass the randomness battery."""
     return secrets.secret_report(table(spark, sf_dir, "documents"))
@@ -22,6 +27,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_secrets": op7_secrets,
     "op10_bpe": op10_bpe,
 }
