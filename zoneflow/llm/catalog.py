@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zoneflow.llm import bpe, jaccard, secrets
+from zoneflow.llm import bpe, jaccard, mixing, secrets
 from zoneflow.llm.common import table
 
 
@@ -18,6 +18,11 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of all documents to target weights takes of each."""
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact ids of every whole text, and the digest of the text decoded from them."""
     import public_tokenizers
@@ -29,7 +34,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op6_jaccard_join": op6_jaccard_join,
     "op7_secrets": op7_secrets,
+    "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op9_mixing": mixing.SQL,
+}
