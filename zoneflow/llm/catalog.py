@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zoneflow.llm import bpe, jaccard, mixing, secrets
+from zoneflow.llm import bpe, jaccard, mixing, secrets, toxicity
 from zoneflow.llm.common import table
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of being toxic for every whole text."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its near-duplicate class (5-word sets, similarity 0.8 or more) and its number of links."""
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
@@ -32,6 +37,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_toxicity": op5_toxicity,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_secrets": op7_secrets,
     "op9_mixing": op9_mixing,

@@ -34,6 +34,20 @@ def hash_sample(rows: DataFrame, limit: int, key: str = "doc_id") -> DataFrame:
     return rows.orderBy(F.xxhash64(F.col(key).cast("string")), F.col(key)).limit(limit)
 
 
+def sample_texts(docs: DataFrame, ids: DataFrame, limit: int, most_bytes: int, key: str = "doc_id",
+                 text: str = "text") -> list[tuple]:
+    """(key, text, further columns of ``ids``) for at most ``limit`` rows of ``ids``, by key: a bounded sample for the driver.
+
+    ``ids`` has the key and, say, a label; its rows are chosen by the key's hash, so only ``limit`` narrow rows meet the
+    documents. Null texts and texts of more than ``most_bytes`` bytes drop out of the sample, repeated keys count once.
+    """
+    chosen = F.broadcast(hash_sample(ids.dropna(subset=[key]).dropDuplicates([key]), limit, key))  # at most limit rows
+    rest = [c for c in ids.columns if c != key]
+    rows = (docs.select(key, F.col(text).alias("_text")).join(chosen, key)
+            .where(F.octet_length("_text") <= most_bytes).dropDuplicates([key]).select(key, "_text", *rest))
+    return sorted((tuple(r) for r in rows.collect()), key=lambda r: r[0])
+
+
 def written(frame: DataFrame, name: str) -> DataFrame:
     """``frame`` written as Parquet in the shared folder and read back: a lineage cut that survives lost executors.
 
