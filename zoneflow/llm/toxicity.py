@@ -1,6 +1,6 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic texts are the positives; all other texts of the sample are unlabelled, whatever they may be. With the
+Confirmed toxic texts are the positives; a sample of all texts is unlabelled, whatever they may be. With the
 class prior, the share of toxic texts, the risk of a classifier g is estimated without any confirmed clean text:
 
     prior * E_P[loss(g, +)]  +  max(0, E_U[loss(g, -)] - prior * E_P[loss(g, -)])
@@ -27,7 +27,8 @@ from zoneflow.llm.common import held_out, sample_texts, small_batches
 POSITIVES, UNLABELLED, TEXT_BYTES = 2000, 4000, 100_000
 #: Hashed features; lengths of the word beginnings; texts of the sample that must have a feature.
 FEATURES, BEGINNINGS, LEAST_TEXTS = 1 << 18, (3, 4, 5, 6, 7), 4
-#: Training: passes, texts of a batch, step, weight decay (more for few positives, see train); one of so many texts is kept to place the threshold.
+#: Training: passes, texts of a batch, step, weight decay (more for few positives); one of so many positives is kept to place
+#: the threshold.
 PASSES, BATCH, STEP, DECAY, KEPT = 20, 512, 0.05, 1e-3, 5
 #: Scale of the densities: words added to a text's own, and the power of the sum.
 PRIOR_WORDS, POWER = 10, 0.6
@@ -122,7 +123,7 @@ def train(positives: list[str], unlabelled: list[str], prior: float, passes: int
 
 
 def placed(w: np.ndarray, positives: list[str], unlabelled: list[str], prior: float) -> np.ndarray:
-    """``w`` with the bias moved so that probability 1/2 has the least estimated 0-1 risk on texts kept from training.
+    """``w`` with the bias moved so that probability 1/2 has the least estimated 0-1 risk, on positives kept from training.
 
     The risk is the same estimate with the 0-1 loss: prior * missed + max(0, found in unlabelled - prior * found)."""
     known = Weights(w)
@@ -134,19 +135,18 @@ def placed(w: np.ndarray, positives: list[str], unlabelled: list[str], prior: fl
     missed = np.searchsorted(p, cuts) / len(p)
     found = 1 - np.searchsorted(u, cuts) / len(u)
     risk = prior * missed + np.maximum(0, found - prior * (1 - missed))
-    best = np.flatnonzero(risk <= risk.min() + 1e-12)
+    least = risk.argmin()
+    error = np.sqrt(found[least] * (1 - found[least]) / len(u) + prior ** 2 * missed[least] * (1 - missed[least]) / len(p))
+    best = cuts[risk <= risk[least] + error / 2]  # cuts that this sample can't tell apart: their middle
     out = w.copy()
-    out[-1] -= np.median(cuts[best])
+    out[-1] -= (best[0] + best[-1]) / 2
     return out
 
 
 def fit(positives: list[str], unlabelled: list[str], prior: float) -> np.ndarray:
-    """Train on most of the sample and place the threshold on the rest."""
-    def split(texts: list[str]) -> tuple[list[str], list[str]]:
-        return [t for i, t in enumerate(texts) if i % KEPT], texts[::KEPT]
-
-    (p, p_kept), (u, u_kept) = split(positives), split(unlabelled)
-    return placed(train(p, u, prior), p_kept, u_kept, prior)
+    """Train without some positives, which then place the threshold."""
+    learnt = [t for i, t in enumerate(positives) if i % KEPT]
+    return placed(train(learnt, unlabelled, prior), positives[::KEPT], unlabelled, prior)
 
 
 class Weights(dict):
@@ -172,16 +172,15 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
           positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> np.ndarray:
     """The classifier of ``docs`` and ``labels``, from rows that are not held out.
 
-    Positives: at most ``positives`` documents labelled 1. Unlabelled: at most ``unlabelled`` other documents; their labels
-    are not looked at. The class prior is the mean of all labels that are not held out.
+    Positives: at most ``positives`` documents labelled 1. Unlabelled: at most ``unlabelled`` of all documents, as the
+    estimator takes them for a sample of everything; their labels are not looked at. The class prior is the mean of all labels that are not held out.
     """
     known = labels.where(~held_out(key) & F.col(label).isNotNull()).select(key, label)
     prior = known.agg(F.avg(F.col(label).cast("double"))).first()[0]
     prior = min(max(prior if prior is not None else 0.5, 1e-4), 1 - 1e-4)
     p = sample_texts(docs, known.where(F.col(label) == 1).select(key), positives, TEXT_BYTES, key, text)
     u = sample_texts(docs, docs.where(~held_out(key)).select(key), unlabelled, TEXT_BYTES, key, text)
-    confirmed = {k for k, _ in p}
-    return fit([t for _, t in p], [t for k, t in u if k not in confirmed], prior)
+    return fit([t for _, t in p], [t for _, t in u], prior)
 
 
 def scorer(docs: DataFrame, model: np.ndarray):
