@@ -16,6 +16,7 @@ import struct
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -193,7 +194,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, key: str = "doc_id", text
             ids = [bpe.encode(t) for t in batch["text"]]
             out = {key: batch["key"], "n_tokens": [len(i) // 4 for i in ids]}
             if with_ids:
-                out["ids"] = [list(memoryview(i).cast("I")) for i in ids]
+                out["ids"] = [np.frombuffer(i, "<u4").astype(np.int32) for i in ids]
             if check:
                 out["ids_sha256"] = [hashlib.sha256(i).hexdigest() for i in ids]
                 out["decoded_sha256"] = [hashlib.sha256(bpe.decode(i).encode()).hexdigest() for i in ids]

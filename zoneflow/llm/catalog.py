@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from zoneflow.llm import bpe, jaccard, mixing, secrets, toxicity
 from zoneflow.llm.common import table
 
@@ -42,6 +43,7 @@ QUERIES = {
     "op7_secrets": op7_secrets,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {
