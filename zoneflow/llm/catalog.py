@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from zoneflow.llm import bpe, jaccard, mixing, secrets, toxicity
+from zoneflow.llm import bpe, html_text, jaccard, mixing, secrets, toxicity
 from zoneflow.llm.common import table
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every whole page."""
+    return html_text.page_texts(table(spark, sf_dir, "pages"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability of being toxic for every whole text."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -38,6 +43,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html": op1_html,
     "op5_toxicity": op5_toxicity,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_secrets": op7_secrets,
