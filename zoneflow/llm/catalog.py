@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from zoneflow.llm import bpe, html_text, jaccard, mixing, secrets, toxicity
+from zoneflow.llm import bpe, html_text, jaccard, language, mixing, secrets, toxicity
 from zoneflow.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.page_texts(table(spark, sf_dir, "pages"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability of being toxic for every whole text."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -44,6 +49,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_html": op1_html,
+    "op2_language": op2_language,
     "op5_toxicity": op5_toxicity,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_secrets": op7_secrets,
