@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from zoneflow.llm import bpe, html_text, jaccard, language, mixing, secrets, toxicity
+from zoneflow.llm import bpe, html_text, jaccard, language, mixing, quality_rules, secrets, toxicity
 from zoneflow.llm.common import table
 
 
@@ -34,6 +34,11 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every whole text, and whether the cascade of rules keeps it."""
+    return quality_rules.quality(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of all documents to target weights takes of each."""
     return mixing.mix_report(table(spark, sf_dir, "documents"))
@@ -53,6 +58,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_secrets": op7_secrets,
+    "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
     "pipeline": corpus_pipeline.run,
