@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from zoneflow.llm import bpe, html_text, jaccard, language, mixing, quality_rules, secrets, toxicity
+from zoneflow.llm import bpe, html_text, jaccard, language, mixing, quality_net, quality_rules, secrets, toxicity
 from zoneflow.llm.common import table
 
 
@@ -19,6 +19,11 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of good quality for every whole text."""
+    return quality_net.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability of being toxic for every whole text."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -55,6 +60,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_html": op1_html,
     "op2_language": op2_language,
+    "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_secrets": op7_secrets,
