@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from zoneflow.llm import bpe, html_text, jaccard, language, mixing, quality_net, quality_rules, secrets, toxicity
+from zoneflow.llm import bpe, html_text, jaccard, language, mixing, neighbours, quality_net, quality_rules, secrets, toxicity
 from zoneflow.llm.common import table
 
 
@@ -19,6 +20,11 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest others of every hundredth vector."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability of good quality for every whole text."""
     return quality_net.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -60,6 +66,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_html": op1_html,
     "op2_language": op2_language,
+    "op3_nearest": op3_nearest,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_jaccard_join": op6_jaccard_join,

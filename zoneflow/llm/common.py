@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +64,18 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The runs of equal keys in sorted batches, each as one frame."""
+    rest: list[pd.DataFrame] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        change = np.flatnonzero((batch[keys].values[1:] != batch[keys].values[:-1]).any(axis=1)) + 1
+        for part in np.split(np.arange(len(batch)), change):
+            frame = batch.iloc[part]
+            if rest and (frame[keys].values[0] != rest[0][keys].values[0]).any():
+                yield pd.concat(rest)
+                rest = []
+            rest.append(frame)
+    if rest:
+        yield pd.concat(rest)
