@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as E
+from zoneflow.plans import catalog
 from conftest import SF_SMALL
 from oracle_check import compare, duck
 
-NAMES = sorted(E.queries())
+NAMES = sorted(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +17,7 @@ def con():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    r = compare(spark, name, E.queries()[name], E.oracle_sql().get(name), SF_SMALL, con)
+    r = compare(spark, name, catalog.QUERIES[name], catalog.SQL.get(name), SF_SMALL, con)
     assert r["status"] in ("ok", "rows-only"), r
 
 

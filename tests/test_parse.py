@@ -70,7 +70,7 @@ def test_one_pass_parse_equals_per_feed_parse(spark, topic):
     """``parse_all`` builds each reading struct from SQL text; its fields and values equal the
     per-feed parse (``parse_feed``), on the edge cases and on the fixture messages."""
     from conftest import SF_SMALL
-    from zoneflow.sources import fixtures
+    from zoneflow.plans import fixtures
     from zoneflow.sources.kafka import message_columns
     edge = frame(spark).drop("case").withColumn("topic", F.lit(topic))
     for msgs in (edge, message_columns(fixtures.read_messages(spark, SF_SMALL))):

@@ -11,7 +11,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as E
+from zoneflow.plans import catalog as E
 from conftest import SF_CHECK, SF_SMALL
 from oracle_check import compare
 
@@ -23,21 +23,21 @@ def executed_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.QUERIES))
 def test_no_cartesian_or_python_nodes(spark, name):
-    plan = executed_plan(E.queries()[name](spark, SF_SMALL))
+    plan = executed_plan(E.QUERIES[name](spark, SF_SMALL))
     assert not [n for n in FORBIDDEN if n in plan], plan
 
 
 def test_latest_state_is_partial_before_shuffle(spark):
-    plan = executed_plan(E.queries()["jn_02_latest_state_merge"](spark, SF_SMALL))
+    plan = executed_plan(E.QUERIES["jn_02_latest_state_merge"](spark, SF_SMALL))
     assert "partial_max_by" in plan
 
 
 def test_latest_window_is_limited_before_shuffle(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # the static plan shows both limits
     try:
-        plan = executed_plan(E.queries()["wn_01_latest_reading"](spark, SF_SMALL))
+        plan = executed_plan(E.QUERIES["wn_01_latest_reading"](spark, SF_SMALL))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("WindowGroupLimit") >= 2, plan
@@ -45,9 +45,10 @@ def test_latest_window_is_limited_before_shuffle(spark):
 
 def test_history_shuffles_the_grid_once(spark):
     # as for tables too big to broadcast: the grid and the readings meet in one exchange on
-    # (zone, segment), and the carry-in is a union and a window too: no sort-merge join
+    # (zone, segment), and the carry-in is a union and a window too: the one join is that of each
+    # zone's ticks with the non-empty ticks
     import re
-    from zoneflow.operators import history as H, parse as P
+    from zoneflow.operators import history as H
     from zoneflow.plans import catalog as C
     from zoneflow.plans.params import AS_OF, TICK
     old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",
@@ -55,24 +56,54 @@ def test_history_shuffles_the_grid_once(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = executed_plan(H.replay_states(P.parse_all(C.message_cols(spark, SF_SMALL)),
-                                             AS_OF, TICK))
+        plan = executed_plan(H.replay_states(C.message_cols(spark, SF_SMALL), AS_OF, TICK))
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
-    assert "SortMergeJoin" not in plan, plan
+    assert plan.count("SortMergeJoin") == 1, plan
     assert not re.search(r"hashpartitioning\(norm_zone#\d+, synchronized_time#\d+", plan), plan
 
 
-def test_three_way_join_reads_the_source_once(spark):
-    # the newest row per (zone, feed) is checkpointed; the three join sides read that table
-    plan = executed_plan(E.queries()["jn_01_three_way_join"](spark, SF_SMALL))
-    assert "FileScan" not in plan and plan.count("Scan ExistingRDD") == 3, plan
+def test_three_way_join_is_limited_before_each_shuffle(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = executed_plan(E.QUERIES["jn_01_three_way_join"](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # one exchange a feed, by zone, after a partial limit; the joins add none of their own
+    assert plan.count("WindowGroupLimit") == 6 and plan.count("Exchange hashpartitioning") == 3, plan
+
+
+def test_only_the_zone_is_parsed_before_the_reduction(spark):
+    for name in ("jn_02_latest_state_merge", "unified_snapshot"):
+        plan = E.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        above, below = plan.split("Aggregate [", 1)
+        assert above.count("from_json(StructField(sensor_id") >= 3, plan
+        assert "from_json(StructField(sensor_id" not in below and "from_json(StructField(zone" in below, plan
+
+
+def test_replay_scans_are_pruned(spark):
+    import re
+    plan = executed_plan(E.QUERIES["status_breakdown"](spark, SF_SMALL))
+    scans = re.findall(r"ReadSchema: (.*)", plan)
+    assert scans and "Scan ExistingRDD" not in plan
+    assert any("reading" not in x for x in scans), scans  # the tick and first-tick branches
+
+
+def test_deduplicated_range_read_prunes_dates(spark, tmp_path):
+    from zoneflow.operators import metrics as M
+    from zoneflow.plans.params import AS_OF
+    from zoneflow.sinks.documents import DocumentSink, write_batches
+    sink = DocumentSink(str(tmp_path))
+    write_batches(E.history(spark, SF_SMALL).withColumn("batch_id", F.lit(0)), sink.path)
+    plan = executed_plan(M.summary(sink.read(spark, keep_date=True), AS_OF, 60))
+    partition = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "sync_date" in partition and ">=" in partition, plan
 
 
 def test_zone_lookup_scan_is_pruned(spark):
-    plan = executed_plan(E.queries()["jn_04_zone_dimension_lookup"](spark, SF_SMALL))
-    assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in plan, plan
+    plan = executed_plan(E.QUERIES["jn_04_zone_dimension_lookup"](spark, SF_SMALL))
+    assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string>" in plan, plan
 
 
 SKEW_QUERIES = ("unified_snapshot", "jn_01_three_way_join", "jn_02_latest_state_merge",
@@ -108,5 +139,5 @@ def test_skewed_fixture_is_skewed(skewed_con):
 
 @pytest.mark.parametrize("name", SKEW_QUERIES)
 def test_skewed_zone_matches_oracle(spark, skewed_dir, skewed_con, name):
-    r = compare(spark, name, E.queries()[name], E.oracle_sql()[name], skewed_dir, skewed_con)
+    r = compare(spark, name, E.QUERIES[name], E.SQL[name], skewed_dir, skewed_con)
     assert r["status"] == "ok", r

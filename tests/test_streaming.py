@@ -13,7 +13,7 @@ from zoneflow.operators import unify as U
 from zoneflow.plans import catalog as C
 from zoneflow.sinks.documents import DocumentSink
 from zoneflow.sinks.publish import write_message_files
-from zoneflow.sources import fixtures
+from zoneflow.plans import fixtures
 from zoneflow.sources.kafka import message_columns
 from zoneflow.streaming import streams as ST
 
@@ -102,16 +102,72 @@ def test_replayed_batch_is_idempotent(spark, scratch):
     assert {r["aqi"] for r in sink.read(spark).collect()} == {1}
 
 
-def test_trend_stream_append_with_watermark(spark, scratch):
-    sf = "/root/testdata/sf0.001"
-    trend = ST.reading_trends(fixtures.read_message_stream(spark, sf), watermark="1 minute")
-    out = os.path.join(scratch, "trend")
-    q = ST.start_table_stream(trend, out, os.path.join(scratch, "ckpt"), output_mode="append")
-    q.awaitTermination()
-    streamed = spark.read.parquet(out).count()
-    batch = ST.reading_trends(fixtures.read_messages(spark, sf)).count()
-    # append mode holds back the windows still inside the watermark delay
-    assert 0 < streamed <= batch and batch - streamed <= 2
+def test_replay_across_midnight_replaces_the_whole_batch(spark, scratch):
+    sink = DocumentSink(os.path.join(scratch, "docs"))
+    mc = message_columns(fixtures.read_messages(spark, "/root/testdata/sf0.001"))
+    sink.write(U.unified_snapshot(mc, dt.datetime(2024, 1, 30, 23, 59, 59)), 7)
+    sink.write(U.unified_snapshot(mc, dt.datetime(2024, 1, 31, 0, 0, 1)), 7)
+    docs = sink.read_all(spark).collect()
+    assert len(docs) == 5 and {r.synchronized_time for r in docs} == {dt.datetime(2024, 1, 31, 0, 0, 1)}
+    sink.write(U.unified_snapshot(mc.limit(0), AS_OF), 7)  # replayed again, without a complete zone
+    assert sink.read_all(spark).count() == sink.read(spark).count() == 0
+
+
+def test_missing_table_is_empty(spark, scratch):
+    from zoneflow.operators import metrics as M
+    docs = DocumentSink(os.path.join(scratch, "none")).read(spark, keep_date=True)
+    assert docs.count() == 0 and M.latest_documents(docs, AS_OF).count() == 0
+    assert M.summary(docs, AS_OF).first().zone_count == 0
+
+
+def test_compaction_keeps_the_documents(spark, scratch):
+    sink = DocumentSink(os.path.join(scratch, "docs"))
+    mc = message_columns(fixtures.read_messages(spark, "/root/testdata/sf0.001"))
+    for batch in range(6):  # batches 4 and 5 write the documents of 2 and 3 again
+        at = AS_OF + dt.timedelta(hours=batch % 4 * 20)
+        sink.write(U.unified_snapshot(mc, at).withColumn("aqi", F.lit(batch)), batch)
+    before = sorted(map(tuple, sink.read(spark).collect()))
+    for upto, folders in ((2, 3), (4, 1), (5, 0)):
+        sink.compact(spark, upto)
+        assert sorted(map(tuple, sink.read(spark).collect())) == before and len(before) == 20
+        assert len([n for n in os.listdir(os.path.join(sink.path, "batches")) if n.startswith("batch_id=")]) == folders
+        assert os.listdir(os.path.join(sink.path, "compacted")) == [f"batch_id={upto}"]
+    sink.write(U.unified_snapshot(mc, AS_OF).withColumn("aqi", F.lit(99)), 6)
+    assert {r.aqi for r in sink.read(spark).collect() if r.synchronized_time == AS_OF} == {99}
+
+
+def test_scheduled_batch_runs_over_overlapping_ranges(spark, scratch):
+    import pytest
+
+    from zoneflow.sinks.documents import RejectSink
+    sink, rejects = DocumentSink(os.path.join(scratch, "docs")), RejectSink(os.path.join(scratch, "rejects"))
+    t = dt.datetime(2024, 1, 1, 12)
+    mc = message_columns(_msg(spark, [
+        (S.AQI_TOPIC, _aqi("Kothrud", 150), t, 1), (S.TRAFFIC_TOPIC, _traffic("Kothrud", 10.0), t, 2),
+        (S.WEATHER_TOPIC, _weather("Kothrud", 0.0), t, 3), (S.AQI_TOPIC, _aqi(None, 1), t, 4),
+        (S.AQI_TOPIC, _aqi("Kothrud", 310), t + dt.timedelta(minutes=20), 5)]))
+    for run, minutes in enumerate((10, 25, 25)):  # the last run again
+        U.scheduled_batch(mc, t + dt.timedelta(minutes=minutes), 30, sink, min(run, 1), rejects)
+    docs = sorted((r.synchronized_time.minute, r.aqi) for r in sink.read(spark).collect())
+    assert docs == [(10, 150), (25, 310)]
+    assert [(r.reject_reason, r.kafka_offset) for r in rejects.read(spark).collect()] == [("missing_zone", 4)] * 2
+    with pytest.raises(U.NothingComplete):
+        U.scheduled_batch(mc, t + dt.timedelta(hours=5), 30, sink, 2, rejects)
+    assert sink.read(spark).count() == 2
+
+
+def test_reject_stream_keeps_the_raw_payload(spark, scratch):
+    from zoneflow.operators.parse import valid_messages
+    from zoneflow.sinks.documents import RejectSink
+    src, sink = os.path.join(scratch, "topic"), RejectSink(os.path.join(scratch, "rejects"))
+    t0 = dt.datetime(2024, 1, 1)
+    assert sink.read(spark).count() == 0
+    messages = _msg(spark, [(S.AQI_TOPIC, _aqi("Kothrud", 1), t0, 1), ("other", {"a": 1}, t0, 2), (S.AQI_TOPIC, ["x"], t0, 3)])
+    write_message_files(messages, src)
+    ST.start_reject_stream(fixtures.read_message_files_stream(spark, src), sink, os.path.join(scratch, "ckpt")).awaitTermination()
+    got = {r.kafka_offset: (r.reject_reason, r.json_payload) for r in sink.read(spark).collect()}
+    assert got.keys() == {2, 3} and got[2] == ("unknown_topic", '{"a": 1}') and got[3][1] == '["x"]'
+    assert valid_messages(message_columns(messages)).count() == 1
 
 
 def test_trigger_choice():

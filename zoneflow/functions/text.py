@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from zoneflow import schemas as S
+from zoneflow.functions.times import as_wall_clock
 
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 
@@ -20,29 +21,20 @@ def iso_text(ts: str | Column, offset: str | None = None) -> Column:
     return F.concat(text, F.lit(offset)) if offset else text
 
 
-def local_wall_clock(ts: str | Column) -> Column:
-    """An instant (``timestamp``) as local wall-clock ``timestamp_ntz`` in the documents' zone,
-    whatever the session zone. Zone-less values are already local wall-clock time (L9) and
-    need no conversion."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.convert_timezone(None, F.lit(S.LOCAL_TIME_ZONE), c.cast("timestamp_ntz"))
-
-
 def document_time_text(ts: str | Column, offset: str = S.LOCAL_UTC_OFFSET) -> Column:
-    """SC-08: a wall-clock timestamp as document text: ``yyyy-MM-ddTHH:mm:ss``, then
+    """SC-08: a time (an instant or a local wall-clock time) as document text: ``yyyy-MM-ddTHH:mm:ss``, then
     ``.ffffff`` only when the microseconds are not zero, then the local offset
     (``2024-01-01T07:36:12.733472+05:30``, ``2024-01-01T08:00:00+05:30``)."""
-    c = F.col(ts) if isinstance(ts, str) else ts
+    c = as_wall_clock(ts)
     micros = F.date_format(c, "SSSSSS")
     fraction = F.when(micros != "000000", F.concat(F.lit("."), micros)).otherwise(F.lit(""))
     return F.concat(F.date_format(c, ISO_SECONDS), fraction, F.lit(offset))
 
 
 def store_time_text(ts: str | Column, zone: str = S.LOCAL_TIME_ZONE) -> Column:
-    """AG-11: a local wall-clock timestamp as the store prints a date aggregate: the same
-    instant in UTC with milliseconds (``2024-01-31T00:00:00`` local -> ``2024-01-30T18:30:00.000Z``)."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.date_format(F.convert_timezone(F.lit(zone), F.lit("UTC"), c), S.STORE_TIME_FORMAT)
+    """AG-11: a time (an instant or a local wall-clock time) as the store prints a date aggregate:
+    the same instant in UTC with milliseconds (``2024-01-31T00:00:00`` local -> ``2024-01-30T18:30:00.000Z``)."""
+    return F.date_format(F.convert_timezone(F.lit(zone), F.lit("UTC"), as_wall_clock(ts)), S.STORE_TIME_FORMAT)
 
 
 def document_key(zone: str | Column = "zone",
@@ -61,5 +53,5 @@ def sensor_id(topic: str, zone_name: str | Column) -> Column:
 
 
 def json_encode(*cols: str | Column) -> Column:
-    """SC-13: one JSON object per row from the given columns (null fields are left out)."""
-    return F.to_json(F.struct(*cols))
+    """SC-13: one JSON object per row from the given columns; null fields stay, as ``null``."""
+    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})

@@ -5,11 +5,13 @@ feeds is emitted once with its newest reading of each feed as of the end of the
 ``synchronized_time`` is the tick end. This is an as-of join of ticks against three reading
 streams, built from shuffles, joins and windows:
 
-1. one aggregation reduces the messages to the newest reading per (zone, tick, feed) - partial
-   aggregation before the shuffle, so a hot zone sends one row per map task and tick;
-2. the (zone, tick) grid comes from an equi-join of the non-empty ticks with each zone's segments
-   (days by default) from its first tick on - no cross join. The ticks are counted first and
-   broadcast only within a fixed bound; beyond it the grid is an equi-join on the tick itself;
+1. one aggregation reduces the messages to the newest raw message per (zone, tick, feed) - partial
+   aggregation before the shuffle, so a hot zone sends one row per map task and tick; the winners
+   are parsed and written as a table in the shared folder, which the later steps read pruned.
+   With ``since``, all earlier messages fall into one tick before the range: the table then holds a
+   zone's carried-in state and the ticks of the range, whatever the age of the history;
+2. the (zone, tick) grid: each zone's ticks from its first one on, equi-joined with the non-empty
+   ticks on the tick itself;
 3. the newest reading is carried forward with ``last(..., ignorenulls)`` over windows partitioned
    by (zone, segment), so no task holds a zone's whole history; each segment starts from a
    carry-in computed on the small per-(zone, segment) table. Carry-in, reading and grid rows
@@ -26,9 +28,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zoneflow.functions.times import ntz
-from zoneflow.session import ensure_checkpoint_dir
+from zoneflow.functions.times import ntz, tick_at_or_after, tick_length
+from zoneflow.session import intermediate_path
 from zoneflow.operators import latest as L
+from zoneflow.operators import parse as P
 from zoneflow.operators import unify as U
 
 _SEGMENT_UNITS = {"hour": "HOUR", "day": "DAY", "week": "WEEK", "month": "MONTH"}
@@ -38,70 +41,61 @@ def _segment_of(col, segment: str):
     return F.date_trunc(_SEGMENT_UNITS[segment], col)
 
 
-def per_tick_latest(parsed: DataFrame, tick: str, until: dt.datetime) -> DataFrame:
-    """Newest reading per (zone, tick) and feed; also keeps ticks whose messages had no zone."""
-    order = L.order_key()
-    return (parsed.filter(F.col("kafka_time") < ntz(until))
-            .withColumn("synchronized_time", F.window("kafka_time", tick).end)
-            .groupBy("norm_zone", "synchronized_time")
-            .agg(F.max(L.has_zone()).alias("_zone_ok"),
-                 *[F.max_by(F.col(r), F.when(F.col(r).isNotNull(), order)).alias(r)
-                   for r in L.READINGS]))
-
-
-# Non-empty ticks broadcast to every task at most (a tick row is a timestamp and its segment,
-# a few tens of bytes: about 32 MB at this bound).
-MAX_BROADCAST_TICKS = 1_000_000
-
+def per_tick_latest(messages: DataFrame, tick: str, until: dt.datetime,
+                    since: dt.datetime | None = None) -> DataFrame:
+    """Newest reading per (zone, tick) and feed, of ticks that end by ``until``; also keeps ticks
+    whose messages had no zone. Messages of ticks that end before ``since`` share one tick, the
+    last one before it."""
+    end = F.window("kafka_time", tick).end
+    keyed = (messages.filter(F.col("kafka_time") < ntz(until))
+             .withColumn("norm_zone", P.zone_of_payload())
+             .withColumn("synchronized_time", end))
+    if since is not None:
+        before = ntz(tick_at_or_after(since, tick) - tick_length(tick))
+        keyed = keyed.withColumn("synchronized_time", F.greatest("synchronized_time", before))
+    newest = L.newest_raw(keyed, ("norm_zone", "synchronized_time")).filter(
+        F.col("synchronized_time") <= ntz(until))
+    return P.parse_newest(newest, ("norm_zone", "synchronized_time", "_zone_ok"))
 
-def _zone_tick_grid(first_ticks: DataFrame, zone_segments: DataFrame, ticks: DataFrame,
-                    tick: str, segment: str, max_broadcast_ticks: int) -> DataFrame:
-    """(norm_zone, segment, synchronized_time): every non-empty tick from each zone's first one.
 
-    The number of non-empty ticks is counted first (one row back to the driver). Within the
-    bound, the ticks are broadcast and joined to each zone's segments: the zones stay where they
-    are. Beyond it, no broadcast: each zone's ticks are generated from its first tick to the
-    last non-empty one and equi-joined with the non-empty ticks on the tick itself, so the work
-    is spread by tick (a segment key would put every zone of a day into one task).
-    """
-    stats = ticks.agg(F.count(F.lit(1)).alias("n"), F.max("synchronized_time").alias("last")).first()
-    if stats["n"] <= max_broadcast_ticks:
-        return (zone_segments.join(F.broadcast(ticks), "segment")
-                .filter(F.col("synchronized_time") >= F.col("first_tick"))
-                .select("norm_zone", "segment", "synchronized_time"))
-    every_tick = first_ticks.select("norm_zone", F.explode(F.sequence(
-        F.col("first_tick"), ntz(stats["last"]), F.expr(f"INTERVAL {tick}"))).alias("synchronized_time"))
-    return (every_tick.join(ticks, "synchronized_time")
-            .select("norm_zone", "segment", "synchronized_time"))
-
-
-def replay_states(parsed: DataFrame, until: dt.datetime, tick: str = "1 hour",
-                  segment: str = "day", materialize: bool = True,
-                  max_broadcast_ticks: int = MAX_BROADCAST_TICKS) -> DataFrame:
+def replay_states(messages: DataFrame, until: dt.datetime, tick: str = "1 hour",
+                  segment: str = "day", since: dt.datetime | None = None) -> DataFrame:
     """(norm_zone, synchronized_time, aqi_reading, traffic_reading, weather_reading) for every
-    non-empty tick ending at or before ``until``, from each zone's first tick on.
+    non-empty tick ending at or before ``until`` (and at or after ``since``), from each zone's
+    first tick on.
 
-    The per-tick table (zones x ticks rows, small next to the messages) feeds four branches;
-    ``materialize`` checkpoints it to the shared checkpoint folder so the messages are scanned
-    and parsed once, and a lost executor recomputes from the checkpoint, not the source.
+    The per-tick table (zones x ticks rows, small next to the messages) feeds four branches. It is
+    written to the shared folder, so the messages are scanned once, each branch reads only its
+    columns, and a lost executor recomputes from the table, not the source; the folder is removed
+    when the application ends.
     """
-    per_tick = per_tick_latest(parsed, tick, until).filter(
-        F.col("synchronized_time") <= ntz(until))
-    if materialize:
-        ensure_checkpoint_dir(per_tick.sparkSession)
-        per_tick = per_tick.checkpoint(eager=True)
-    ticks = (per_tick.select("synchronized_time").distinct()
-             .withColumn("segment", _segment_of(F.col("synchronized_time"), segment)))
+    spark = messages.sparkSession
+    per_tick = per_tick_latest(messages, tick, until, since)
+    path = intermediate_path(spark, "per-tick")
+    per_tick.write.parquet(path)
+    per_tick = spark.read.schema(per_tick.schema).parquet(path)
+    ticks = per_tick.select("synchronized_time").distinct()
     readings = per_tick.filter(F.col("_zone_ok")).drop("_zone_ok")
+    first_ticks = (readings.groupBy("norm_zone")
+                   .agg(F.min("synchronized_time").alias("first_tick")))
+    if since is not None:
+        start = ntz(tick_at_or_after(since, tick))
+        ticks = ticks.filter(F.col("synchronized_time") >= start)
+        first_ticks = first_ticks.withColumn("first_tick", F.greatest("first_tick", start))
+    # Ticks are epoch-aligned, so every zone's sequence meets the non-empty ticks; a zone whose
+    # first tick lies after ``until`` has none.
+    last = ntz(until)
+    first_ticks = first_ticks.filter(F.col("first_tick") <= last)
+    grid = (first_ticks.select("norm_zone", F.explode(F.sequence(
+                "first_tick", last, F.expr(f"INTERVAL {tick}"))).alias("synchronized_time"))
+            .join(ticks, "synchronized_time")
+            .withColumn("segment", _segment_of(F.col("synchronized_time"), segment)))
 
     step = F.expr(f"INTERVAL 1 {_SEGMENT_UNITS[segment]}")
     first_ticks = (readings.groupBy("norm_zone")
                    .agg(F.min("synchronized_time").alias("first_tick")))
-    zone_segments = first_ticks.select(
-        "norm_zone", "first_tick", F.explode(F.sequence(
-            _segment_of(F.col("first_tick"), segment),
-            _segment_of(ntz(until), segment), step)).alias("segment"))
-    grid = _zone_tick_grid(first_ticks, zone_segments, ticks, tick, segment, max_broadcast_ticks)
+    zone_segments = first_ticks.select("norm_zone", F.explode(F.sequence(
+        _segment_of(F.col("first_tick"), segment), _segment_of(last, segment), step)).alias("segment"))
 
     # Newest reading of each feed per (zone, segment), then carried in from earlier segments.
     seg_last = (readings.withColumn("segment", _segment_of(F.col("synchronized_time"), segment))
@@ -145,12 +139,11 @@ def replay_states(parsed: DataFrame, until: dt.datetime, tick: str = "1 hour",
     return L.complete(filled)
 
 
-def replay_history(parsed: DataFrame, until: dt.datetime, tick: str = "1 hour",
+def replay_history(messages: DataFrame, until: dt.datetime, tick: str = "1 hour",
                    segment: str = "day", zones: DataFrame | None = None,
-                   materialize: bool = True,
-                   max_broadcast_ticks: int = MAX_BROADCAST_TICKS) -> DataFrame:
+                   since: dt.datetime | None = None) -> DataFrame:
     """The unified documents (41 columns) of every tick, as the stream would have written them."""
-    states = replay_states(parsed, until, tick, segment, materialize, max_broadcast_ticks)
+    states = replay_states(messages, until, tick, segment, since)
     rows = L.expand_readings(states, extra=("synchronized_time",))
     if zones is not None:
         rows = U.known_zones_only(rows, zones)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zoneflow import schemas as S
+from zoneflow.operators import parse as P
 
 READINGS = tuple(f"{S.FEED_PREFIX[t]}_reading" for t in S.TOPICS)
 
@@ -39,23 +40,32 @@ def order_key() -> Column:
     return F.struct("kafka_time", "kafka_partition", "kafka_offset")
 
 
-def latest_readings(parsed: DataFrame, keys: tuple[str, ...] = ("norm_zone",)) -> DataFrame:
-    """The newest reading of each feed per key, as three struct columns, in ONE aggregation.
+def newest_raw(keyed: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The newest message of each feed per key, unparsed: ``_raw_<prefix>`` structs (payload and Kafka
+    columns), in ONE aggregation. ``keyed`` has the message columns and the keys.
 
-    Input is ``parse.parse_all`` output. ``max_by`` skips rows whose ordering is null, so the
-    conditional ordering picks the newest row of each feed; a zone missing a feed gets null.
-    Partial aggregation runs before the shuffle. In a streaming query this is the keyed state
-    (JN-02 / STR-04), kept in the checkpoint.
+    ``max_by`` skips rows whose ordering is null, so the conditional ordering picks the newest
+    message of each topic; a key missing a feed gets null. Partial aggregation runs before the
+    shuffle; only the winners' payloads travel.
     """
-    order = order_key()
+    raw = F.struct("json_payload", *P.KAFKA_COLS)
+    return keyed.groupBy(*keys).agg(
+        F.max(has_zone()).alias("_zone_ok"),
+        *[F.max_by(raw, F.when(F.col("topic") == t, order_key())).alias(f"_raw_{S.FEED_PREFIX[t]}")
+          for t in S.TOPICS])
+
+
+def latest_readings(messages: DataFrame) -> DataFrame:
+    """The newest reading of each feed per zone, as three struct columns (JN-02 / STR-04).
+
+    Only the zone is parsed before the reduction; the winners, three a zone, are parsed after it.
+    In a streaming query the aggregate is the keyed state, kept in the checkpoint.
+    """
+    keyed = messages.withColumn("norm_zone", P.zone_of_payload())
     # As in latest_by_zone, the zone check is aggregated rather than filtered first, so the
-    # filter is not pushed below the JSON parse (which would parse each payload twice).
-    return (parsed.groupBy(*keys)
-            .agg(F.max(has_zone(keys[0])).alias("_zone_ok"),
-                 *[F.max_by(F.col(r), F.when(F.col(r).isNotNull(), order)).alias(r)
-                   for r in READINGS])
-            .filter(F.col("_zone_ok"))
-            .drop("_zone_ok"))
+    # filter is not pushed below the zone parse (which would parse each payload twice).
+    newest = newest_raw(keyed, ("norm_zone",)).filter(F.col("_zone_ok")).drop("_zone_ok")
+    return P.parse_newest(newest, ("norm_zone",))
 
 
 def complete(latest: DataFrame) -> DataFrame:

@@ -42,30 +42,55 @@ def is_closed() -> Column:
     return F.col("road_closure") == F.lit(True)
 
 
+SUMMARY_MAPS = (("alerts", "city_alert"), ("aqi_statuses", "aqi_status"), ("traffic_statuses", "traffic_status"))
+
+
 def summary(history: DataFrame, as_of: dt.datetime,
-            range_minutes: int = S.RANGE_MINUTES_DEFAULT, approx_zones: bool = False) -> DataFrame:
-    """AG-01..04, AG-11, AG-12: one row of KPIs (one row even when the range is empty)."""
-    r = in_range(history, as_of, range_minutes)
-    zones = (F.approx_count_distinct("zone") if approx_zones else F.count_distinct("zone"))
-    return r.agg(
-        zones.alias("zone_count"),
-        F.count("aqi").alias("record_count"),
-        r1(F.avg("aqi")).alias("avg_aqi"),
-        r1(F.max("aqi").cast("double")).alias("max_aqi"),
-        r1(F.avg("congestion_pct")).alias("avg_congestion"),
-        r1(F.avg("temperature_c")).alias("avg_temperature"),
-        F.count_if(is_trap()).alias("pollution_trap_count"),
-        F.count_if(is_closed()).alias("road_closure_count"),
-        store_time_text(F.max("synchronized_time")).alias("last_updated"),
-    )
+            range_minutes: int = S.RANGE_MINUTES_DEFAULT) -> DataFrame:
+    """AG-01..04, AG-08, AG-11, AG-12: one row of KPIs with the value -> count maps of alerts, AQI and
+    traffic statuses (one row, with empty maps, even when the range is empty).
+
+    One scan: documents are first counted and summed per (zone, alert, statuses); that small table is
+    then grouped as a whole (for the KPIs) and by each status alone (for the maps) by grouping sets.
+    """
+    statuses = [c for _, c in SUMMARY_MAPS]
+    small = in_range(history, as_of, range_minutes).groupBy("zone", *statuses).agg(
+        F.count(F.lit(1)).alias("n"), F.max("aqi").cast("double").alias("max_aqi"),
+        *[f(c).alias(f"{name}_{c}") for c in ("aqi", "congestion_pct", "temperature_c")
+          for name, f in (("n", F.count), ("sum", F.sum))],
+        F.count_if(is_closed()).alias("closed"), F.max("synchronized_time").alias("newest"))
+    avg = {c: r1(F.sum(f"sum_{c}") / F.sum(f"n_{c}")) for c in ("aqi", "congestion_pct", "temperature_c")}
+    sets = small.groupingSets([[], *[[c] for c in statuses]], *statuses).agg(
+        F.grouping_id().alias("set"), F.sum("n").alias("n"), F.count_distinct("zone").alias("zones"),
+        F.sum("n_aqi").alias("records"), avg["aqi"].alias("avg_aqi"), F.max("max_aqi").alias("max_aqi"),
+        avg["congestion_pct"].alias("avg_congestion"), avg["temperature_c"].alias("avg_temperature"),
+        F.sum("closed").alias("closed"), F.max("newest").alias("newest"))
+    # a grouping id has a bit for each column that a set leaves out, the first column's highest
+    every = (1 << len(statuses)) - 1
+    whole = {c: F.max(F.when(F.col("set") == every, F.col(c)))
+             for c in ("zones", "records", "avg_aqi", "max_aqi", "avg_congestion", "avg_temperature", "closed", "newest")}
+    alone = {c: F.col("set") == every - (1 << (len(statuses) - 1 - i)) for i, c in enumerate(statuses)}
+    traps = F.sum(F.when(alone["city_alert"] & is_trap(), F.col("n")))
+    maps = [F.map_from_entries(F.array_sort(F.collect_list(F.when(
+        alone[c] & F.col(c).isNotNull(), F.struct(F.col(c).alias("name"), F.col("n").alias("value"))))))
+        .alias(name) for name, c in SUMMARY_MAPS]
+    zero = F.lit(0).cast("bigint")
+    return sets.agg(
+        F.coalesce(whole["zones"], zero).alias("zone_count"),
+        F.coalesce(whole["records"], zero).alias("record_count"),
+        whole["avg_aqi"].alias("avg_aqi"), r1(whole["max_aqi"]).alias("max_aqi"),
+        whole["avg_congestion"].alias("avg_congestion"), whole["avg_temperature"].alias("avg_temperature"),
+        F.coalesce(traps, zero).alias("pollution_trap_count"),
+        F.coalesce(whole["closed"], zero).alias("road_closure_count"),
+        store_time_text(whole["newest"]).alias("last_updated"), *maps)
 
 
 def zone_analytics(history: DataFrame, as_of: dt.datetime,
                    range_minutes: int = S.RANGE_MINUTES_DEFAULT,
-                   size: int = S.ZONE_ANALYTICS_SIZE) -> DataFrame:
-    """AG-05, AG-10: ten metrics per zone, zones A to Z, at most ``size`` zones."""
+                   size: int | None = None) -> DataFrame:
+    """AG-05, AG-10: ten metrics per zone, zones A to Z; the first ``size`` zones if that is given."""
     r = in_range(history, as_of, range_minutes).filter(F.col("zone").isNotNull())
-    return (r.groupBy("zone").agg(
+    zones = (r.groupBy("zone").agg(
         F.count(F.lit(1)).alias("record_count"),
         r1(F.avg("aqi")).alias("avg_aqi"),
         r1(F.max("aqi").cast("double")).alias("max_aqi"),
@@ -77,7 +102,8 @@ def zone_analytics(history: DataFrame, as_of: dt.datetime,
         r1(F.coalesce(F.sum("rainfall_mm"), F.lit(0.0))).alias("total_rainfall"),
         F.count_if(is_trap()).alias("pollution_trap_count"),
         F.count_if(is_closed()).alias("road_closure_count"),
-    ).orderBy("zone").limit(size))
+    ).orderBy("zone"))
+    return zones if size is None else zones.limit(size)
 
 
 STATUS_DIMENSIONS = (("alerts", "city_alert"), ("aqi_statuses", "aqi_status"),
@@ -85,33 +111,36 @@ STATUS_DIMENSIONS = (("alerts", "city_alert"), ("aqi_statuses", "aqi_status"),
                      ("weather_conditions", "weather_condition"))
 
 
-def value_counts(df: DataFrame, dimensions=STATUS_DIMENSIONS, size: int = S.TERMS_SIZE) -> DataFrame:
-    """AG-06/07, ST-03: per dimension, the ``size`` most frequent non-null values
-    (count desc, value asc), as (dimension, name, value, rank) rows.
+def value_counts(df: DataFrame, dimensions=STATUS_DIMENSIONS, size: int | None = None) -> DataFrame:
+    """AG-06/07, ST-03: per dimension, the non-null values by frequency (count desc, value asc), as
+    (dimension, name, value, rank) rows; the ``size`` most frequent ones if that is given.
 
-    The dimensions are stacked per row and counted in one aggregation (one scan for all of them);
-    the ranking window runs on the small counted table.
+    Documents are counted by all dimensions together first (a handful of combinations); only these
+    are stacked, one row a dimension, and counted again and ranked.
     """
-    stacked = df.select(F.explode(F.array(*[
+    columns = [c for _, c in dimensions]
+    combined = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    stacked = combined.select("n", F.explode(F.array(*[
         F.struct(F.lit(d).alias("dimension"), F.col(c).cast("string").alias("name"))
-        for d, c in dimensions])).alias("s")).select("s.*")
+        for d, c in dimensions])).alias("s")).select("s.*", "n")
     counts = (stacked.filter(F.col("name").isNotNull())
-              .groupBy("dimension", "name").agg(F.count(F.lit(1)).alias("value")))
+              .groupBy("dimension", "name").agg(F.sum("n").alias("value")))
     w = Window.partitionBy("dimension").orderBy(F.col("value").desc(), F.col("name"))
-    return (counts.withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= size))
+    ranked = counts.withColumn("rank", F.row_number().over(w))
+    return ranked if size is None else ranked.filter(F.col("rank") <= size)
 
 
 def status_breakdown(history: DataFrame, as_of: dt.datetime,
-                     range_minutes: int = S.RANGE_MINUTES_DEFAULT) -> DataFrame:
+                     range_minutes: int = S.RANGE_MINUTES_DEFAULT, size: int | None = None) -> DataFrame:
     """AG-07: alerts, AQI, traffic and weather statuses -> (dimension, name, value, rank)."""
-    return value_counts(in_range(history, as_of, range_minutes))
+    return value_counts(in_range(history, as_of, range_minutes), size=size)
 
 
 def summary_maps(history: DataFrame, as_of: dt.datetime,
                  range_minutes: int = S.RANGE_MINUTES_DEFAULT) -> DataFrame:
-    """AG-08: the summary's value -> count maps (alerts, AQI statuses, traffic statuses)."""
-    counts = value_counts(in_range(history, as_of, range_minutes), STATUS_DIMENSIONS[:3])
+    """AG-08: the summary's value -> count maps (alerts, AQI statuses, traffic statuses), one row a
+    dimension, with all values. Values are counted before they are gathered."""
+    counts = value_counts(in_range(history, as_of, range_minutes), SUMMARY_MAPS)
     return (counts.groupBy("dimension")
             .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "value"))))
                  .alias("counts")))
@@ -143,10 +172,10 @@ def newest(history: DataFrame, n: int) -> DataFrame:
 
 def latest_documents(history: DataFrame, as_of: dt.datetime,
                      range_minutes: int = S.RANGE_MINUTES_DEFAULT,
-                     scan_limit: int | None = S.LATEST_SCAN_LIMIT) -> DataFrame:
-    """WN-02: newest document per zone among the newest ``scan_limit`` in range (None = all)."""
+                     scan_limit: int | None = None) -> DataFrame:
+    """WN-02: newest document per zone in range; among the newest ``scan_limit`` if that is given."""
     r = in_range(history, as_of, range_minutes)
-    if scan_limit:
+    if scan_limit is not None:
         r = newest(r, scan_limit)
     w = Window.partitionBy("zone").orderBy(F.col("synchronized_time").desc())
     return (r.filter(F.col("zone").isNotNull() & (F.col("zone") != ""))
@@ -156,9 +185,9 @@ def latest_documents(history: DataFrame, as_of: dt.datetime,
 
 def zones_online(history: DataFrame, as_of: dt.datetime,
                  range_minutes: int = S.RANGE_MINUTES_DEFAULT) -> DataFrame:
-    """AG-13: how many zones the latest list shows."""
-    return latest_documents(history, as_of, range_minutes).agg(
-        F.count(F.lit(1)).alias("zones_online"))
+    """AG-13: how many zones have a document in range."""
+    named = in_range(history, as_of, range_minutes).filter(F.col("zone") != "")
+    return named.agg(F.count_distinct("zone").alias("zones_online"))
 
 
 def alert_documents(history: DataFrame, as_of: dt.datetime,

@@ -82,7 +82,24 @@ def parse_all(messages: DataFrame) -> DataFrame:
             .select("topic", zone.alias("norm_zone"), *KAFKA_COLS, *readings))
 
 
-def _reading_sql(topic: str, parsed: str) -> str:
+def zone_of_payload() -> Column:
+    """The normalised zone of a message's payload: a parse of that one field (null where the payload
+    is no JSON object)."""
+    return normalize_zone(F.from_json("json_payload", "zone string")["zone"])
+
+
+def parse_newest(newest: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """Reading structs of raw winners: columns ``_raw_<prefix>`` (a struct of json_payload and the Kafka
+    columns, or null) become ``<prefix>_reading``, as ``parse_all`` gives them; ``keep`` stays."""
+    raws = {t: f"_raw_{S.FEED_PREFIX[t]}" for t in S.TOPICS}
+    parsed = [F.from_json(F.col(f"{raw}.json_payload"), S.FEED_SCHEMAS[t]).alias(f"_p{i}")
+              for i, (t, raw) in enumerate(raws.items())]
+    readings = [F.expr(_reading_sql(t, f"_p{i}", f"{raw}.")).alias(f"{S.FEED_PREFIX[t]}_reading")
+                for i, (t, raw) in enumerate(raws.items())]
+    return newest.select(*keep, *raws.values(), *parsed).select(*keep, *readings)
+
+
+def _reading_sql(topic: str, parsed: str, kafka: str = "") -> str:
     """The reading struct of one feed from its parsed struct column, as one SQL expression: the
     same fields as ``feed_columns`` (NaN doubles to null, Kafka columns with the feed prefix),
     null when the message is not of this feed. Given as text, it is one call to the JVM to build
@@ -94,7 +111,7 @@ def _reading_sql(topic: str, parsed: str) -> str:
         if isinstance(types[src], DoubleType):
             v = f"nanvl({v}, CAST(NULL AS DOUBLE))"
         fields.append(f"'{out}', {v}")
-    fields += [f"'{S.FEED_PREFIX[topic]}_{k}', `{k}`" for k in KAFKA_COLS]
+    fields += [f"'{S.FEED_PREFIX[topic]}_{k}', {kafka}`{k}`" for k in KAFKA_COLS]
     return f"CASE WHEN {parsed} IS NOT NULL THEN named_struct({', '.join(fields)}) END"
 
 
@@ -133,11 +150,14 @@ def with_reject_reason(messages: DataFrame) -> DataFrame:
 
 
 def valid_messages(messages: DataFrame) -> DataFrame:
+    """Usable messages, with the columns of ``messages``."""
     return with_reject_reason(messages).filter(F.col("reject_reason").isNull()).drop("reject_reason")
 
 
 def rejected_messages(messages: DataFrame) -> DataFrame:
-    return with_reject_reason(messages).filter(F.col("reject_reason").isNotNull())
+    """The other messages: topic, raw payload, Kafka columns and ``reject_reason``."""
+    return with_reject_reason(messages).filter(F.col("reject_reason").isNotNull()).select(
+        "topic", "json_payload", *KAFKA_COLS, "reject_reason")
 
 
 def reject_report(messages: DataFrame) -> DataFrame:

@@ -5,16 +5,15 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow import schemas as S
 from zoneflow.functions.rules import unified_rule_columns
 from zoneflow.functions.times import ntz
 from zoneflow.operators import latest as L
-from zoneflow.operators.dims import broadcast_if_small
 from zoneflow.operators import parse as P
-from zoneflow.session import ensure_checkpoint_dir
+from zoneflow.sources.kafka import within_lookback
 
 
 def expected_zones(spark: SparkSession, zones: tuple[str, ...] = S.EXPECTED_ZONES) -> DataFrame:
@@ -23,42 +22,23 @@ def expected_zones(spark: SparkSession, zones: tuple[str, ...] = S.EXPECTED_ZONE
 
 
 def known_zones_only(df: DataFrame, zones: DataFrame) -> DataFrame:
-    """PRJ-07: keep rows whose ``norm_zone`` is in the zone dimension (left-semi; the dimension
-    is broadcast when its row count is within the bound, as the fixed literal list always is)."""
-    return df.join(broadcast_if_small(zones), "norm_zone", "left_semi")
+    """PRJ-07: keep rows whose ``norm_zone`` is in the zone dimension (left-semi; Spark broadcasts
+    the dimension if it is small in bytes)."""
+    return df.join(zones, "norm_zone", "left_semi")
 
 
-def join_latest(messages: DataFrame, materialize: bool = True) -> DataFrame:
+def join_latest(messages: DataFrame) -> DataFrame:
     """JN-01: newest reading per zone for each feed, inner-joined on ``norm_zone``.
 
-    The messages are scanned and parsed once (``parse.parse_all``). One ``row_number`` window
-    over (zone, feed) keeps the newest message of each feed per zone; Spark puts a partial
-    ``WindowGroupLimit`` before its shuffle, so each map task sends at most one row per (zone,
-    feed). That small table (three rows per zone) feeds the three join sides; ``materialize``
-    checkpoints it to the shared checkpoint folder, so the source is read once, not once per
-    side (each side prunes different columns, so Spark would not share the scan by itself).
+    Each side routes its topic, parses that feed alone and keeps the newest message per zone; Spark
+    puts a partial ``WindowGroupLimit`` before each shuffle, so a map task sends at most one row
+    per zone. The sides arrive partitioned by zone, so the joins add no shuffle of their own.
+    ``latest.latest_readings`` gives the same rows from one scan (the snapshot uses that).
     """
-    parsed = P.parse_all(messages)
-    feed = F.coalesce(*[F.when(F.col(r).isNotNull(), F.lit(i)) for i, r in enumerate(L.READINGS)])
-    w = Window.partitionBy("norm_zone", "_feed").orderBy(
-        *[F.col(k).desc() for k in P.KAFKA_COLS])
-    # The zone check is a column, not a filter below the window: a filter on the partition key
-    # would be pushed below the parse and parse each payload twice.
-    newest = (parsed.withColumn("_feed", feed)
-              .withColumn("_zone_ok", L.has_zone())
-              .withColumn("_rn", F.row_number().over(w))
-              .filter((F.col("_rn") == 1) & F.col("_zone_ok"))
-              .drop("_rn", "_zone_ok"))
-    if materialize:
-        ensure_checkpoint_dir(newest.sparkSession)
-        newest = newest.checkpoint(eager=True)
-
-    def side(reading: str, key: str) -> DataFrame:
-        return (newest.filter(F.col(reading).isNotNull())
-                .select(F.col("norm_zone").alias(key), f"{reading}.*"))
-
-    aqi, traffic, weather = (side(r, k) for r, k in zip(
-        L.READINGS, ("norm_zone", "_z_traffic", "_z_weather")))
+    aqi, traffic, weather = (
+        L.latest_by_zone(P.parse_feed(messages, t), S.FEED_PREFIX[t]) for t in S.TOPICS)
+    traffic = traffic.withColumnRenamed("norm_zone", "_z_traffic")
+    weather = weather.withColumnRenamed("norm_zone", "_z_weather")
     # Null zones are already gone; a null-safe key keeps Catalyst from inferring an
     # ``isnotnull(zone)`` filter and pushing it (and a second JSON parse) into the scan.
     return (aqi.join(traffic, aqi["norm_zone"].eqNullSafe(traffic["_z_traffic"]), "inner")
@@ -82,10 +62,10 @@ def unified_snapshot(messages: DataFrame, as_of: dt.datetime,
                      zones: DataFrame | None = None) -> DataFrame:
     """The batch unified job: one row per complete zone, sorted by zone (ST-01).
 
-    Same rows as the three-window-and-join form (``join_latest``), from one scan, one parse per
-    message and one shuffle: the latest-state aggregate of ``latest.latest_readings``.
+    Same rows as the three-window-and-join form (``join_latest``), from one scan and one shuffle,
+    parsing only the winners in full: the latest-state aggregate of ``latest.latest_readings``.
     """
-    state = L.latest_readings(P.parse_all(messages))
+    state = L.latest_readings(messages)
     return unified_from_state(state, as_of_literal(as_of), zones).orderBy("zone")
 
 
@@ -123,3 +103,26 @@ def warmup_coverage(latest: DataFrame, zones: DataFrame) -> DataFrame:
         F.count_if("has_traffic").alias("zones_with_traffic"),
         F.count_if("has_weather").alias("zones_with_weather"),
     )
+
+
+class NothingComplete(RuntimeError):
+    """No zone has all three feeds in the range of a batch run."""
+
+
+def scheduled_batch(messages: DataFrame, as_of: dt.datetime, lookback_minutes: int, write, batch_id: int,
+                    write_rejects=None, zones: DataFrame | None = None) -> DataFrame:
+    """STR-08: one run of the scheduled job over the messages of ``as_of - lookback .. as_of``.
+
+    Usable messages are merged per zone; ``write(documents, batch_id)`` takes the documents of
+    complete zones (``sinks.documents.DocumentSink``) and ``write_rejects(rejects, batch_id)`` the
+    others with their reason. Raises ``NothingComplete``, and writes no documents, if no zone is
+    complete. Runs may overlap: a run replaces its own batch, and the newest version of a document wins.
+    """
+    ranged = within_lookback(messages, as_of, lookback_minutes)
+    if write_rejects is not None:
+        write_rejects(P.rejected_messages(ranged), batch_id)
+    documents = unified_snapshot(P.valid_messages(ranged), as_of, zones)
+    if documents.isEmpty():
+        raise NothingComplete(f"no zone with all three feeds in the {lookback_minutes} minutes up to {as_of}")
+    write(documents, batch_id)
+    return documents

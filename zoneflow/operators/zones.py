@@ -1,15 +1,13 @@
-"""Zone dimension lookups and the producer-side formulas, re-aimed as column jobs
-(JN-04, JN-05, JN-06, SC-10, SC-11)."""
+"""Zone dimension lookups (JN-04)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StringType, StructField,
                                StructType)
 
 from zoneflow import schemas as S
-from zoneflow.operators.dims import broadcast_if_small
 
 ZONE_DIM_SCHEMA = StructType([
     StructField("zone_name", StringType(), False),
@@ -30,53 +28,16 @@ def zone_dimension(spark: SparkSession) -> DataFrame:
 def with_zone_attributes(df: DataFrame, zones: DataFrame, zone_col: str = "zone_name") -> DataFrame:
     """JN-04: attach coordinates, modifier, free-flow speed and rush hours by zone name.
 
-    The dimension is broadcast when its row count is within the bound (the fixed five-zone
-    dimension always is), so the fact side never shuffles.
+    A left join: a row of an unknown zone stays, with null attributes. The join strategy is
+    Spark's own, by the dimension's bytes.
     """
     if zone_col != "zone_name":
         df = df.withColumnRenamed(zone_col, "zone_name")
-    return df.join(broadcast_if_small(zones), "zone_name", "inner")
+    return df.join(zones, "zone_name", "left")
 
 
-def fan_out_to_zones(df: DataFrame) -> DataFrame:
-    """JN-05: each row once per zone of the dimension (a city-wide baseline applied to every zone).
-
-    A literal array of the zone structs exploded per row: a fixed five-way fan-out inside the
-    map stage, with no join.
-    """
-    zones = F.array(*[
-        F.struct(F.lit(n).alias("zone_name"), F.lit(la).alias("zone_lat"),
-                 F.lit(lo).alias("zone_lon"), F.lit(m).alias("aqi_modifier"),
-                 F.lit(ff).alias("free_flow"))
-        for n, la, lo, m, ff, _ in S.ZONES])
-    return df.select("*", F.inline(zones))
-
-
-def in_rush_hour(ts: str | Column, rush_hours: str | Column = "rush_hours") -> Column:
-    """JN-06: the hour of ``ts`` is one of the zone's rush hours."""
-    t = F.col(ts) if isinstance(ts, str) else ts
-    r = F.col(rush_hours) if isinstance(rush_hours, str) else rush_hours
-    return F.array_contains(r, F.hour(t))
-
-
-def congestion_pct(speed: str | Column, free_flow: str | Column) -> Column:
-    """SC-10: ``round((1 - speed / free_flow) * 100, 1)``, floored at zero."""
-    s = F.col(speed) if isinstance(speed, str) else speed
-    ff = F.col(free_flow) if isinstance(free_flow, str) else free_flow
-    return F.greatest(F.round((F.lit(1.0) - s / ff) * 100, 1), F.lit(0.0))
-
-
-def calibrate(value: str | Column, modifier: str | Column = "aqi_modifier",
-              default: float | None = None) -> Column:
-    """SC-11: ``round(value * modifier, 1)``; a missing value takes ``default`` unscaled."""
-    v = F.col(value) if isinstance(value, str) else value
-    m = F.col(modifier) if isinstance(modifier, str) else modifier
-    scaled = F.round(v * m, 1)
-    return F.coalesce(scaled, F.lit(float(default))) if default is not None else scaled
-
-
-def calibrate_aqi(aqi: str | Column, modifier: str | Column = "aqi_modifier") -> Column:
-    """SC-11 for the index: ``int(round(aqi * modifier))`` with half-to-even rounding."""
-    a = F.col(aqi) if isinstance(aqi, str) else aqi
-    m = F.col(modifier) if isinstance(modifier, str) else modifier
-    return F.bround(a * m, 0).cast("int")
+def unmatched_zones(df: DataFrame, zones: DataFrame, zone_col: str = "zone_name") -> DataFrame:
+    """Rows by zone name that the dimension lacks (null names included)."""
+    named = zones.select(F.col("zone_name").alias("_known"))
+    return (df.join(named, F.col(zone_col) == F.col("_known"), "left_anti")
+            .groupBy(F.col(zone_col).alias("zone_name")).agg(F.count(F.lit(1)).alias("readings")))

@@ -11,19 +11,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow import schemas as S
+from zoneflow.functions.text import iso_text
+from zoneflow.sources.feeds import FEED_TZ_SUFFIX
+
+_K_SQL = "try_cast(get_json_object(props, '$.k') AS INT)"
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table. A source that arrives in fewer splits than the cluster has cores (one
-    small file here) is spread by ``event_id`` first (deterministic placement, no pre-sort), so
-    the parse stage is not one task; at scale the table has many files and this is a no-op."""
-    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = events.rdd.getNumPartitions()  # plans the scan only; reads no rows
-    except Exception:  # sessions without the RDD API: leave the scan as it is
-        return events
-    return events.repartition(cores, "event_id") if splits < cores else events
+    """The events table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def _zone_array_sql() -> str:
@@ -53,12 +49,11 @@ def _sensor_id_sql(topic: str, name: str) -> str:
     return f"concat('{S.SENSOR_PREFIX[topic]}', upper(replace({name}, ' ', '')), '{S.SENSOR_SUFFIX}')"
 
 
-def _payload_sql() -> str:
+def _payload_sql(zone_text: str) -> str:
     """The JSON payload of each message as one SQL expression over ``_k``, ``_zone`` and the
     event's columns: the topic slot (``event_id % 3``) picks the feed, and each feed's fields
     are plain arithmetic on k (FIXTURES.md §7)."""
     name = "_zone.name"
-    zone_text = f"CASE WHEN user_id % 10 >= 5 THEN concat(' ', upper({name}), ' ') ELSE {name} END"
     ts_text = "date_format(ts, 'yyyy-MM-dd\\'T\\'HH:mm:ss')"
     k = "CAST(_k AS DOUBLE)"
     quarter = f"{k} / 4"
@@ -82,24 +77,26 @@ def _payload_sql() -> str:
             f"ELSE {json(weather)} END")
 
 
-_PAYLOAD_SQL = _payload_sql()
+_PAYLOAD_SQL = _payload_sql("CASE WHEN user_id % 10 >= 5 THEN concat(' ', upper(_zone.name), ' ') ELSE _zone.name END")
+_WIDE_PAYLOAD_SQL = _payload_sql("concat('User ', user_id)")
 _TOPIC_SQL = (f"CASE event_id % 3 WHEN 0 THEN '{S.AQI_TOPIC}' WHEN 1 THEN '{S.TRAFFIC_TOPIC}' "
               f"ELSE '{S.WEATHER_TOPIC}' END")
 
 
-def events_to_messages(events: DataFrame, keep_k: bool = False) -> DataFrame:
+def events_to_messages(events: DataFrame, keep_k: bool = False, wide: bool = False) -> DataFrame:
     """Kafka-shaped rows: key, value, topic, partition, offset, timestamp, timestampType
     (and the event's ``_k`` when ``keep_k``).
 
     Two projections given as SQL text (one call to the JVM each, not one per field): k and the
-    zone are computed once per row, then every payload field reads them."""
+    zone are computed once per row, then every payload field reads them. ``wide``: every user is a
+    zone of its own (many zones; coordinates and sensor ids stay those of the five)."""
     events = events.selectExpr(
         "event_id", "ts", "user_id", "event_type", "value",
-        "try_cast(get_json_object(props, '$.k') AS INT) AS _k",
+        f"{_K_SQL} AS _k",
         f"element_at({_ZONE_ARRAY_SQL}, CAST(user_id % 5 + 1 AS INT)) AS _zone")
     return events.selectExpr(
         "CAST(NULL AS BINARY) AS key",
-        f"encode({_PAYLOAD_SQL}, 'UTF-8') AS value",
+        f"encode({_WIDE_PAYLOAD_SQL if wide else _PAYLOAD_SQL}, 'UTF-8') AS value",
         f"{_TOPIC_SQL} AS topic",
         "0 AS `partition`",
         "event_id AS `offset`",
@@ -137,18 +134,71 @@ def read_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_to_messages(read_events(spark, sf_dir))
 
 
-def read_message_stream(spark: SparkSession, sf_dir: str,
-                        max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming stand-in: a file stream over ``events.parquet`` turned into messages."""
+def read_event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A file stream over ``events.parquet``."""
     schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
     reader = (spark.readStream.schema(schema)
               .option("pathGlobFilter", "events.parquet"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return events_to_messages(reader.parquet(sf_dir))
+    return reader.parquet(sf_dir)
+
+
+def read_message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming stand-in: the events' stream turned into messages."""
+    return events_to_messages(read_event_stream(spark, sf_dir))
 
 
 def read_message_files_stream(spark: SparkSession, path: str) -> DataFrame:
     """Streaming stand-in for a topic landed as Parquet files with the Kafka columns
     (see ``sinks.publish.write_message_files``)."""
     return spark.readStream.schema(S.MESSAGE_SCHEMA).parquet(path)
+
+
+def raw_aqi_polls(events: DataFrame) -> DataFrame:
+    """(poll_id, fetched_at, payload): a city-wide air-quality answer per event.
+
+    Answers come in the service's envelope. ``signup`` polls lack the index and ``view`` polls lack
+    NO2 and wind; ``error`` polls are failed ones: an error status, and no envelope at all where k is
+    odd. Null fields are left out of the JSON text.
+    """
+    k = F.col("_k").cast("double")
+    et = F.col("event_type")
+    v = lambda c: F.struct(c.alias("v"))
+    payload = F.struct(
+        F.when(et != "signup", F.col("_k") * 4).alias("aqi"),
+        F.struct(v(k / 2).alias("pm25"), v(k).alias("pm10"),
+                 F.when(et != "view", v(k / 4)).alias("no2"), v(k / 8).alias("co"),
+                 v(k / 4 + 20).alias("t"), v(k).alias("h"),
+                 F.when(et != "view", v(F.col("value"))).alias("w")).alias("iaqi"),
+        F.struct(iso_text("ts", FEED_TZ_SUFFIX).alias("iso")).alias("time"),
+    )
+    status = F.when(et == "error", "error").otherwise(S.AQI_FEED_OK)
+    answer = F.when((et == "error") & (F.col("_k") % 2 == 1), F.to_json(payload)).otherwise(
+        F.to_json(F.struct(status.alias("status"), payload.alias("data"))))
+    return (events.select("event_id", "ts", "event_type", "value", F.expr(_K_SQL).alias("_k"))
+            .select(F.col("event_id").alias("poll_id"), F.col("ts").alias("fetched_at"),
+                    answer.alias("payload")))
+
+
+def raw_weather_polls(events: DataFrame) -> DataFrame:
+    """(poll_id, zone_name, fetched_at, payload): one weather answer per event, for the zone of
+    the event's user. ``error`` polls are failed fetches (empty object); ``signup`` polls have
+    empty hourly arrays."""
+    k = F.col("_k").cast("double")
+    et = F.col("event_type")
+    hourly = F.when(et == "signup", F.struct(
+        F.array().cast("array<double>").alias("relativehumidity_2m"),
+        F.array().cast("array<double>").alias("precipitation"),
+        F.array().cast("array<double>").alias("surface_pressure"))).otherwise(F.struct(
+            F.array(k, k + 1).alias("relativehumidity_2m"),
+            F.array(k / 16, F.lit(0.0)).alias("precipitation"),
+            F.array(k / 4 + 1000, F.lit(1000.0)).alias("surface_pressure")))
+    payload = F.when(et == "error", F.lit("{}")).otherwise(F.to_json(F.struct(
+        F.struct((k / 4 + 20).alias("temperature"), F.col("value").alias("windspeed"))
+        .alias("current_weather"),
+        hourly.alias("hourly"))))
+    return (events.select("event_id", "ts", "event_type", "value", "user_id", F.expr(_K_SQL).alias("_k"))
+            .select(F.col("event_id").alias("poll_id"),
+                    zone_lookup(F.col("user_id") % 5)["name"].alias("zone_name"),
+                    F.col("ts").alias("fetched_at"), payload.alias("payload")))

@@ -20,6 +20,8 @@ def _zone_values() -> str:
     return ",\n    ".join(rows)
 
 
+ZONE_TEXT = "CASE WHEN ev.user_id % 10 >= 5 THEN ' ' || upper(zd.zone_name) || ' ' ELSE zd.zone_name END"
+
 # Messages rebuilt from events (FIXTURES.md §7): one CTE chain, prefixed to every query.
 BASE = f"""
 zd(zi, zone_name, lat, lon, aqi_modifier, free_flow, rush_hours) AS (VALUES
@@ -35,8 +37,7 @@ msg AS (
     ev.ts AS kafka_time, 0 AS kafka_partition, ev.event_id AS kafka_offset,
     ev.k, ev.event_type, ev.value, ev.user_id, ev.ts,
     zd.zone_name, zd.lat, zd.lon, zd.aqi_modifier, zd.free_flow, zd.rush_hours,
-    CASE WHEN ev.user_id % 10 >= 5 THEN ' ' || upper(zd.zone_name) || ' ' ELSE zd.zone_name END
-      AS zone_text,
+    {ZONE_TEXT} AS zone_text,
     strftime(ev.ts, '%Y-%m-%dT%H:%M:%S') AS ts_text,
     upper(replace(zd.zone_name, ' ', '')) AS sensor_zone
   FROM ev JOIN zd ON zd.zi = ev.user_id % 5
@@ -227,6 +228,11 @@ def r1(expr: str) -> str:
     return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 20)), 1) AS DOUBLE)"
 
 
+def _map_of(column: str) -> str:
+    return (f"(SELECT map_from_entries(list({{'k': name, 'v': n}} ORDER BY name)) FROM (SELECT {column} AS name, "
+            f"CAST(count(*) AS BIGINT) AS n FROM h WHERE {column} IS NOT NULL GROUP BY 1) c)")
+
+
 def summary_sql(minutes: int) -> str:
     return with_base(f"""SELECT
   CAST(count(DISTINCT zone) AS BIGINT) AS zone_count,
@@ -237,8 +243,10 @@ def summary_sql(minutes: int) -> str:
   round(avg(temperature_c), 1) AS avg_temperature,
   CAST(count_if(city_alert = {TRAP}) AS BIGINT) AS pollution_trap_count,
   CAST(count_if(road_closure) AS BIGINT) AS road_closure_count,
-  {store_time_sql('max(synchronized_time)')} AS last_updated
-FROM history WHERE {range_filter(minutes)}""", history_ctes())
+  {store_time_sql('max(synchronized_time)')} AS last_updated,
+  {_map_of('city_alert')} AS alerts, {_map_of('aqi_status')} AS aqi_statuses,
+  {_map_of('traffic_status')} AS traffic_statuses
+FROM h""", history_ctes(), _ranged(minutes))
 
 
 def zone_analytics_sql(minutes: int) -> str:
@@ -255,7 +263,7 @@ def zone_analytics_sql(minutes: int) -> str:
   CAST(count_if(city_alert = {TRAP}) AS BIGINT) AS pollution_trap_count,
   CAST(count_if(road_closure) AS BIGINT) AS road_closure_count
 FROM history WHERE {range_filter(minutes)} AND zone IS NOT NULL
-GROUP BY zone ORDER BY zone LIMIT {S.ZONE_ANALYTICS_SIZE}""", history_ctes())
+GROUP BY zone ORDER BY zone""", history_ctes())
 
 
 _RANKED_STATUS_COUNTS = f"""(
@@ -281,10 +289,10 @@ def status_breakdown_sql(minutes: int) -> str:
 
 
 def summary_maps_sql(minutes: int) -> str:
-    """AG-08: the alert / AQI / traffic value -> count maps of the summary (top ten each)."""
+    """AG-08: the alert / AQI / traffic value -> count maps of the summary (all values)."""
     return with_base(
         "SELECT dimension, map_from_entries(list({'k': name, 'v': value} ORDER BY name)) AS counts "
-        f"FROM {_RANKED_STATUS_COUNTS} AND dimension <> 'weather_conditions' GROUP BY dimension",
+        f"FROM {_RANKED_STATUS_COUNTS.partition('WHERE rank')[0]} WHERE dimension <> 'weather_conditions' GROUP BY dimension",
         history_ctes(), _ranged(minutes))
 
 
@@ -300,10 +308,8 @@ FROM history WHERE {range_filter(minutes)}
 GROUP BY 1 ORDER BY 1""", history_ctes())
 
 
-def latest_docs_sql(minutes: int, scan_limit: int | None = S.LATEST_SCAN_LIMIT) -> str:
-    limit = f"LIMIT {scan_limit}" if scan_limit else ""
+def latest_docs_sql(minutes: int) -> str:
     return with_base(f"""SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY zone ORDER BY synchronized_time DESC) AS rn
-  FROM (SELECT * FROM history WHERE {range_filter(minutes)}
-        ORDER BY synchronized_time DESC, zone {limit}) newest
-  WHERE zone IS NOT NULL AND zone <> '') t WHERE rn = 1""", history_ctes())
+  FROM history WHERE {range_filter(minutes)}
+    AND zone IS NOT NULL AND zone <> '') t WHERE rn = 1""", history_ctes())

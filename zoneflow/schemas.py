@@ -49,10 +49,10 @@ TRAFFIC_ALERT_SPEED_BELOW = 20.0
 WEATHER_HEAVY_RAIN, WEATHER_EXTREME_HEAT, WEATHER_NORMAL = (
     "Heavy Rain", "Extreme Heat", "Normal")
 HEAVY_RAIN_ABOVE_MM, EXTREME_HEAT_ABOVE_C = 5.0, 38.0
-# City alerts: U+1F534, U+26A0 U+FE0F and U+1F7E2, each followed by one space.
-ALERT_POLLUTION_TRAP = "\U0001F534 POLLUTION TRAP"
+# City alerts.
+ALERT_POLLUTION_TRAP = "🔴 POLLUTION TRAP"
 ALERT_ROAD_CLOSED = "⚠️ ROAD CLOSED"
-ALERT_ALL_CLEAR = "\U0001F7E2 ALL CLEAR"
+ALERT_ALL_CLEAR = "🟢 ALL CLEAR"
 # Severity badge for an alert text.
 SEVERITY_RED, SEVERITY_AMBER, SEVERITY_GREEN = "red", "amber", "green"
 
@@ -63,7 +63,10 @@ SENSOR_SUFFIX = "_001"
 # Raw air-quality feed: defaults used when a field is missing.
 AQI_FEED_DEFAULTS = {"aqi": 50, "pm25": 15, "pm10": 40, "no2": 12, "co": 4,
                      "t": 30, "h": 60, "w": 5}
-# Raw weather feed: fallback reading.
+# Raw air-quality feed: the whole baseline of a failed poll.
+AQI_FEED_FAILED = {"aqi": 42, "pm25": 12, "pm10": 35, "no2": 15, "co": 5, "t": 31, "h": 55, "w": 8}
+AQI_FEED_OK = "ok"
+# Raw weather feed: fallback reading, as a whole.
 WEATHER_FEED_FALLBACK = {"temperature_c": 32.0, "wind_speed_kmph": 10.0, "humidity_pct": 60,
                          "rainfall_mm": 0.0, "pressure_hpa": 1008.0}
 
@@ -76,7 +79,8 @@ LOCAL_UTC_OFFSET_MINUTES = 330
 # milliseconds, "Z".
 STORE_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
-# Dashboard query bounds and sizes.
+# Dashboard query bounds; LATEST_SCAN_LIMIT, TERMS_SIZE and ZONE_ANALYTICS_SIZE are the dashboard's
+# own sizes, for callers that ask for them: no operator has them as a default.
 RANGE_MINUTES_MIN, RANGE_MINUTES_MAX, RANGE_MINUTES_DEFAULT = 1, 1440, 60
 LATEST_SCAN_LIMIT = 500
 TERMS_SIZE = 10
@@ -141,12 +145,16 @@ MESSAGE_SCHEMA = StructType([
 
 # Raw public-feed payloads (nested).
 _V = StructType([StructField("v", DoubleType())])
-AQI_FEED_SCHEMA = StructType([
+AQI_FEED_DATA = StructType([
     StructField("aqi", IntegerType()),
     StructField("iaqi", StructType([StructField(m, _V) for m in
                                     ("pm25", "pm10", "no2", "co", "t", "h", "w")])),
     StructField("time", StructType([StructField("iso", StringType())])),
 ])
+AQI_FEED_SCHEMA = StructType([
+    StructField("status", StringType()),
+    StructField("data", AQI_FEED_DATA),
+])
 WEATHER_FEED_SCHEMA = StructType([
     StructField("current_weather", StructType([
         StructField("temperature", DoubleType()),
@@ -204,9 +212,8 @@ UNIFIED_COLUMNS = [
     "pressure_hpa", "weather_condition", "city_alert",
 ]
 
-
-def feed_output_columns(topic: str) -> list[str]:
-    """Output columns of one parsed feed, in order (norm_zone first, kafka columns last)."""
-    p = FEED_PREFIX[topic]
-    return (["norm_zone"] + [out for _, out in FEED_COLUMNS[topic]]
-            + [f"{p}_kafka_time", f"{p}_kafka_partition", f"{p}_kafka_offset"])
+_TYPES = {out: FEED_SCHEMAS[t][src].dataType for t, fields in FEED_COLUMNS.items() for src, out in fields}
+# The same as a schema, for document tables that have no file yet.
+UNIFIED_SCHEMA = StructType([
+    StructField(c, _TYPES.get(c) or (TimestampNTZType() if c.endswith("_time") else StringType()))
+    for c in UNIFIED_COLUMNS])

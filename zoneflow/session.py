@@ -34,17 +34,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment (a folder every executor can reach) and is only
-    read here. When it is unset (local tests), a fresh scratch folder is set for this session.
+    read here; without it this raises. On a local master (tests), where the driver is the only
+    machine, a fresh scratch folder is set for this session.
     """
     sc = spark.sparkContext
     configured = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="zoneflow-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def is_local(master: str) -> bool:
+    """Whether one process on one machine runs everything (``local``, ``local[8]``, not ``local-cluster``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path under the shared checkpoint folder; ``unique`` appends a fresh id."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -52,6 +60,38 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return "/".join([base, *tail]) if "://" in base else os.path.join(base, *tail)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of a folder's entries (none if it is missing)."""
+    fs, target = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
+def intermediate_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared folder for an intermediate table. Frames that read it are
+    lazy, so it stays while the application lives and is removed when the application ends (the
+    file system deletes it on exit); ``remove_path`` removes it earlier."""
+    path = shared_path(spark, "zoneflow-intermediate", name, unique=True)
+    fs, target = _file_system(spark, path)
+    fs.mkdirs(target)  # only what exists can be marked; the table itself lies in it
+    fs.deleteOnExit(target)
+    return f"{path}/table"
+
+
 # Settings for a large cluster (runtime SQL settings; a deployment may override any of them).
 CLUSTER_CONF = {
     # AQE re-plans from runtime sizes: joins become broadcasts only when a side is measured small,

@@ -1,23 +1,26 @@
 """Document sinks (SNK-02..SNK-08).
 
-Documents are written from the executors as Parquet partitioned by ``sync_date`` (the date of
-``synchronized_time``) and ``batch_id``, with dynamic partition overwrite: replaying a batch
-replaces exactly that batch's files, so a stream restarted from its checkpoint writes the same
-table (idempotent), and range queries prune whole dates. Readers can take the newest version of
-each document key. Nothing is collected to the driver.
+Documents are written from the executors as Parquet, one folder a batch (``batches/batch_id=N``) and
+in it one a date (``sync_date``). Writing a batch replaces its whole folder, so a replayed batch leaves
+nothing of its earlier run, whatever its dates and rows are, and an empty one leaves no rows.
+``compact`` folds closed batches into one folder by date. Range queries prune whole dates, also through
+the newest-version step, which has the date among its keys. Nothing is collected to the driver.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from functools import reduce
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, LongType, StructField, StructType, TimestampNTZType, TimestampType
 
-from zoneflow.functions.text import document_time_text, local_wall_clock
+from zoneflow import schemas as S
+from zoneflow.functions.text import document_time_text
+from zoneflow.session import child_names, path_exists, remove_path
 
 T = TypeVar("T")
 
@@ -47,25 +50,23 @@ def with_retries(action: Callable[[int], T], attempts: int = 3, backoff_seconds:
 
 
 class DocumentSink:
-    """SNK-03: keyed, idempotent document table at ``path`` (partitioned by ``batch_id``)."""
+    """SNK-03: keyed, idempotent document table at ``path``."""
 
-    def __init__(self, path: str, attempts: int = 3, backoff_seconds: float = 2.0):
-        self.path = path
+    def __init__(self, path: str, attempts: int = 3, backoff_seconds: float = 2.0,
+                 schema: StructType = S.UNIFIED_SCHEMA):
+        self.path = path.rstrip("/")
         self.attempts = attempts
         self.backoff_seconds = backoff_seconds
+        self.schema = schema
 
     def write(self, documents: DataFrame, batch_id: int) -> None:
+        """Replace batch ``batch_id`` by these documents (none: the batch becomes empty)."""
         # One trigger's documents, clustered by date (few files per date, not one per task);
         # REBALANCE lets AQE split a date that holds most of the batch into several tasks.
-        out = (_partitioned(documents.drop(DATE_COL))
-               .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-               .hint("rebalance", DATE_COL))
+        out = _partitioned(documents.select(*self.schema.names)).hint("rebalance", DATE_COL)
 
         def attempt(_: int) -> None:
-            (out.write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy(DATE_COL, "batch_id")
-             .parquet(self.path))
+            out.write.mode("overwrite").partitionBy(DATE_COL).parquet(f"{self.path}/batches/batch_id={int(batch_id)}")
 
         with_retries(attempt, self.attempts, self.backoff_seconds)
 
@@ -73,8 +74,24 @@ class DocumentSink:
         """``foreachBatch`` entry point (SNK-02)."""
         self.write(documents, batch_id)
 
+    def _compacted(self, spark: SparkSession) -> int | None:
+        """The last batch of the newest finished compaction."""
+        done = [int(n.split("=")[1]) for n in child_names(spark, f"{self.path}/compacted")
+                if n.startswith("batch_id=") and path_exists(spark, f"{self.path}/compacted/{n}/_SUCCESS")]
+        return max(done, default=None)
+
     def read_all(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path)
+        """All versions of all documents, with ``sync_date`` and ``batch_id`` (a compacted document has
+        the last batch of its compaction). A missing table has no rows."""
+        upto = self._compacted(spark)
+        batches = [n for n in child_names(spark, f"{self.path}/batches")
+                   if n.startswith("batch_id=") and (upto is None or int(n.split("=")[1]) > upto)]
+        roots = [("batches", batches)] + ([("compacted", [f"batch_id={upto}"])] if upto is not None else [])
+        full = StructType([*self.schema.fields, StructField(DATE_COL, DateType()), StructField("batch_id", LongType())])
+        parts = [spark.read.schema(full).option("basePath", f"{self.path}/{root}")
+                 .parquet(*[f"{self.path}/{root}/{n}" for n in names]).select(*full.names)
+                 for root, names in roots if names]
+        return reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], full)
 
     def read(self, spark: SparkSession, key: tuple[str, ...] = DOC_KEY,
              keep_date: bool = False) -> DataFrame:
@@ -83,10 +100,34 @@ class DocumentSink:
         docs = latest_version(self.read_all(spark), key)
         return docs if keep_date else docs.drop(DATE_COL)
 
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        """Fold the batches up to ``upto`` into one folder a date, keeping the newest version of each
+        document, so that the number of folders does not grow with the number of triggers.
+
+        These batches must be closed: a later replay of one of them would not be read any more. The
+        folded table counts from the moment it is complete; only then are the folders it replaces
+        removed, so a failure at any point loses nothing and reads as before or after.
+        """
+        done = self._compacted(spark)
+        if done is not None and upto <= done:
+            return
+        closed = self.read_all(spark).filter(F.col("batch_id") <= upto)
+        target = f"{self.path}/compacted/batch_id={int(upto)}"
+        out = latest_version(closed).select(*self.schema.names, DATE_COL).hint("rebalance", DATE_COL)
+        with_retries(lambda _: out.write.mode("overwrite").partitionBy(DATE_COL).parquet(target),
+                     self.attempts, self.backoff_seconds)
+        for name in child_names(spark, f"{self.path}/batches"):
+            if name.startswith("batch_id=") and int(name.split("=")[1]) <= upto:
+                remove_path(spark, f"{self.path}/batches/{name}")
+        if done is not None:
+            remove_path(spark, f"{self.path}/compacted/batch_id={done}")
+
 
 def latest_version(docs: DataFrame, key: tuple[str, ...] = DOC_KEY) -> DataFrame:
-    """Last write per key wins (the highest ``batch_id``)."""
-    w = Window.partitionBy(*key).orderBy(F.col("batch_id").desc())
+    """Last write per key wins (the highest ``batch_id``). The date, which follows from the time in
+    the key, is among the window's keys, so that date predicates pass it and reach the scan."""
+    keys = [*key, *([DATE_COL] if DATE_COL in docs.columns else [])]
+    w = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
     return (docs.withColumn("_rn", F.row_number().over(w))
             .filter(F.col("_rn") == 1).drop("_rn", "batch_id"))
 
@@ -98,9 +139,7 @@ def render_documents(documents: DataFrame) -> DataFrame:
     document carries all of its fields.
     """
     def field(f):
-        if isinstance(f.dataType, TimestampType):  # an instant: local wall clock first
-            return document_time_text(local_wall_clock(f.name))
-        if isinstance(f.dataType, TimestampNTZType):
+        if isinstance(f.dataType, (TimestampType, TimestampNTZType)):
             return document_time_text(f.name)
         return F.col(f.name)
 
@@ -116,10 +155,28 @@ def show_vertical(df: DataFrame, n: int = 100) -> None:
 
 
 def write_batches(documents: DataFrame, path: str, batch_col: str = "batch_id") -> None:
-    """Write many batches in one job: each value of ``batch_col`` replaces its own partition."""
-    (_partitioned(documents).withColumn("batch_id", F.col(batch_col).cast("long"))
-     # clustered by (date, batch) so each partition folder gets few files; AQE splits a hot
-     # (date, batch) into advisory-sized tasks instead of writing it from one task
-     .hint("rebalance", DATE_COL, "batch_id")
+    """Write many batches in one job to a new table: each value of ``batch_col`` is a batch."""
+    (_partitioned(documents.withColumn("batch_id", F.col(batch_col).cast("long")))
+     # clustered by (batch, date) so each partition folder gets few files; AQE splits a hot
+     # one into advisory-sized tasks instead of writing it from one task
+     .hint("rebalance", "batch_id", DATE_COL)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(DATE_COL, "batch_id").parquet(path))
+     .partitionBy("batch_id", DATE_COL).parquet(f"{path.rstrip('/')}/batches"))
+
+
+class RejectSink:
+    """SNK-06 / PRJ-08: rejected messages with their reason and raw payload, one folder a batch."""
+
+    def __init__(self, path: str):
+        self.path = path.rstrip("/")
+
+    def __call__(self, rejects: DataFrame, batch_id: int) -> None:
+        with_retries(lambda _: rejects.write.mode("overwrite").parquet(f"{self.path}/batch_id={int(batch_id)}"))
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """All rejects (none if nothing was written yet)."""
+        names = [n for n in child_names(spark, self.path) if n.startswith("batch_id=")]
+        schema = "topic string, json_payload string, kafka_time timestamp_ntz, kafka_partition int, kafka_offset bigint, reject_reason string"
+        if not names:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(*[f"{self.path}/{n}" for n in names])

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zoneflow.functions.text import json_encode
+
 
 def to_messages(df: DataFrame, topic: str, key: str | Column | None = None,
                 time_col: str | None = None) -> DataFrame:
     """Rows as (key, value, topic[, timestamp]) with the row encoded as one JSON object."""
     cols = [(F.col(key) if isinstance(key, str) else key).cast("binary").alias("key")
             if key is not None else F.lit(None).cast("binary").alias("key"),
-            F.encode(F.to_json(F.struct(*[c for c in df.columns if c != time_col])), "UTF-8")
-            .alias("value"),
+            F.encode(json_encode(*[c for c in df.columns if c != time_col]), "UTF-8").alias("value"),
             F.lit(topic).alias("topic")]
     if time_col:
         cols.append(F.col(time_col).alias("timestamp"))

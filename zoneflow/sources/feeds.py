@@ -1,12 +1,10 @@
 """Raw public-feed payloads (SRC-09, SRC-10): landed nested JSON flattened into readings.
 
-The source application polled two public APIs and reshaped each answer in Python before
-publishing. Here the answers are a landed table (one JSON payload per poll) and the reshaping is
-a column job: ``from_json`` with the nested schema, defaults by ``coalesce``, the first element of
-the hourly arrays by ``get`` (null-safe on empty arrays), and the per-zone calibration.
-
-``raw_*_polls`` derive deterministic poll tables from the driver's ``events`` table: every event
-is one poll; some polls lack fields so the defaults are exercised.
+The answers of two public services are a landed table (one JSON payload per poll) and the
+reshaping is a column job: ``from_json`` with the nested schema and the first element of the hourly
+arrays by ``get`` (null-safe on empty arrays). An air-quality answer counts only in an envelope of
+status ``ok``, else the whole fixed baseline stands in; a weather answer with any part missing is
+replaced as a whole.
 """
 
 from __future__ import annotations
@@ -16,137 +14,56 @@ from pyspark.sql import functions as F
 
 from zoneflow import schemas as S
 from zoneflow.functions.text import iso_text, sensor_id
-from zoneflow.operators import zones as Z
-from zoneflow.sources.fixtures import zone_lookup
+from zoneflow.operators.zones import with_zone_attributes
 
 FEED_TZ_SUFFIX = "+05:30"
 
 
-def _k() -> F.Column:
-    return F.get_json_object("props", "$.k").try_cast("int")
-
-
-def raw_aqi_polls(events: DataFrame) -> DataFrame:
-    """(poll_id, fetched_at, payload): a city-wide air-quality answer per event.
+def flatten_aqi_feed(polls: DataFrame) -> DataFrame:
+    """SRC-09: the baseline reading of each poll.
 
-    ``signup`` polls lack the index and ``error`` polls lack NO2 and wind, so their defaults
-    apply. Null fields are left out of the JSON text.
+    The answer's ``data`` counts if its ``status`` is ``ok``: missing pollutants stay null there
+    and a missing index takes its default. Any other answer (an error status, no envelope, text
+    that is no JSON, null) is a failed poll and gives the fixed baseline, stamped with the poll's time.
     """
-    k = F.col("_k").cast("double")
-    et = F.col("event_type")
-    v = lambda c: F.struct(c.alias("v"))
-    payload = F.struct(
-        F.when(et != "signup", F.col("_k") * 4).alias("aqi"),
-        F.struct(v(k / 2).alias("pm25"), v(k).alias("pm10"),
-                 F.when(et != "error", v(k / 4)).alias("no2"), v(k / 8).alias("co"),
-                 v(k / 4 + 20).alias("t"), v(k).alias("h"),
-                 F.when(et != "error", v(F.col("value"))).alias("w")).alias("iaqi"),
-        F.struct(iso_text("ts", FEED_TZ_SUFFIX).alias("iso")).alias("time"),
-    )
-    return (events.select("event_id", "ts", "event_type", "value", _k().alias("_k"))
-            .select(F.col("event_id").alias("poll_id"), F.col("ts").alias("fetched_at"),
-                    F.to_json(payload).alias("payload")))
-
-
-def flatten_aqi_feed(polls: DataFrame) -> DataFrame:
-    """SRC-09: the baseline reading of each poll, with the feed defaults for missing fields."""
     d = F.from_json("payload", S.AQI_FEED_SCHEMA)
-    dflt = S.AQI_FEED_DEFAULTS
-    iaqi = [("pm25", "pm25"), ("pm10", "pm10"), ("no2", "no2"), ("co", "co"),
-            ("t", "temperature"), ("h", "humidity"), ("w", "wind")]
+    failed, iaqi = S.AQI_FEED_FAILED, {"pm25": "pm25", "pm10": "pm10", "no2": "no2", "co": "co",
+                                       "t": "temperature", "h": "humidity", "w": "wind"}
+    answered = (F.col("d.status") == S.AQI_FEED_OK) & F.col("d.data").isNotNull()
+    fetched = iso_text("fetched_at", FEED_TZ_SUFFIX)
     return (polls.select("poll_id", "fetched_at", d.alias("d"))
+            .withColumn("ok", F.coalesce(answered, F.lit(False)))
             .select("poll_id", "fetched_at",
-                    F.coalesce(F.col("d.aqi"), F.lit(dflt["aqi"])).alias("base_aqi"),
-                    *[F.col(f"d.iaqi.{src}.v").alias(f"base_{out}") for src, out in iaqi],
-                    F.coalesce(F.col("d.time.iso"), iso_text("fetched_at", FEED_TZ_SUFFIX))
+                    F.when(F.col("ok"), F.coalesce("d.data.aqi", F.lit(S.AQI_FEED_DEFAULTS["aqi"])))
+                    .otherwise(failed["aqi"]).alias("base_aqi"),
+                    *[F.when(F.col("ok"), F.col(f"d.data.iaqi.{src}.v")).otherwise(float(failed[src]))
+                      .alias(f"base_{out}") for src, out in iaqi.items()],
+                    F.when(F.col("ok"), F.coalesce("d.data.time.iso", fetched)).otherwise(fetched)
                     .alias("timestamp")))
 
 
-def zone_aqi_readings(baselines: DataFrame) -> DataFrame:
-    """JN-05 + SC-11 + SC-12: one AQI reading per (poll, zone), scaled by the zone modifier.
-
-    A missing pollutant takes its default unscaled, as the source application did.
-    """
-    dflt = S.AQI_FEED_DEFAULTS
-    fanned = Z.fan_out_to_zones(baselines)
-    metric = [("pm25", "pm25"), ("pm10", "pm10"), ("no2", "no2"), ("co", "co"),
-              ("temperature", "t"), ("humidity", "h"), ("wind", "w")]
-    return fanned.select(
-        "poll_id",
-        sensor_id(S.AQI_TOPIC, "zone_name").alias("sensor_id"),
-        F.col("zone_name").alias("zone"), F.col("zone_lat").alias("lat"),
-        F.col("zone_lon").alias("lon"),
-        Z.calibrate_aqi("base_aqi").alias("aqi"),
-        *[Z.calibrate(f"base_{out}", default=float(dflt[key])).alias(out) for out, key in metric],
-        "timestamp")
-
-
-def raw_weather_polls(events: DataFrame) -> DataFrame:
-    """(poll_id, zone_name, fetched_at, payload): one weather answer per event, for the zone of
-    the event's user. ``error`` polls are failed fetches (empty object); ``signup`` polls have
-    empty hourly arrays."""
-    k = F.col("_k").cast("double")
-    et = F.col("event_type")
-    hourly = F.when(et == "signup", F.struct(
-        F.array().cast("array<double>").alias("relativehumidity_2m"),
-        F.array().cast("array<double>").alias("precipitation"),
-        F.array().cast("array<double>").alias("surface_pressure"))).otherwise(F.struct(
-            F.array(k, k + 1).alias("relativehumidity_2m"),
-            F.array(k / 16, F.lit(0.0)).alias("precipitation"),
-            F.array(k / 4 + 1000, F.lit(1000.0)).alias("surface_pressure")))
-    payload = F.when(et == "error", F.lit("{}")).otherwise(F.to_json(F.struct(
-        F.struct((k / 4 + 20).alias("temperature"), F.col("value").alias("windspeed"))
-        .alias("current_weather"),
-        hourly.alias("hourly"))))
-    return (events.select("event_id", "ts", "event_type", "value", "user_id", _k().alias("_k"))
-            .select(F.col("event_id").alias("poll_id"),
-                    zone_lookup(F.col("user_id") % 5)["name"].alias("zone_name"),
-                    F.col("ts").alias("fetched_at"), payload.alias("payload")))
-
-
 def flatten_weather_feed(polls: DataFrame, zones: DataFrame) -> DataFrame:
-    """SRC-10 + JN-04 + SC-12: a weather reading per poll: current values, the first hourly
-    element, the fallback value for anything missing, and the zone's coordinates."""
+    """SRC-10 + JN-04 + SC-12: a weather reading per poll: current values and the first hourly
+    elements with the zone's coordinates. If the answer lacks a part that is looked up (the current
+    weather and its two values, or an element of an hourly array), the fallback reading replaces all
+    five values. A null inside an hourly array is a value, and stays null."""
     d = F.from_json("payload", S.WEATHER_FEED_SCHEMA)
     fb = S.WEATHER_FEED_FALLBACK
-    first = lambda name: F.get(F.col(f"d.hourly.{name}"), 0)
+    hourly = {"humidity_pct": "relativehumidity_2m", "rainfall_mm": "precipitation", "pressure_hpa": "surface_pressure"}
+    current = {"temperature_c": "temperature", "wind_speed_kmph": "windspeed"}
+    parts = [F.col(f"d.current_weather.{c}").isNotNull() for c in current.values()]
+    parts += [F.coalesce(F.size(f"d.hourly.{c}") > 0, F.lit(False)) for c in hourly.values()]
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole & p
+    values = {out: F.col(f"d.current_weather.{c}") for out, c in current.items()}
+    values |= {out: F.get(F.col(f"d.hourly.{c}"), F.lit(0)) for out, c in hourly.items()}
+    values["humidity_pct"] = values["humidity_pct"].cast("int")
     flat = polls.select("poll_id", "zone_name", "fetched_at", d.alias("d")).select(
-        "poll_id", "zone_name",
-        F.coalesce(F.col("d.current_weather.temperature"), F.lit(fb["temperature_c"]))
-        .alias("temperature_c"),
-        F.coalesce(F.col("d.current_weather.windspeed"), F.lit(fb["wind_speed_kmph"]))
-        .alias("wind_speed_kmph"),
-        F.coalesce(first("relativehumidity_2m").cast("int"), F.lit(fb["humidity_pct"]))
-        .alias("humidity_pct"),
-        F.coalesce(first("precipitation"), F.lit(fb["rainfall_mm"])).alias("rainfall_mm"),
-        F.coalesce(first("surface_pressure"), F.lit(fb["pressure_hpa"])).alias("pressure_hpa"),
+        "poll_id", "zone_name", *[F.when(whole, v).otherwise(F.lit(fb[out])).alias(out) for out, v in values.items()],
         iso_text("fetched_at", FEED_TZ_SUFFIX).alias("timestamp"))
-    located = Z.with_zone_attributes(flat, zones)
-    return located.select(
+    return with_zone_attributes(flat, zones).select(
         "poll_id", sensor_id(S.WEATHER_TOPIC, "zone_name").alias("sensor_id"),
         F.col("zone_name").alias("zone"), F.col("zone_lat").alias("lat"),
         F.col("zone_lon").alias("lon"), "temperature_c", "wind_speed_kmph", "humidity_pct",
         "rainfall_mm", "pressure_hpa", "timestamp")
-
-
-def traffic_readings(events: DataFrame, zones: DataFrame) -> DataFrame:
-    """JN-04 + JN-06 + SC-10 + SC-12: a traffic reading per event for the zone of its user.
-
-    The observed speed is ``k / 2`` km/h; the road is closed when an ``error`` event falls in a
-    rush hour of the zone.
-    """
-    obs = events.select(
-        F.col("event_id").alias("reading_id"), "ts", "event_type",
-        zone_lookup(F.col("user_id") % 5)["name"].alias("zone_name"),
-        (_k().cast("double") / 2).alias("current_speed_kmph"))
-    joined = Z.with_zone_attributes(obs, zones)
-    rush = Z.in_rush_hour("ts")
-    return joined.select(
-        "reading_id",
-        sensor_id(S.TRAFFIC_TOPIC, "zone_name").alias("sensor_id"),
-        F.col("zone_name").alias("zone"), F.col("zone_lat").alias("lat"),
-        F.col("zone_lon").alias("lon"), iso_text("ts", FEED_TZ_SUFFIX).alias("timestamp"),
-        "current_speed_kmph", F.col("free_flow").alias("free_flow_speed"),
-        Z.congestion_pct("current_speed_kmph", "free_flow").alias("congestion_pct"),
-        (rush & (F.col("event_type") == "error")).alias("road_closure"),
-        rush.alias("in_rush_hour"))

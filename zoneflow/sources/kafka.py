@@ -2,61 +2,78 @@
 
 The Kafka reader is kept thin: options in, Kafka-shaped DataFrame out. Everything after it works
 on the standard Kafka columns (key, value, topic, partition, offset, timestamp), so the same code
-runs on a file-backed stand-in with those columns (see ``zoneflow.sources.fixtures``).
+runs on a file-backed stand-in with those columns (see ``zoneflow.plans.fixtures``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow import schemas as S
-from zoneflow.functions.times import between_inclusive
-
-DEFAULT_LOGIN_MODULE = "org.apache.kafka.common.security.plain.PlainLoginModule"
-
-
-def kafka_options(bootstrap_servers: str | list[str] = "localhost:9092",
-                  topics: str | list[str] = S.TOPICS,
-                  starting_offsets: str | None = "latest",
-                  username: str | None = None, password: str | None = None,
-                  security_protocol: str = "SASL_SSL", sasl_mechanism: str = "PLAIN",
-                  login_module: str = DEFAULT_LOGIN_MODULE,
-                  ca_pem: str | None = None) -> dict[str, str]:
-    """SRC-05: reader options. Secrets are arguments from the caller, never read from code."""
-    servers = bootstrap_servers if isinstance(bootstrap_servers, str) else ",".join(bootstrap_servers)
-    servers = ",".join(s.strip() for s in servers.split(",") if s.strip())
-    topic_list = topics if isinstance(topics, str) else ",".join(topics)
-    opts = {"kafka.bootstrap.servers": servers, "subscribe": topic_list}
-    if starting_offsets:
-        opts["startingOffsets"] = starting_offsets
-    if username and password:
-        opts.update({
-            "kafka.security.protocol": security_protocol,
-            "kafka.sasl.mechanism": sasl_mechanism,
-            "kafka.sasl.jaas.config":
-                f'{login_module} required username="{username}" password="{password}";',
-        })
-    if ca_pem:
-        opts.update({"kafka.ssl.truststore.type": "PEM",
-                     "kafka.ssl.truststore.certificates": ca_pem.replace("\\n", "\n")})
-    return opts
+from zoneflow.functions.times import as_wall_clock, between_inclusive
+
+@dataclass(frozen=True)
+class SaslLogin:
+    """A SASL login over TLS. Both parts must be given: a half-given login is an error of the
+    deployment, not a wish for an unauthenticated connection."""
+
+    username: str
+    password: str
+    mechanism: str = "PLAIN"
+    login_module: str = "org.apache.kafka.common.security.plain.PlainLoginModule"
+
+    def __post_init__(self) -> None:
+        if not self.username or not self.password:
+            raise ValueError("a login needs a user name and a password")
+
+    def options(self) -> dict[str, str]:
+        def quoted(text: str) -> str:
+            return '"' + text.replace("\\", "\\\\").replace('"', '\\"') + '"'
+
+        return {"kafka.security.protocol": "SASL_SSL", "kafka.sasl.mechanism": self.mechanism,
+                "kafka.sasl.jaas.config": f"{self.login_module} required username={quoted(self.username)} "
+                                          f"password={quoted(self.password)};"}
+
+
+def kafka_options(bootstrap_servers: Sequence[str], topics: Sequence[str] = S.TOPICS,
+                  starting_offsets: str = "latest", login: SaslLogin | None = None,
+                  ca_pem: str | None = None, min_partitions: int | None = None,
+                  max_offsets_per_trigger: int | None = None) -> dict[str, str]:
+    """SRC-05: reader options. Secrets are arguments from the caller, never read from code.
+
+    ``ca_pem`` is the text of a PEM trust store, taken as it is. ``min_partitions`` splits large
+    topic partitions into more tasks; ``max_offsets_per_trigger`` bounds a micro-batch.
+    """
+    if isinstance(bootstrap_servers, str) or isinstance(topics, str):
+        raise TypeError("servers and topics are lists")
+    if not bootstrap_servers or not topics:
+        raise ValueError("at least one server and one topic are needed")
+    optional = {"minPartitions": min_partitions, "maxOffsetsPerTrigger": max_offsets_per_trigger}
+    trust = {"kafka.ssl.truststore.type": "PEM", "kafka.ssl.truststore.certificates": ca_pem} if ca_pem else {}
+    return {"kafka.bootstrap.servers": ",".join(bootstrap_servers), "subscribe": ",".join(topics),
+            "startingOffsets": starting_offsets, **(login.options() if login else {}), **trust,
+            **{k: str(v) for k, v in optional.items() if v is not None}}
 
 
 def lookback_options(options: dict[str, str], as_of: dt.datetime,
                      lookback_minutes: int = S.BATCH_LOOKBACK_MINUTES,
                      starting_offsets: str | None = None) -> dict[str, str]:
-    """SRC-04: bounded range options: explicit offsets, else ``as_of - lookback`` as a start time."""
+    """SRC-04: bounded range options: explicit offsets, else ``as_of - lookback`` as a start time.
+
+    ``as_of`` is an instant: a time without a zone is refused, as elsewhere such times are local."""
     opts = dict(options)
     opts.pop("startingOffsets", None)
     if starting_offsets:
         opts["startingOffsets"] = starting_offsets
     else:
+        if as_of.tzinfo is None:
+            raise ValueError("as_of needs a time zone")
         start = as_of - dt.timedelta(minutes=lookback_minutes)
-        if start.tzinfo is None:
-            start = start.replace(tzinfo=dt.timezone.utc)
         opts["startingTimestamp"] = str(int(start.timestamp() * 1000))
         # Without this, a partition with no record after the start time fails the read.
         opts["startingOffsetsByTimestampStrategy"] = "latest"
@@ -75,11 +92,14 @@ def read_kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame
 
 
 def message_columns(messages: DataFrame) -> DataFrame:
-    """SRC-01 + SRC-06: topic, payload text, Kafka time, and the (partition, offset) tie-breakers."""
+    """SRC-01 + SRC-06: topic, payload text, Kafka time, and the (partition, offset) tie-breakers.
+
+    The broker's time is an instant (``timestamp``); it becomes local wall-clock
+    ``timestamp_ntz`` here, once, and everything after works on that."""
     return messages.select(
         "topic",
         F.col("value").cast("string").alias("json_payload"),
-        F.col("timestamp").alias("kafka_time"),
+        as_wall_clock("timestamp").alias("kafka_time"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
     )

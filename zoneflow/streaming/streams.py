@@ -17,7 +17,7 @@ from zoneflow import schemas as S
 from zoneflow.operators import latest as L
 from zoneflow.operators import parse as P
 from zoneflow.operators import unify as U
-from zoneflow.functions.text import local_wall_clock
+from zoneflow.functions.times import as_wall_clock
 from zoneflow.sources.kafka import message_columns
 
 
@@ -36,13 +36,13 @@ def apply_trigger(writer: DataStreamWriter, kind: str = "availableNow",
 def latest_state(message_stream: DataFrame) -> DataFrame:
     """STR-04: newest reading per zone per feed; as a streaming aggregation its state is kept in
     the checkpoint, so a restart resumes with the zones already seen."""
-    return L.latest_readings(P.parse_all(message_columns(message_stream)))
+    return L.latest_readings(message_columns(message_stream))
 
 
 def processing_time() -> Column:
     """The trigger's processing time (one value per micro-batch) as local wall-clock
     ``timestamp_ntz`` in the documents' zone, whatever the session zone."""
-    return local_wall_clock(F.current_timestamp())
+    return as_wall_clock(F.current_timestamp())
 
 
 def unified_batch_writer(sink: Callable[[DataFrame, int], None],
@@ -52,13 +52,9 @@ def unified_batch_writer(sink: Callable[[DataFrame, int], None],
     and write them; no rows are collected."""
     def process(state: DataFrame, batch_id: int) -> None:
         sync = stamp(batch_id) if stamp else processing_time()
-        # One document per complete zone: small, cached on the executors for the two passes.
-        docs = U.unified_from_state(state, sync, zones).persist()
-        try:
-            if not docs.isEmpty():  # no complete zone yet: nothing to write (PRJ-08)
-                sink(docs, batch_id)
-        finally:
-            docs.unpersist()
+        # A trigger without a complete zone writes an empty batch (PRJ-08): if it is a replay, its
+        # earlier documents go.
+        sink(U.unified_from_state(state, sync, zones), batch_id)
     return process
 
 
@@ -106,6 +102,15 @@ def reading_trends(messages: DataFrame, bucket: str = S.TREND_BUCKET,
              "avg_congestion", "avg_speed", "avg_temperature", "road_closures"))
 
 
+def start_reject_stream(message_stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
+                        trigger: str = "availableNow", processing_time_interval: str = "30 seconds") -> StreamingQuery:
+    """SNK-06: the messages that the other streams can't use, with their reason and raw payload, as a
+    table (``sinks.documents.RejectSink``). Stateless."""
+    writer = (P.rejected_messages(message_columns(message_stream)).writeStream.outputMode("append")
+              .foreachBatch(sink).option("checkpointLocation", checkpoint))
+    return apply_trigger(writer, trigger, processing_time_interval).start()
+
+
 def start_console(stream: DataFrame, trigger: str = "processingTime",
                   processing_time_interval: str = "20 seconds") -> StreamingQuery:
     """SNK-01: append-mode console sink (debugging)."""
@@ -115,8 +120,8 @@ def start_console(stream: DataFrame, trigger: str = "processingTime",
 
 def start_table_stream(stream: DataFrame, path: str, checkpoint: str,
                        output_mode: str = "append", trigger: str = "availableNow") -> StreamingQuery:
-    """Write a stream to a Parquet table: the file sink for append mode, and an overwrite per
-    trigger (``foreachBatch``) for complete/update results."""
+    """Write a stream to a Parquet table: the file sink for append mode (what unbounded streams
+    should use), and an overwrite per trigger (``foreachBatch``) for complete results."""
     if output_mode == "append":
         writer = (stream.writeStream.format("parquet").option("path", path)
                   .option("checkpointLocation", checkpoint).outputMode("append"))
