@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.session import ensure_checkpoint_dir, shared_path
+from zoneflow.session import intermediate_path
 
 #: Rows of one Arrow batch handed to Python: whole texts travel, so few rows a batch keep a worker's memory small.
 BATCH_ROWS = 256
@@ -55,11 +55,10 @@ def sample_texts(docs: DataFrame, ids: DataFrame, limit: int, most_bytes: int, k
 def written(frame: DataFrame, name: str) -> DataFrame:
     """``frame`` written as Parquet in the shared folder and read back: a lineage cut that survives lost executors.
 
-    The folder lies under ``spark.checkpoint.dir``; the deployment's cleaning of that folder removes it.
+    The folder lies under ``spark.checkpoint.dir`` and is removed when the application ends.
     """
     spark = frame.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = shared_path(spark, "llm", name, unique=True)
+    path = intermediate_path(spark, name)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
