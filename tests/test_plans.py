@@ -82,6 +82,13 @@ def test_only_the_zone_is_parsed_before_the_reduction(spark):
         assert "from_json(StructField(sensor_id" not in below and "from_json(StructField(zone" in below, plan
 
 
+def test_rejects_parse_each_payload_once_a_form(spark):
+    from zoneflow.operators.parse import rejected_messages, valid_messages
+    for split in (rejected_messages, valid_messages):
+        plan = split(E.message_cols(spark, SF_SMALL))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 4, plan  # as text values, and once a topic
+
+
 def test_replay_scans_are_pruned(spark):
     import re
     plan = executed_plan(E.QUERIES["status_breakdown"](spark, SF_SMALL))

@@ -134,8 +134,11 @@ def with_reject_reason(messages: DataFrame) -> DataFrame:
     topic = F.col("topic")
     typed = [F.when(topic == t, F.from_json("json_payload", S.FEED_SCHEMAS[t])).alias(f"_t{i}")
              for i, t in enumerate(S.TOPICS)]
-    parsed = messages.select(
-        "*", F.from_json("json_payload", "map<string,string>").alias("_raw"), *typed)
+    # One row in, one row out: what a generator made is not inlined into a later filter, where each
+    # field's check would parse the payload again.
+    parsed = messages.select("*", F.explode(F.array(F.struct(
+        F.from_json("json_payload", "map<string,string>").alias("_raw"), *typed))).alias("_parsed")).select(
+        *messages.columns, "_parsed.*")
     raw = F.col("_raw")
     zone = normalize_zone(raw["zone"])
     bad_type = F.lit(False)

@@ -110,19 +110,22 @@ class NothingComplete(RuntimeError):
 
 
 def scheduled_batch(messages: DataFrame, as_of: dt.datetime, lookback_minutes: int, write, batch_id: int,
-                    write_rejects=None, zones: DataFrame | None = None) -> DataFrame:
+                    write_rejects=None, zones: DataFrame | None = None) -> None:
     """STR-08: one run of the scheduled job over the messages of ``as_of - lookback .. as_of``.
 
-    Usable messages are merged per zone; ``write(documents, batch_id)`` takes the documents of
+    The newest readings are merged per zone; ``write(documents, batch_id)`` takes the documents of
     complete zones (``sinks.documents.DocumentSink``) and ``write_rejects(rejects, batch_id)`` the
-    others with their reason. Raises ``NothingComplete``, and writes no documents, if no zone is
-    complete. Runs may overlap: a run replaces its own batch, and the newest version of a document wins.
+    faulty messages with their reason (one with a field of a wrong type still counts as a reading
+    without that field). Raises ``NothingComplete``, and writes no documents, if no zone is complete.
+    Runs may overlap: a run replaces its own batch, and the newest version of a document wins.
     """
     ranged = within_lookback(messages, as_of, lookback_minutes)
     if write_rejects is not None:
         write_rejects(P.rejected_messages(ranged), batch_id)
-    documents = unified_snapshot(P.valid_messages(ranged), as_of, zones)
-    if documents.isEmpty():
-        raise NothingComplete(f"no zone with all three feeds in the {lookback_minutes} minutes up to {as_of}")
-    write(documents, batch_id)
-    return documents
+    documents = unified_snapshot(ranged, as_of, zones).persist()  # a row a zone, read twice
+    try:
+        if documents.isEmpty():
+            raise NothingComplete(f"no zone with all three feeds in the {lookback_minutes} minutes up to {as_of}")
+        write(documents, batch_id)
+    finally:
+        documents.unpersist()
