@@ -78,5 +78,7 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op6_jaccard_join": jaccard.SQL,
+    "op8_quality_rules": quality_rules.SQL,
     "op9_mixing": mixing.SQL,
 }

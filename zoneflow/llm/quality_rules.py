@@ -187,3 +187,35 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     counts = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return rows.mapInPandas(run, f"key {docs.schema[key].dataType.simpleString()}, {counts}, base_failed boolean, kept boolean").withColumnRenamed("key", key)
+
+
+#: DuckDB's form of ``quality`` over documents (the order of the rules does not matter to the verdict).
+SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+windows AS (
+  SELECT rid, i, array_to_string(list_slice(w, i, i + 7), ' ') AS g
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8) x),
+twice AS (SELECT rid, g FROM windows GROUP BY rid, g HAVING count(*) > 1),
+repeated AS (
+  SELECT rid, count(DISTINCT p) AS n FROM (
+    SELECT rid, unnest(range(i, i + 8)) AS p FROM windows JOIN twice USING (rid, g)) x GROUP BY rid),
+counted AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines, length(t) - length(replace(t, '!', '')) AS shouts,
+    length(regexp_replace(t, '[^A-Z]', '', 'g')) AS upper_, length(regexp_replace(t, '[^a-z]', '', 'g')) AS lower_,
+    len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS again,
+    coalesce(list_sum(list_transform(w, lambda x: strlen(x))), 0) AS word_bytes,
+    strlen(regexp_replace(t, '[\x00-\x7F]', '', 'g')) AS other_bytes, length(regexp_replace(t, '[^0-9]', '', 'g')) AS digits
+  FROM d LEFT JOIN repeated USING (rid)),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+  n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR 10 * shouts > n_words OR 3 * upper_ > upper_ + lower_ OR 10 * again > n_words
+       OR 10 * n_dup_lines > 4 * n_lines OR word_bytes < 2 * n_words OR word_bytes > 16 * n_words
+       OR upper_ + lower_ + other_bytes < digits + n_symbols) AS kept
+FROM judged
+"""
