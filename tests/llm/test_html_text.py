@@ -42,6 +42,25 @@ def test_other_parts_go():
     assert html_text.main_text(inside).split("\n") == want
 
 
+def test_parts_of_the_article_stay():
+    prose = "".join(f"<p>{P.format(i)}</p>" for i in range(4))
+    page = (f'<body><main><div class="breadcrumb"><a>Home</a></div><article class="post"><div class="post-header"><h1>Title</h1></div>{prose}'
+            '<p><a href="x">A paragraph that is a link</a></p><ul><li>First point</li><li><a href="y">Second</a></li></ul>'
+            '<ul class="list"><li><a>One</a></li><li><a>Two</a></li><li><a>Three</a></li></ul></article>'
+            '<p>Filed under things</p></main></body>')
+    assert html_text.main_text(page).split("\n") == ["Title", *[P.format(i) for i in range(4)], "A paragraph that is a link", "First point", "Second"]
+    wrapped = f'<body><div class="page with-sidebar"><div><h1>Title</h1>{prose}</div></div></body>'
+    assert html_text.main_text(wrapped).split("\n")[0] == "Title"
+
+
+def test_long_comments_go():
+    prose = "".join(f"<p>{P.format(i)}</p>" for i in range(4))
+    comments = "".join(f'<article class="comment"><p>Reader {i}: {P.format(i)} {P.format(i)}</p></article>' for i in range(9))
+    for root in ("article", "div"):
+        page = f'<body><{root}><h1>Title</h1>{prose}</{root}><section id="comments"><h3>Comments</h3>{comments}</section></body>'
+        assert html_text.main_text(page).split("\n") == ["Title", *[P.format(i) for i in range(4)]], root
+
+
 def test_faults_and_edges():
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<p> </p><script>x</script>") == ""
     assert html_text.main_text("just text &lt;b&gt;") == "just text <b>"

@@ -33,19 +33,26 @@ signup login nav navbar navigation menu menubar breadcrumb breadcrumbs paginatio
 footer copyright legal colophon sidebar aside rail widget widgets related recommended recommendations teaser share sharing
 social comment comments commentlist disqus reply replies respond discussion reactions search form contentinfo complementary
 tagcloud tags skip outbrain taboola""".split())
+#: Hints that mean a part of the page, but in an article a part of the article (its title block, say).
+LAYOUT = frozenset("header masthead topbar rail tags search form alert banner".split())
 ROOTS = frozenset(["article", "main"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Smoothing: standard deviation and radius in lines. Share of the content's letters that a region must hold.
 SIGMA, RADIUS, HOLDS = 1.0, 2, 0.5
+#: Lines of links alone that in a row make a menu.
+MENU = 3
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 #: A tag that the page's end cuts off.
 CUT = re.compile(r"<[/!?a-zA-Z][^<>]*\Z")
 
 
-def hinted(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
+def hinted(attributes: list[tuple[str, str | None]], inside: bool) -> bool:
+    """Whether class, id or role tell a part that is no article text; ``inside``: in an article."""
     for name, value in attributes:
-        if name in ("class", "id", "role") and value and any(w.lower() in HINTS for w in WORDS.findall(value)):
-            return True
+        if name in ("class", "id", "role") and value:
+            words = {w.lower() for w in WORDS.findall(value)} & HINTS
+            if words - LAYOUT if inside else words:
+                return True
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
     return False
@@ -67,6 +74,7 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, int]] = []
         self.count, self.lines, self.names = 0, [], {}
+        self.wrapping: set[int] = set()  # hinted elements that hold an article
         self.parts: list[str] = []
         self.tags = self.links = 0
 
@@ -98,9 +106,11 @@ class Lines(HTMLParser):
         kind = 0
         if tag in NEVER or tag == "header" and not inside:
             kind = 2
-        elif tag not in ("html", "body", "article", "main") and attrs and hinted(tag, attrs):
+        elif tag not in ("html", "body", "main") and attrs and hinted(attrs, inside or tag == "article"):
             kind = 1
-        self.names[self.count] = tag
+        if tag in ROOTS and not kind:
+            self.wrapping.update(n for _, n, k in self.open if k == 1)
+        self.names[self.count] = "div" if kind and tag in ROOTS else tag
         self.open.append((tag, self.count, kind))
 
     def end_paragraph(self) -> None:
@@ -161,10 +171,11 @@ def threshold(values: np.ndarray) -> float:
 
 
 def content(lines: list[Line]) -> np.ndarray:
-    """Which lines are content by their smoothed text-to-tag ratio."""
+    """Which lines are content: their smoothed text-to-tag ratio, or their own, is in the upper cluster."""
     ratios = np.array([len(x.text) / max(1, x.tags) for x in lines])
     values = np.log1p(smooth(ratios))
-    out = values > threshold(values)
+    cut = threshold(values)
+    out = (values > cut) | (np.log1p(ratios) > cut)
     return out if out.any() else np.ones(len(lines), bool)
 
 
@@ -182,8 +193,8 @@ def main_text(html: str | None) -> str:
     for x in lines:
         for h in x.hints:
             held[h] = held.get(h, 0) + len(x.text)
-    # a hint on what holds most of the page is of the page's layout, say, and not of a part
-    believed = {h for h, n in held.items() if 2 * n <= whole}
+    # a hint on what holds an article and most of the text, or almost all of it, is of the page's layout
+    believed = {h for h, n in held.items() if 2 * n <= whole or 10 * n <= 9 * whole and h not in page.wrapping}
     marks = content(page.lines) if page.lines else np.zeros(0, bool)
     rows = [(x, m) for x, m in zip(page.lines, marks, strict=True) if not x.never and not any(h in believed for h in x.hints)]
     if not rows:
@@ -199,7 +210,10 @@ def main_text(html: str | None) -> str:
     roots = [n for n, v in mass.items() if page.names[n] in ROOTS and v >= HOLDS * total]
     if roots:
         region = min(roots, key=lambda n: (-mass[n], n))
-        kept = [(x, m) for x, m in rows if region in x.path]
+        for inner in sorted(roots):  # an article in the main part that holds nearly all of it
+            if 5 * mass[inner] >= 4 * mass[region] and any(region in x.path and inner in x.path for x, _ in rows) and inner > region:
+                region = inner
+        kept = [x for x, _ in rows if region in x.path]
     else:
         regions = [n for n, v in mass.items() if v >= 0.9 * total and page.names[n] in BLOCKS]
         if regions and page.names[max(regions)] not in HEADINGS | {"p", "li"}:
@@ -210,8 +224,24 @@ def main_text(html: str | None) -> str:
         last = max(i for i, (_, m) in enumerate(kept) if m)
         while first and kept[first - 1][0].heading:
             first -= 1
-        kept = kept[first:last + 1]
-    return "\n".join(x.text for x, m in kept if m or x.heading or 2 * x.links <= len(x.text))
+        kept = [x for x, _ in kept[first:last + 1]]
+    return "\n".join(x.text for x in without_menus(kept))
+
+
+def without_menus(lines: list[Line]) -> list[Line]:
+    """The lines but for runs of ``MENU`` and more, in one element, that are links alone."""
+    out: list[Line] = []
+    run: list[Line] = []
+    for x in [*lines, None]:
+        link = x is not None and not x.heading and 10 * x.links >= 9 * len(x.text)
+        if run and not (link and x.path[:-1] == run[0].path[:-1]):
+            out += run if len(run) < MENU else []
+            run = []
+        if link:
+            run.append(x)
+        elif x is not None:
+            out.append(x)
+    return out
 
 
 def extract_text(pages: DataFrame, html: str = "html", out: str = "text") -> DataFrame:
