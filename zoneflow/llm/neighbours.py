@@ -157,7 +157,9 @@ def nearest(rows: DataFrame, queries: Column, count: int = NEAREST, key: str = "
                 if (group["kind"] == 1).any():
                     yield work(group)
 
-        return frame.repartition(*keys).sortWithinPartitions(*keys, "kind").mapInPandas(run, schema)
+        # a given number: a part costs far more than its bytes tell, so tasks are not to be merged by bytes
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return frame.repartition(tasks, *keys).sortWithinPartitions(*keys, "kind").mapInPandas(run, schema)
 
     # descent: rows that share a prefix of each length from the bucket's on; shorter ones from the buckets' counts
     own = asks.withColumn("bucket", F.expr(f"shiftright(hash, {BITS - first})"))
