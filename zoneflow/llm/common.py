@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -24,8 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows of an Arrow batch, as whole texts of any length are handed to Python."""
+    """Prepare Python work: bound the rows of an Arrow batch, as whole texts of any length are handed over, and let
+    Python workers import this package from where the driver has it (the deployment installs it there on a cluster)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
 def held_out(key: str = "doc_id") -> Column:
