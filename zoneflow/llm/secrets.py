@@ -6,8 +6,8 @@ The battery asks of each long token whether it looks drawn at random from the al
 * the runs above and below the alphabet's middle (binomial under randomness),
 * the lag-1 serial correlation of the letters' places in the alphabet.
 
-The smallest of the three p-values, Bonferroni-corrected, is the token's p-value. Random tokens have uniform p-values,
-while words pile up near 0. That splits a histogram of p-values: per encoding and length class, the count above 1/2 tells
+The smallest of the three p-values m, as 1 - (1 - m)**3, is the token's p-value: uniform for random tokens, while words
+pile up near 0. That splits a histogram of p-values: per encoding and length class, the count above 1/2 tells
 how many tokens are random (Storey's estimator), and what else lies above a threshold is a false discovery. Each class
 takes the lowest threshold that keeps the share of false discoveries within ``fdr``; short lengths, where tests have
 little power, thereby need a larger p-value or find nothing.
@@ -86,7 +86,8 @@ def p_random(token: Column, letters: Column, size: Column) -> Column:
     lagged = F.aggregate(F.zip_with(here, following, lambda a, b: (a - half) * (b - half)), F.lit(0.0),
                          lambda acc, x: acc + x)
     serial = F.abs(lagged / ((size * size - 1) / 12)) / F.sqrt(n - 1)
-    return F.least(F.lit(1.0), 3 * F.least(upper_tail(uniform), 2 * upper_tail(runs), 2 * upper_tail(serial)))
+    smallest = F.least(F.lit(1.0), upper_tail(uniform), 2 * upper_tail(runs), 2 * upper_tail(serial))
+    return 1 - F.pow(1 - smallest, F.lit(3))
 
 
 def tested(text: Column) -> Column:
