@@ -13,7 +13,7 @@ from __future__ import annotations
 import hashlib
 import json
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -39,6 +39,24 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(others)) for b in range(256)]
 
 
+class KnownWords(dict):
+    """The ids of the words met lately: when it is full, its words become the old ones, which are asked before a word
+    is encoded again, and the older ones are forgotten."""
+
+    def __init__(self, encode_word: Callable[[str], bytes]):
+        super().__init__()
+        self.encode_word, self.old = encode_word, {}
+
+    def __missing__(self, word: str) -> bytes:
+        out = self.old.get(word) or self.encode_word(word)
+        if len(word) <= REMEMBERED_LENGTH:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
+            self[word] = out
+        return out
+
+
 class PrefixBpe:
     """An encoder and decoder for one vocabulary; ``spec`` is the parsed JSON of the tokenizers library."""
 
@@ -52,8 +70,9 @@ class PrefixBpe:
         self.words = regex.compile(WORDS)
         self.to_letters = {b: letters[b] for b in range(256)}  # for str.translate on Latin-1 text
         of_byte = {c: bytes([b]) for b, c in enumerate(letters)}
-        self.bytes_of = {i: b"".join(of_byte[c] for c in t) for t, i in ids.items()}
-        self.bytes_of |= {i: t.encode() for t, i in self.added.items()}
+        texts = {i: b"".join(of_byte[c] for c in t) for t, i in ids.items()}
+        texts |= {i: t.encode() for t, i in self.added.items()}
+        self.bytes_of = [texts.get(i, b"") for i in range(max(texts) + 1)]
         #: rank of the merge of two ids; halves and rank of each merged id (its earliest merge); -1 for single bytes
         self.rank: dict[tuple[int, int], int] = {}
         self.halves: dict[int, tuple[int, int]] = {}
@@ -70,7 +89,7 @@ class PrefixBpe:
                 self.suffixes.add_word(t, (i, len(t)))
         self.suffixes.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, bytes] = {}
+        self.known = KnownWords(self.encode_word)
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging the bytes of both tokens by rank ends in exactly these two tokens.
@@ -97,40 +116,31 @@ class PrefixBpe:
         """The last token and its length for every prefix of a word in byte letters (index 0: the empty prefix)."""
         last: list = [None] * (len(word) + 1)
         pairs = self.pairs
-        for end, (token, length) in self.suffixes.iter(word):
+        for end, match in self.suffixes.iter(word):
             end += 1
-            if last[end] is not None:
-                continue
-            start = end - length
-            if start:
-                pair = (last[start][0], token)
-                fits = pairs.get(pair)
-                if fits is None:
-                    if len(pairs) >= REMEMBERED:
-                        pairs.clear()
-                    fits = pairs[pair] = self.compatible(*pair)
-                if not fits:
-                    continue
-            last[end] = (token, length)
+            if last[end] is None:
+                token, length = match
+                if length < end:
+                    pair = (last[end - length][0], token)
+                    fits = pairs.get(pair)
+                    if fits is None:
+                        if len(pairs) >= REMEMBERED:
+                            pairs.clear()
+                        fits = pairs[pair] = self.compatible(*pair)
+                    if not fits:
+                        continue
+                last[end] = match
         return last
 
     def encode_word(self, word: str) -> bytes:
         """The ids of one word as little-endian unsigned 32-bit integers."""
-        known = self.known.get(word)
-        if known is not None:
-            return known
         letters = word.encode().decode("latin-1").translate(self.to_letters)
         last, at, ids = self.last_tokens(letters), len(letters), []
         while at:
             token, length = last[at]
             ids.append(token)
             at -= length
-        out = struct.pack(f"<{len(ids)}I", *reversed(ids))
-        if len(word) <= REMEMBERED_LENGTH:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[word] = out
-        return out
+        return struct.pack(f"<{len(ids)}I", *reversed(ids))
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, four bytes each; the strings of added tokens give their ids."""
@@ -143,14 +153,12 @@ class PrefixBpe:
             if i % 2:
                 out.append(struct.pack("<I", self.added[part]))
             else:
-                get, slow = self.known.get, self.encode_word
-                out += [get(w) or slow(w) for w in self.words.findall(part)]
+                out += map(self.known.__getitem__, self.words.findall(part))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
         """The text of ids as ``encode`` gives them; bytes that are no UTF-8 become U+FFFD."""
-        of = self.bytes_of
-        return b"".join([of[i] for i in memoryview(ids).cast("I")]).decode("utf-8", "replace")
+        return b"".join(map(self.bytes_of.__getitem__, memoryview(ids).cast("I"))).decode("utf-8", "replace")
 
 
 def load(path: str) -> str:
