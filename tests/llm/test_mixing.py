@@ -1,6 +1,5 @@
 """Mixing: the plan against a plain water-filling and running totals, the query against DuckDB, edge cases."""
 
-import hashlib
 import random
 
 import duckdb

@@ -52,12 +52,6 @@ def hashes(vectors: np.ndarray, planes: np.ndarray, medians: np.ndarray, trees:
     return out
 
 
-def common_bits(a: np.ndarray, b: int) -> np.ndarray:
-    """Length of the common prefix of hash strings."""
-    x = (a ^ b).astype(np.float64)  # exact, as BITS is below 53
-    return BITS - np.frexp(x)[1]
-
-
 def search_counts(frame: pd.DataFrame) -> pd.DataFrame:
     """For each query of a part: how many rows share a prefix of 0, 1, ... BITS bits with it."""
     rows, queries = np.sort(frame.loc[frame["kind"] == 0, "hash"].values), frame[frame["kind"] == 1]
