@@ -1,7 +1,6 @@
 """Rule tables: every threshold at value - e, value, value + e, and null (SC-01..SC-07, SC-14)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from zoneflow import schemas as S
 from zoneflow.functions import rules as R

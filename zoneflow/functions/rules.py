@@ -82,8 +82,3 @@ def unified_rule_columns() -> dict[str, Column]:
     """The four rule columns of a unified row, by output name."""
     return {"aqi_status": aqi_status(), "traffic_status": traffic_status(),
             "weather_condition": weather_condition(), "city_alert": city_alert()}
-
-
-def with_unified_rules(df):
-    """Add the four rule columns of a unified row (one projection)."""
-    return df.withColumns(unified_rule_columns())

@@ -8,7 +8,7 @@ column, "latest" is a row_number per group, and the history replay is a brute-fo
 from __future__ import annotations
 
 from zoneflow import schemas as S
-from zoneflow.plans.params import AS_OF, RANGE_LONG, RANGE_SHORT, TICK_SECONDS
+from zoneflow.plans.params import AS_OF, TICK_SECONDS
 
 AS_OF_SQL = f"TIMESTAMP '{AS_OF:%Y-%m-%d %H:%M:%S}'"
 
