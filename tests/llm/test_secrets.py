@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from zoneflow.llm import catalog, secrets
 
 SF = "/root/testdata/sf0.01"
@@ -47,6 +49,19 @@ def test_battery_finds_random_tokens_and_leaves_words(spark):
     assert len(hits & set(range(40))) >= 36 and not hits - set(range(40))
 
 
+def test_copies_of_a_token_do_not_move_thresholds(spark):
+    rng = random.Random(5)
+    letters = secrets.ALPHABETS["base62"][1]
+    secret = ["".join(rng.choice(letters) for _ in range(32)) for _ in range(60)]
+    words = ["".join(rng.choice(["enchlich", "keitver", "Ung", "schaft", "ober"]) for _ in range(6)) for _ in range(200)]
+    texts = secret + words
+    once = secrets.thresholds(frame(spark, texts), "text")
+    p = secrets.tested(F.col("text"))[0]["p"]
+    by_p = [r.text for r in frame(spark, secret).orderBy(p).select("text").collect()]
+    for hot in (by_p[20], by_p[-5]):  # in many documents, and many times in one
+        assert secrets.thresholds(frame(spark, texts + [hot] * 2000 + [f"{hot} " * 2000]), "text") == once
+
+
 def test_redaction_and_empty_frames(spark):
     texts = ["a token=abcdefgh b", None, "clean", "password: 0123456789abcdef01234567 end"]
     out = secrets.redact(secrets.find_secrets(frame(spark, texts))).orderBy("doc_id").collect()

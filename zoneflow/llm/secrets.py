@@ -91,7 +91,7 @@ def p_random(token: Column, letters: Column, size: Column) -> Column:
 
 
 def tested(text: Column) -> Column:
-    """array<struct<start, end, cls, p>>: every long token with its encoding and length class and its p-value."""
+    """array<struct<start, end, cls, token, p>>: every long token with its encoding and length class, hash and p-value."""
     def one(m: Column) -> Column:
         token = m["value"]
         name, letters = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -106,18 +106,21 @@ def tested(text: Column) -> Column:
 
     with_class = F.filter(F.transform(places(text, TOKEN), one), lambda m: m["letters"].isNotNull())
     return F.transform(with_class, lambda m: F.struct(
-        m["start"].alias("start"), m["end"].alias("end"), m["cls"].alias("cls"),
+        m["start"].alias("start"), m["end"].alias("end"), m["cls"].alias("cls"), F.xxhash64(m["value"]).alias("token"),
         p_random(m["value"], m["letters"], F.char_length(m["letters"]).cast("double")).alias("p")))
 
 
 def thresholds(docs: DataFrame, text: str, fdr: float = FDR) -> dict[str, float]:
     """The least p-value that counts as random, by class; classes without discoveries are missing.
 
-    Only counts by class and histogram bin leave the scan (at most 35 classes of ``BINS`` bins), over all documents.
+    A token counts once, however often it occurs: copies are no further tests. Different tokens are told apart by their
+    hash, combined before the shuffle; only counts by class and histogram bin are collected (at most 35 classes of
+    ``BINS`` bins), over all documents.
     """
     tokens = docs.select(F.explode(tested(F.coalesce(F.col(text), F.lit("")))).alias("t"))
-    counts = tokens.groupBy(F.col("t.cls").alias("cls"),
-                            F.least(F.floor(F.col("t.p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin")).count()
+    different = tokens.select("t.cls", F.least(F.floor(F.col("t.p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"),
+                              "t.token").distinct()
+    counts = different.groupBy("cls", "bin").count()
     by: dict[str, list[int]] = {}
     for r in counts.collect():
         by.setdefault(r.cls, [0] * BINS)[r.bin] = r["count"]
