@@ -62,6 +62,27 @@ def test_copies_of_a_token_do_not_move_thresholds(spark):
         assert secrets.thresholds(frame(spark, texts + [hot] * 2000 + [f"{hot} " * 2000]), "text") == once
 
 
+def test_rare_classes_find_their_secrets(spark):
+    rng = random.Random(7)
+    rare = ["".join(rng.choice(letters) for _ in range(length)) for _, letters in secrets.ALPHABETS.values() for length in secrets.LENGTHS]
+    common = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(200)]
+    for others in ([], common):  # one or two tokens a class: alone, and beside a large class
+        rows = secrets.secret_report(frame(spark, [f"see {x} there" for x in rare + others])).collect()
+        found = {r.doc_id for r in rows if r.spans} & set(range(len(rare)))
+        assert len(found) >= 28 and len(rare) == 35
+
+
+def test_words_raise_the_threshold_of_their_class():
+    def histogram(*ps):
+        return [sum(int(p * secrets.BINS) == b for p in ps) for b in range(secrets.BINS)]
+
+    even = [i / 300 for i in range(300)]
+    words = [0.0] * 130 + [0.012, 0.013, 0.017, 0.018, 0.019, 0.044, 0.055, 0.306]
+    by = {"hex/40": histogram(*even), "base32/20": histogram(*even), "base36/20": histogram(*words), "HEX/40": histogram(0.236)}
+    got = secrets.lowest(by, secrets.FDR)
+    assert set(got) == set(by) and got["hex/40"] == got["base32/20"] == got["HEX/40"] == 0.01 < got["base36/20"] <= 0.5
+
+
 def test_redaction_and_empty_frames(spark):
     texts = ["a token=abcdefgh b", None, "clean", "password: 0123456789abcdef01234567 end"]
     out = secrets.redact(secrets.find_secrets(frame(spark, texts))).orderBy("doc_id").collect()

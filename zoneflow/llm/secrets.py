@@ -10,7 +10,9 @@ The smallest of the three p-values m, as 1 - (1 - m)**3, is the token's p-value:
 pile up near 0. That splits a histogram of p-values: per encoding and length class, the count above 1/2 tells
 how many tokens are random (Storey's estimator), and what else lies above a threshold is a false discovery. Each class
 takes the lowest threshold that keeps the share of false discoveries within ``fdr``; short lengths, where tests have
-little power, thereby need a larger p-value or find nothing.
+little power, thereby need a larger p-value. No class is too small for a threshold: its histogram borrows ``PRIOR`` tokens
+in the shares of the other classes of its length, and those borrow ``WIDER`` from the other lengths, which borrow as many
+random ones. So a lone token has the threshold of its length, while many words in a class still raise its own.
 """
 
 from __future__ import annotations
@@ -41,8 +43,8 @@ ALPHABETS = {
 #: Length classes by their least length.
 LENGTHS = [20, 28, 40, 64, 128]
 BINS = 100
-#: Share of false discoveries that a class may have; random tokens that a class must show to find anything.
-FDR, LEAST_RANDOM = 0.05, 5.0
+#: Share of false discoveries that a class may have; tokens that its histogram borrows, and that the lent ones borrow.
+FDR, PRIOR, WIDER = 0.05, 40.0, 200.0
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -110,8 +112,36 @@ def tested(text: Column) -> Column:
         p_random(m["value"], m["letters"], F.char_length(m["letters"]).cast("double")).alias("p")))
 
 
+def length_of(cls: str) -> str:
+    return cls.split("/")[1]
+
+
+def borrowed(h: list[float], wider: list[float], size: float) -> list[float]:
+    """A histogram with ``size`` more tokens in the shares of a wider one."""
+    return [n + size * w / sum(wider) for n, w in zip(h, wider)]
+
+
+def lowest(by: dict[str, list[int]], fdr: float) -> dict[str, float]:
+    """The threshold of each class, from the classes' histograms."""
+    def others(wider: list[str], without: list[str]) -> list[float]:
+        return [float(sum(by[c][b] for c in wider if c not in without)) for b in range(BINS)]
+
+    found = {}
+    for cls, own in sorted(by.items()):
+        same = [c for c in by if length_of(c) == length_of(cls)]
+        every = borrowed(others(list(by), same), [1.0] * BINS, WIDER)
+        h = borrowed(own, borrowed(others(same, [cls]), every, WIDER), PRIOR)
+        random = 2 * sum(h[BINS // 2:])
+        for b in range(1, BINS // 2 + 1):  # the lowest threshold whose surplus over random tokens is small; 1/2 has none
+            above = sum(h[b:])
+            if b == BINS // 2 or above - random * (1 - b / BINS) <= fdr * above:
+                found[cls] = b / BINS
+                break
+    return found
+
+
 def thresholds(docs: DataFrame, text: str, fdr: float = FDR) -> dict[str, float]:
-    """The least p-value that counts as random, by class; classes without discoveries are missing.
+    """The least p-value that counts as random, by class; classes without tokens are missing.
 
     A token counts once, however often it occurs: copies are no further tests. Different tokens are told apart by their
     hash, combined before the shuffle; only counts by class and histogram bin are collected (at most 35 classes of
@@ -124,17 +154,7 @@ def thresholds(docs: DataFrame, text: str, fdr: float = FDR) -> dict[str, float]
     by: dict[str, list[int]] = {}
     for r in counts.collect():
         by.setdefault(r.cls, [0] * BINS)[r.bin] = r["count"]
-    found = {}
-    for cls, h in sorted(by.items()):
-        random = 2 * sum(h[BINS // 2:])
-        if random < LEAST_RANDOM:
-            continue
-        for b in range(1, BINS // 2 + 1):  # the lowest threshold whose surplus over random tokens is small
-            above = sum(h[b:])
-            if above - random * (1 - b / BINS) <= fdr * above:
-                found[cls] = b / BINS
-                break
-    return found
+    return lowest(by, fdr)
 
 
 def base_spans(text: Column) -> Column:
