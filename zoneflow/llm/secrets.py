@@ -28,8 +28,11 @@ HEX = r"[0-9a-f]+"
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ["assign", "access", "hex", "random"]
 
-#: Tokens that the battery tests, and the alphabets it infers, the narrowest that has all of a token's letters.
+#: Runs that the battery tests, as a whole if an alphabet has all their letters, and in pieces: between '+' and '/', between
+#: '_' and '-', and between all four (those of the first two kinds that have a mark left, as the last has the others).
 TOKEN = r"[A-Za-z0-9+/_-]{20,}"
+PIECES = [(r"[A-Za-z0-9_-]{20,}", "[_-]"), (r"[A-Za-z0-9+/]{20,}", "[+/]"), (r"[A-Za-z0-9]{20,}", ".")]
+#: The alphabets it infers, the narrowest that has all of a token's letters.
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ALPHABETS = {
     "hex": (r"^[0-9a-f]+$", DIGITS + "abcdef"),
@@ -66,6 +69,15 @@ def places(text: Column, pattern: str) -> Column:
     return F.when(text.rlike(pattern), walked).otherwise(none)
 
 
+def tokens_of(text: Column) -> Column:
+    """Every run of ``TOKEN`` that fits an alphabet, and the long pieces of every run, each in its place."""
+    def having(found: Column, mark: str) -> Column:
+        return F.filter(found, lambda m: m["value"].rlike(mark))
+
+    found = F.concat(*[having(places(text, pattern), mark) for pattern, mark in PIECES])
+    return F.when(text.rlike(TOKEN), found).otherwise(F.array().cast(SPAN))
+
+
 def upper_tail(z: Column) -> Column:
     """P(Z > z) of a standard normal, within 2e-4 (logistic form)."""
     return 1 / (1 + F.exp(F.least(F.lit(700.0), 1.5976 * z + 0.07056 * z * z * z)))
@@ -93,7 +105,7 @@ def p_random(token: Column, letters: Column, size: Column) -> Column:
 
 
 def tested(text: Column) -> Column:
-    """array<struct<start, end, cls, token, p>>: every long token with its encoding and length class, hash and p-value."""
+    """array<struct<start, end, cls, token, p>>: every long token and piece with its encoding and length class, hash and p-value."""
     def one(m: Column) -> Column:
         token = m["value"]
         name, letters = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -106,8 +118,7 @@ def tested(text: Column) -> Column:
         return F.struct(m["start"].alias("start"), m["end"].alias("end"), token.alias("value"),
                         F.concat_ws("/", name, length.cast("string")).alias("cls"), letters.alias("letters"))
 
-    with_class = F.filter(F.transform(places(text, TOKEN), one), lambda m: m["letters"].isNotNull())
-    return F.transform(with_class, lambda m: F.struct(
+    return F.transform(F.transform(tokens_of(text), one), lambda m: F.struct(
         m["start"].alias("start"), m["end"].alias("end"), m["cls"].alias("cls"), F.xxhash64(m["value"]).alias("token"),
         p_random(m["value"], m["letters"], F.char_length(m["letters"]).cast("double")).alias("p")))
 
@@ -170,6 +181,19 @@ def of_kind(found: Column, kind: int) -> Column:
     return F.transform(found, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end")))
 
 
+def outermost(found: Column) -> Column:
+    """The spans that are in no other one of ``found``, by start."""
+    def step(acc: Column, s: Column) -> Column:
+        own = F.struct(s["start"].alias("start"), (-s["back"]).alias("end"))
+        fresh = -s["back"] > acc["upto"]
+        return F.struct(F.greatest(acc["upto"], -s["back"]).alias("upto"),
+                        F.when(fresh, F.concat(acc["out"], F.array(own))).otherwise(acc["out"]).alias("out"))
+
+    longest_first = F.array_sort(F.transform(found, lambda t: F.struct(t["start"].alias("start"), (-t["end"]).alias("back"))))
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    return F.aggregate(longest_first, F.struct(F.lit(0).alias("upto"), none.alias("out")), step, lambda acc: acc["out"])
+
+
 def count_of(spans: Column, kind: int) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
@@ -184,7 +208,7 @@ def find_secrets(docs: DataFrame, text: str = "text", out: str = "spans", fdr: f
     """``docs`` with a column ``out``: array<struct<start:int, kind:int, end:int>> of all secrets, by start and kind.
 
     ``kind`` indexes ``KINDS``; places count code points, the end is exclusive. The battery's tokens that overlap a base
-    span are left out, the base span has them. Null and empty text has no spans; repeated rows give equal spans; other
+    span are left out, the base span has them; so are pieces of a token that is found as a whole. Null and empty text has no spans; repeated rows give equal spans; other
     columns are kept as they are, but for one of the name ``out``, which is replaced. The battery's thresholds come from
     all rows of ``docs``; an empty table finds nothing.
     """
@@ -198,7 +222,7 @@ def find_secrets(docs: DataFrame, text: str = "text", out: str = "spans", fdr: f
     def random(row_base: Column) -> Column:
         passing = F.filter(tested(whole), lambda t: F.coalesce(t["p"] >= least[t["cls"]], F.lit(False)) & ~F.exists(
             row_base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-        return of_kind(passing, 3)
+        return of_kind(outermost(passing), 3)
 
     return docs.withColumn(out, base).withColumn(out, F.array_sort(F.concat(F.col(out), random(F.col(out)))))
 
