@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from zoneflow.llm import bpe, html_text, jaccard, language, mixing, neighbours, quality_net, quality_rules, secrets, toxicity
+from zoneflow.llm import (bpe, html_text, jaccard, language, mixing, neighbours, quality_net, quality_rules, runs, secrets, suffix_dedup,
+                          toxicity, vector_codes)
 from zoneflow.llm.common import table
 
 
@@ -63,6 +64,21 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 with_ids=False)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector as sixteen codebook entries, with its error and its label's."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every whole text without the 100-byte strings that start earlier."""
+    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every whole text, some of whose ends are made periodic."""
+    return runs.word_runs(table(spark, sf_dir, "documents"), periodic_ends=True)
+
+
 QUERIES = {
     "op1_html": op1_html,
     "op2_language": op2_language,
@@ -74,6 +90,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_runs": op13_runs,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -81,4 +100,5 @@ SQL: dict[str, str] = {
     "op6_jaccard_join": jaccard.SQL,
     "op8_quality_rules": quality_rules.SQL,
     "op9_mixing": mixing.SQL,
+    "op11_vector_codes": vector_codes.SQL,
 }
