@@ -81,3 +81,39 @@ def test_one_pass_parse_equals_per_feed_parse(spark, topic):
         assert one_pass.columns == per_feed.columns
         rows = sorted(map(repr, per_feed.collect()))
         assert rows and rows == sorted(map(repr, one_pass.collect()))
+
+
+def test_reasons_of_odd_payloads_equal_a_comparison_of_all_fields(spark):
+    """The one parse with all feeds' fields finds what parsing as text values and as the topic's struct finds."""
+    payloads = ["", "null", "7", '"x"', "[]", '["x"]', '[{"zone":"A"}]', "{", "{}", '{"zone":null}', '{"zone":" "}', '{"zone":"A"}', '{"zone":7}',
+                '{"zone":{"a":1}}', '{"zone":"A"} tail', '{"zone":"A","zone":"B"}', '{"zone":"A","lat":"north"}', '{"zone":"A","lat":"1.5"}',
+                '{"zone":"A","lat":1}', '{"zone":"A","aqi":1.5}', '{"zone":"A","aqi":99999999999}', '{"zone":"A","aqi":null}',
+                '{"zone":"A","pm25":NaN}', '{"zone":"A","aqi":NaN}', '{"zone":"A","congestion_pct":"x"}', '{"zone":"A","humidity_pct":"x"}',
+                '{"zone":"A","road_closure":"yes"}', '{"zone":"A","road_closure":1}', '{"zone":" ","lat":"x"}', '{"lat":"x"}', "{'zone':'A'}",
+                '{"zone":"A","_corrupt_record":"x"}', '{"zone":"A","other":[1,{"b":2}]}', '{"zone":"A","timestamp":[1]}', None]
+    topics = [*S.TOPICS, "other", None]
+    rows = [(t, p, None, 0, i) for i, (t, p) in enumerate((t, p) for t in topics for p in payloads)]
+    frame = spark.createDataFrame(rows, "topic string, json_payload string, kafka_time timestamp_ntz, kafka_partition int, kafka_offset bigint")
+
+    def plain(topic):
+        schema = S.FEED_SCHEMAS[topic]
+        both = frame.filter(F.col("topic") == topic).select("kafka_offset", F.from_json("json_payload", "map<string,string>").alias("raw"),
+                                                            F.from_json("json_payload", schema).alias("typed")).collect()
+        out = {}
+        for r in both:
+            if r.raw is None:
+                out[r.kafka_offset] = "malformed_json"
+            elif not (r.raw.get("zone") or "").strip():
+                out[r.kafka_offset] = "missing_zone"
+            elif any(r.raw.get(f.name) is not None and (r.typed is None or r.typed[f.name] is None) for f in schema.fields):
+                out[r.kafka_offset] = "bad_field_type"
+            else:
+                out[r.kafka_offset] = None
+        return out
+
+    got = {r.kafka_offset: r.reject_reason for r in P.with_reject_reason(frame).collect()}
+    want = {i: "unknown_topic" for i, (t, *_) in enumerate(rows) if t not in S.TOPICS}
+    for t in S.TOPICS:
+        want |= plain(t)
+    assert got == want, {payloads[i % len(payloads)]: (got[i], want[i]) for i in got if got[i] != want[i]}
+    assert len(set(got.values())) == 5

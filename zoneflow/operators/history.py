@@ -141,8 +141,15 @@ def replay_states(messages: DataFrame, until: dt.datetime, tick: str = "1 hour",
 
 def replay_history(messages: DataFrame, until: dt.datetime, tick: str = "1 hour",
                    segment: str = "day", zones: DataFrame | None = None,
-                   since: dt.datetime | None = None) -> DataFrame:
-    """The unified documents (41 columns) of every tick, as the stream would have written them."""
+                   since: dt.datetime | None = None, carry=None) -> DataFrame:
+    """The unified documents (41 columns) of every tick, as the stream would have written them.
+
+    With ``since`` and ``carry`` (``sinks.carry.CarryTable``), messages before the newest boundary that the range
+    allows are not read: the table has what they left. The documents are the same."""
+    if carry is not None:
+        if since is None:
+            raise ValueError("a carry-in table bounds a replay that has a start")
+        messages = carry.messages_since(messages, tick_at_or_after(since, tick) - tick_length(tick))
     states = replay_states(messages, until, tick, segment, since)
     rows = L.expand_readings(states, extra=("synchronized_time",))
     if zones is not None:

@@ -51,32 +51,33 @@ def summary(history: DataFrame, as_of: dt.datetime,
     traffic statuses (one row, with empty maps, even when the range is empty).
 
     One scan: documents are first counted and summed per (zone, alert, statuses); that small table is
-    then grouped as a whole (for the KPIs) and by each status alone (for the maps) by grouping sets.
+    then grouped as a whole (for the KPIs), by each status alone (for the maps) and by zone (whose rows are
+    counted) by grouping sets, so nothing is counted distinctly.
     """
     statuses = [c for _, c in SUMMARY_MAPS]
+    columns = ["zone", *statuses]
     small = in_range(history, as_of, range_minutes).groupBy("zone", *statuses).agg(
         F.count(F.lit(1)).alias("n"), F.max("aqi").cast("double").alias("max_aqi"),
         *[f(c).alias(f"{name}_{c}") for c in ("aqi", "congestion_pct", "temperature_c")
           for name, f in (("n", F.count), ("sum", F.sum))],
         F.count_if(is_closed()).alias("closed"), F.max("synchronized_time").alias("newest"))
     avg = {c: r1(F.sum(f"sum_{c}") / F.sum(f"n_{c}")) for c in ("aqi", "congestion_pct", "temperature_c")}
-    sets = small.groupingSets([[], *[[c] for c in statuses]], *statuses).agg(
-        F.grouping_id().alias("set"), F.sum("n").alias("n"), F.count_distinct("zone").alias("zones"),
-        F.sum("n_aqi").alias("records"), avg["aqi"].alias("avg_aqi"), F.max("max_aqi").alias("max_aqi"),
+    sets = small.groupingSets([[], *[[c] for c in columns]], *columns).agg(
+        F.grouping_id().alias("set"), F.sum("n").alias("n"), F.sum("n_aqi").alias("records"), avg["aqi"].alias("avg_aqi"), F.max("max_aqi").alias("max_aqi"),
         avg["congestion_pct"].alias("avg_congestion"), avg["temperature_c"].alias("avg_temperature"),
         F.sum("closed").alias("closed"), F.max("newest").alias("newest"))
     # a grouping id has a bit for each column that a set leaves out, the first column's highest
-    every = (1 << len(statuses)) - 1
+    every = (1 << len(columns)) - 1
     whole = {c: F.max(F.when(F.col("set") == every, F.col(c)))
-             for c in ("zones", "records", "avg_aqi", "max_aqi", "avg_congestion", "avg_temperature", "closed", "newest")}
-    alone = {c: F.col("set") == every - (1 << (len(statuses) - 1 - i)) for i, c in enumerate(statuses)}
+             for c in ("records", "avg_aqi", "max_aqi", "avg_congestion", "avg_temperature", "closed", "newest")}
+    alone = {c: F.col("set") == every - (1 << (len(columns) - 1 - i)) for i, c in enumerate(columns)}
     traps = F.sum(F.when(alone["city_alert"] & is_trap(), F.col("n")))
     maps = [F.map_from_entries(F.array_sort(F.collect_list(F.when(
         alone[c] & F.col(c).isNotNull(), F.struct(F.col(c).alias("name"), F.col("n").alias("value"))))))
         .alias(name) for name, c in SUMMARY_MAPS]
     zero = F.lit(0).cast("bigint")
     return sets.agg(
-        F.coalesce(whole["zones"], zero).alias("zone_count"),
+        F.count_if(alone["zone"] & F.col("zone").isNotNull()).alias("zone_count"),
         F.coalesce(whole["records"], zero).alias("record_count"),
         whole["avg_aqi"].alias("avg_aqi"), r1(whole["max_aqi"]).alias("max_aqi"),
         whole["avg_congestion"].alias("avg_congestion"), whole["avg_temperature"].alias("avg_temperature"),
@@ -130,6 +131,36 @@ def value_counts(df: DataFrame, dimensions=STATUS_DIMENSIONS, size: int | None =
     return ranked if size is None else ranked.filter(F.col("rank") <= size)
 
 
+#: Values that a summary of frequent values holds; each counts at most 3.5 / this share of all rows too little or too much.
+TRACKED_VALUES = 8192
+
+
+def top_values(df: DataFrame, column: str, size: int, tracked: int = TRACKED_VALUES) -> DataFrame:
+    """AG-06 over a column of any number of values: the ``size`` most frequent non-null ones as (name, value, rank), exact, counted
+    without shuffling all values.
+
+    A mergeable summary of frequent values names candidates; they are counted exactly in a second scan, which broadcasts them (``tracked``
+    values at most) and shuffles their partial counts only. A value that the summary does not name has at most the summary's error;
+    if the last of the top does not exceed it, the values are too even for the summary, and all are counted.
+    """
+    named = df.select(F.col(column).cast("string").alias("name")).filter("name IS NOT NULL")
+    summary = named.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(name, {int(tracked)}, {int(tracked)})").alias("items"))
+    total, items = summary.first()
+    order = (F.col("value").desc(), F.col("name"))
+    rows = []
+    if total:
+        names = df.sparkSession.createDataFrame([(i["item"],) for i in items], "name string")  # ``tracked`` at most
+        counted = named.join(F.broadcast(names), "name", "left_semi").groupBy("name").agg(F.count(F.lit(1)).alias("value")).persist()
+        try:
+            rows = counted.orderBy(*order).limit(size).collect()
+            missing = total - (counted.agg(F.sum("value")).first()[0] or 0)
+        finally:
+            counted.unpersist()
+        if missing and (len(rows) < size or rows[-1].value <= 3.5 / tracked * total):
+            rows = named.groupBy("name").agg(F.count(F.lit(1)).alias("value")).orderBy(*order).limit(size).collect()
+    return df.sparkSession.createDataFrame([(r.name, r.value, i) for i, r in enumerate(rows, 1)], "name string, value bigint, rank int")
+
+
 def status_breakdown(history: DataFrame, as_of: dt.datetime,
                      range_minutes: int = S.RANGE_MINUTES_DEFAULT, size: int | None = None) -> DataFrame:
     """AG-07: alerts, AQI, traffic and weather statuses -> (dimension, name, value, rank)."""

@@ -7,9 +7,11 @@ in one codegen stage and works unchanged on streaming frames.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from zoneflow import schemas as S
 from zoneflow.functions.rules import normalize_zone
@@ -115,11 +117,36 @@ def _reading_sql(topic: str, parsed: str, kafka: str = "") -> str:
     return f"CASE WHEN {parsed} IS NOT NULL THEN named_struct({', '.join(fields)}) END"
 
 
-def _bad_type(topic: str, raw: str, typed: str) -> Column:
-    """True when a field is present in the payload (the text map ``raw``) but did not parse into
-    its declared type (null in the typed struct ``typed``). One SQL expression per feed."""
-    return F.expr(" OR ".join(f"({raw}['{f.name}'] IS NOT NULL AND {typed}.`{f.name}` IS NULL)"
-                              for f in S.FEED_SCHEMAS[topic].fields))
+_CORRUPT = "_corrupt_record"
+
+
+def _any_feed() -> StructType:
+    """All fields of all feeds, and the parser's own column for what did not parse. Feeds that share a field give it one type."""
+    fields: dict[str, StructField] = {}
+    for t in S.TOPICS:
+        for f in S.FEED_SCHEMAS[t].fields:
+            if fields.setdefault(f.name, f).dataType != f.dataType:
+                raise TypeError(f"{f.name} has two types")
+    return StructType([*fields.values(), StructField(_CORRUPT, StringType())])
+
+
+def _exact_reason() -> Column:
+    """The reason of a message that did not parse as a whole: its payload is parsed as text values and as its topic's struct, and these are
+    compared field by field."""
+    topic = F.col("topic")
+    forms = F.struct(topic.alias("topic"), F.from_json("json_payload", "map<string,string>").alias("raw"), *[
+        F.when(topic == t, F.from_json("json_payload", S.FEED_SCHEMAS[t])).alias(f"_t{i}") for i, t in enumerate(S.TOPICS)])
+
+    def reason(p: Column) -> Column:
+        bad_type = F.lit(False)
+        for i, t in enumerate(S.TOPICS):
+            lost = [p["raw"][f.name].isNotNull() & p[f"_t{i}"][f.name].isNull() for f in S.FEED_SCHEMAS[t].fields]
+            bad_type = F.when(p["topic"] == t, reduce(Column.__or__, lost)).otherwise(bad_type)
+        zone = normalize_zone(p["raw"]["zone"])
+        return (F.when(p["raw"].isNull(), "malformed_json").when(zone.isNull() | (zone == ""), "missing_zone")
+                .when(bad_type, "bad_field_type"))
+
+    return F.transform(F.array(forms), reason)[0]  # each form is parsed once for all the comparisons
 
 
 def with_reject_reason(messages: DataFrame) -> DataFrame:
@@ -127,29 +154,17 @@ def with_reject_reason(messages: DataFrame) -> DataFrame:
 
     Reasons: ``unknown_topic``, ``malformed_json`` (not a JSON object), ``missing_zone``
     (null or blank zone), ``bad_field_type`` (a present field of the wrong type; it would be read
-    as null). Nothing is dropped here: the caller splits valid and rejected rows. The payload is
-    parsed twice per row (as text values and as the topic's typed struct), each once, in one
-    projection; the checks read those columns in the next.
+    as null). Nothing is dropped here: the caller splits valid and rejected rows. The payload is parsed once, with the fields
+    of all feeds and the parser's column for what did not parse; only a message that has something there is looked at more closely.
     """
     topic = F.col("topic")
-    typed = [F.when(topic == t, F.from_json("json_payload", S.FEED_SCHEMAS[t])).alias(f"_t{i}")
-             for i, t in enumerate(S.TOPICS)]
     # One row in, one row out: what a generator made is not inlined into a later filter, where each
-    # field's check would parse the payload again.
-    parsed = messages.select("*", F.explode(F.array(F.struct(
-        F.from_json("json_payload", "map<string,string>").alias("_raw"), *typed))).alias("_parsed")).select(
-        *messages.columns, "_parsed.*")
-    raw = F.col("_raw")
-    zone = normalize_zone(raw["zone"])
-    bad_type = F.lit(False)
-    for i, t in enumerate(S.TOPICS):
-        bad_type = F.when(topic == t, _bad_type(t, "_raw", f"_t{i}")).otherwise(bad_type)
-    reason = (F.when(~topic.isin(*S.TOPICS) | topic.isNull(), "unknown_topic")
-              .when(raw.isNull(), "malformed_json")
-              .when(zone.isNull() | (zone == ""), "missing_zone")
-              .when(bad_type, "bad_field_type"))
-    return (parsed.withColumn("reject_reason", reason)
-            .drop("_raw", *[f"_t{i}" for i in range(len(S.TOPICS))]))
+    # check would parse the payload again.
+    parsed = messages.select("*", F.explode(F.array(F.from_json("json_payload", _any_feed()))).alias("_parsed"))
+    zone, corrupt = normalize_zone(F.col("_parsed.zone")), F.col("_parsed").isNull() | F.col(f"_parsed.{_CORRUPT}").isNotNull()
+    reason = (F.when(~topic.isin(*S.TOPICS) | topic.isNull(), "unknown_topic").when(corrupt, _exact_reason())
+              .when(zone.isNull() | (zone == ""), "missing_zone"))
+    return parsed.withColumn("reject_reason", reason).drop("_parsed")
 
 
 def valid_messages(messages: DataFrame) -> DataFrame:

@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow import schemas as S
+from zoneflow.functions.times import ntz
 from zoneflow.operators import history as H
 from zoneflow.operators import latest as L
 from zoneflow.operators import metrics as M
 from zoneflow.operators import parse as P
 from zoneflow.operators import unify as U
 from zoneflow.plans import oracle as O
-from zoneflow.plans.params import AS_OF, RANGE_LONG, RANGE_SHORT, TICK
+from zoneflow.plans.params import AS_OF, RANGE_LONG, RANGE_RAGGED, RANGE_SHORT, TICK
 from zoneflow.plans import fixtures
 from zoneflow.sources import kafka as K
 from zoneflow.streaming import tagging as T
@@ -403,7 +404,7 @@ def str_03_weather(spark, sf_dir):
 def str_08(spark, sf_dir):
     """The scheduled job run twice over overlapping ranges; the second run's documents read back."""
     from zoneflow.sinks.documents import DocumentSink
-    sink, messages_ = DocumentSink(f"{_scratch(spark, 'str_08')}/docs"), message_cols(spark, sf_dir)
+    sink, messages_ = DocumentSink(f"{_scratch(spark, 'str_08')}/docs", writer="scheduled"), message_cols(spark, sf_dir)
     earlier = AS_OF - dt.timedelta(minutes=RANGE_LONG // 2)
     for run, as_of in enumerate((earlier, AS_OF)):
         U.scheduled_batch(messages_, as_of, RANGE_LONG, sink, run)
@@ -660,3 +661,212 @@ def ag_11_instants(spark, sf_dir):
 def jn_03_bounded(spark, sf_dir):
     """The replay bounded to the range, unfiltered: the rows of the whole replay in that range."""
     return history(spark, sf_dir, RANGE_LONG)
+
+
+# --- state that is kept between runs -----------------------------------------------------------
+
+def carried(spark, sf_dir):
+    """A carry-in table as three runs left it, 20, 10 and 2 days before ``AS_OF``."""
+    from zoneflow.sinks.carry import CarryTable
+    table = CarryTable(f"{_scratch(spark, 'carry')}/boundaries")
+    for days in (20, 10, 2):
+        table.extend(message_cols(spark, sf_dir), AS_OF - dt.timedelta(days=days))
+    return table
+
+
+@register("jn_03_carried_replay", SQL["prj_06_time_range"])
+def jn_03_carried(spark, sf_dir):
+    """The bounded replay from a carry-in table: messages before the table's newest boundary are not read."""
+    return H.replay_history(message_cols(spark, sf_dir), AS_OF, tick=TICK, since=AS_OF - dt.timedelta(minutes=RANGE_LONG),
+                            carry=carried(spark, sf_dir))
+
+
+def kept_tables(spark, documents: DataFrame, *kinds):
+    """A document table and bucket tables of these kinds, as two batches left them: the second corrects
+    the last six hours of the first, and adds the rest."""
+    from zoneflow.operators import rollups as R
+    from zoneflow.sinks.documents import DocumentSink
+    base = _scratch(spark, "kept")
+    documents.write.parquet(f"{base}/source")
+    source = spark.read.schema(documents.schema).parquet(f"{base}/source")
+    sink, tables = DocumentSink(f"{base}/docs"), [kind(f"{base}/{kind.__name__}") for kind in kinds]
+    write, time = R.kept_up(sink, *tables), F.col("synchronized_time")
+    cut, old = (ntz(AS_OF - dt.timedelta(hours=h)) for h in (6, 12))
+    wrong = F.when(time >= old, F.col("aqi") + 1000).otherwise(F.col("aqi"))
+    write(source.filter(time < cut).withColumn("aqi", wrong.cast("int")).withColumn("city_alert", F.when(time < old, F.col("city_alert"))), 0)
+    write(source.filter(time >= old), 1)
+    return sink, tables
+
+
+def ragged_rollups(spark, sf_dir, coarsest=None):
+    from zoneflow.operators import rollups as R
+    sink, (table,) = kept_tables(spark, history(spark, sf_dir, RANGE_LONG), R.RollupTable)
+    return table.range_rows(spark, sink, AS_OF, RANGE_RAGGED, coarsest)
+
+
+@register("ag_01_rollup_summary", O.summary_sql(RANGE_RAGGED))
+def ag_01_rollup(spark, sf_dir):
+    from zoneflow.operators import rollups as R
+    return R.summary(ragged_rollups(spark, sf_dir))
+
+
+@register("ag_05_rollup_zone_analytics", O.zone_analytics_sql(RANGE_RAGGED))
+def ag_05_rollup(spark, sf_dir):
+    from zoneflow.operators import rollups as R
+    return R.zone_analytics(ragged_rollups(spark, sf_dir))
+
+
+@register("ag_07_rollup_status_breakdown", O.status_breakdown_sql(RANGE_RAGGED))
+def ag_07_rollup(spark, sf_dir):
+    from zoneflow.operators import rollups as R
+    return R.status_breakdown(ragged_rollups(spark, sf_dir))
+
+
+@register("ag_09_rollup_trends", O.trends_sql(RANGE_RAGGED))
+def ag_09_rollup(spark, sf_dir):
+    from zoneflow.operators import rollups as R
+    return R.trends(ragged_rollups(spark, sf_dir, coarsest=0))
+
+
+@register("ag_03_zone_sketches", _wide(O.with_base(
+    "SELECT CAST(count(DISTINCT zone) AS BIGINT) AS zone_count, "
+    "CAST(count(DISTINCT lower(trim(zone))) AS BIGINT) AS norm_zone_count, true AS within_error "
+    f"FROM history WHERE {O.range_filter(RANGE_RAGGED)}", O.history_ctes())))
+def ag_03_sketches(spark, sf_dir):
+    """Distinct zones of many, exact, and whether the merged hourly sketches are within four standard errors of it."""
+    from zoneflow.operators import rollups as R
+    sink, (table,) = kept_tables(spark, wide_history(spark, sf_dir, RANGE_LONG), R.SketchTable)
+    near = R.distinct_zones(table.range_rows(spark, sink, AS_OF, RANGE_RAGGED)).selectExpr("zone_count AS near", "norm_zone_count AS norm_near")
+    exact = M.distinct_zones(sink.read(spark, keep_date=True), AS_OF, RANGE_RAGGED)
+    both = exact.unionByName(near, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in (*exact.columns, *near.columns)])
+    close = [F.abs(F.col(a) - F.col(b)) <= 4 * R.SKETCH_ERROR * F.col(b) for a, b in
+             (("near", "zone_count"), ("norm_near", "norm_zone_count"))]
+    return both.select("zone_count", "norm_zone_count", (close[0] & close[1]).alias("within_error"))
+
+
+@register("st_02_newest_from_dates", SQL["st_02_newest_documents"])
+def st_02_dates(spark, sf_dir):
+    """The newest documents of a document table, from as few of its newest dates as hold so many."""
+    from zoneflow.sinks.documents import DocumentSink, write_batches
+    sink = DocumentSink(f"{_scratch(spark, 'st_02')}/docs")
+    write_batches(history(spark, sf_dir).withColumn("batch_id", F.lit(0)), sink.path)
+    return sink.newest(spark, S.LATEST_SCAN_LIMIT)
+
+
+@register("ag_06_top_sensors", O.with_base("""SELECT CAST(user_id AS VARCHAR) AS name, CAST(count(*) AS BIGINT) AS value,
+  CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(user_id AS VARCHAR)) AS INTEGER) AS rank
+FROM msg GROUP BY user_id ORDER BY rank LIMIT 25"""))
+def ag_06_top(spark, sf_dir):
+    """The busiest of many senders, exact, through a summary of frequent values."""
+    return M.top_values(_events(spark, sf_dir), "user_id", 25)
+
+
+@register("snk_07_repeated_publish", SQL["snk_07_publish_roundtrip"])
+def snk_07_repeated(spark, sf_dir):
+    """A batch published twice, as a retry does it: read back, each reading is there once."""
+    from zoneflow.sinks.publish import batch_messages, distinct_messages, write_message_files
+    readings = P.expand_payload(message_cols(spark, sf_dir), S.AQI_TOPIC)
+    path = _scratch(spark, "snk_07_twice")
+    for attempt in range(2):
+        sent = batch_messages(readings.repartition(2 + attempt), S.AQI_TOPIC, "run-7")
+        write_message_files(sent.selectExpr("key", "value", "topic", "0 AS `partition`", f"CAST({attempt} AS BIGINT) AS `offset`",
+                                            "CAST(NULL AS TIMESTAMP_NTZ) AS `timestamp`", "0 AS timestampType"), path)
+    kept = distinct_messages(spark.read.schema(S.MESSAGE_SCHEMA).parquet(path))
+    return P.expand_payload(K.message_columns(kept), S.AQI_TOPIC)
+
+
+# --- streams that keep more ---------------------------------------------------------------------
+
+def _fed(spark, name, parts, start):
+    """Messages landed part by part, with a stream over them that stops and starts again after each part."""
+    from zoneflow.sinks.publish import write_message_files
+    base = _scratch(spark, name)
+    for part in parts:
+        write_message_files(part, f"{base}/topic")
+        start(fixtures.read_message_files_stream(spark, f"{base}/topic"), f"{base}/ckpt").awaitTermination()
+
+
+STATE_TTL, STATE_DELAY = "1 day", "1 hour"
+_ALIVE = ", ".join(f"""{f}_a AS (SELECT r.* FROM {f}_l r JOIN alive USING (norm_zone)
+  WHERE {f}_kafka_time >= last_time - INTERVAL {STATE_TTL})""" for f in ("aqi", "traffic", "weather"))
+
+
+@register("str_04_expiring_state", _wide(O.with_base(
+    "SELECT * FROM aqi_a FULL JOIN traffic_a USING (norm_zone) FULL JOIN weather_a USING (norm_zone)", O.latest_ctes(), f""",
+alive AS (SELECT norm_zone, max(t) AS last_time FROM (SELECT norm_zone, aqi_kafka_time AS t FROM aqi_l
+  UNION ALL SELECT norm_zone, traffic_kafka_time FROM traffic_l UNION ALL SELECT norm_zone, weather_kafka_time FROM weather_l) u GROUP BY 1),
+{_ALIVE}""")))
+def str_04_expiring(spark, sf_dir):
+    """The latest state of many zones when zones leave it after a silent day: each zone's last state, from a stream
+    that was fed a week at a time."""
+    from zoneflow.streaming import kept as KS
+    from zoneflow.streaming import streams as ST
+    out = f"{_scratch(spark, 'str_04_out')}"
+    wide = fixtures.events_to_messages(_events(spark, sf_dir), wide=True)
+    weeks = [wide.filter(f"(day(timestamp) - 1) div 7 = {w}") for w in range(5)]
+
+    def start(stream, checkpoint):
+        rows = L.expand_readings(KS.expiring_latest(stream, STATE_TTL, STATE_DELAY))
+        writer = rows.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(
+            lambda batch, i: batch.write.mode("overwrite").parquet(f"{out}/batch_id={i}"))
+        return ST.apply_trigger(writer).start()
+
+    _fed(spark, "str_04_expiring", weeks, start)
+    rows = spark.read.parquet(out)
+    newest = rows.groupBy("norm_zone").agg(F.max_by(F.struct(*[c for c in rows.columns if c != "batch_id"]), "batch_id").alias("r"))
+    return newest.select("r.*")
+
+
+LATE_FEED = ("least(CAST(date_part('day', {ts}) - 1 AS INTEGER) // 8 + CASE WHEN {k} % 10 = 0 THEN 1 ELSE 0 END, 3)")
+
+
+@register("str_07_corrected_trends", O.with_base("""SELECT time_bucket(INTERVAL 30 SECOND, kafka_time) AS time,
+  CAST(count(*) AS BIGINT) AS messages, round(avg(CASE WHEN topic = 'aqi-data' THEN k * 4 END), 1) AS avg_aqi,
+  round(avg(CASE WHEN topic = 'traffic-data' THEN CAST(k AS DOUBLE) END), 1) AS avg_congestion,
+  round(avg(CASE WHEN topic = 'traffic-data' THEN 50.0::DOUBLE - CAST(k AS DOUBLE) / 2 END), 1) AS avg_speed,
+  round(avg(CASE WHEN topic = 'weather-data' THEN CAST(k AS DOUBLE) / 4 + 20 END), 1) AS avg_temperature,
+  CAST(count_if(topic = 'traffic-data' AND event_type = 'error') AS BIGINT) AS road_closures,
+  CAST(count_if(coalesce(time_bucket(INTERVAL 30 SECOND, kafka_time) + INTERVAL 30 SECOND <= horizon, false)) AS BIGINT) AS late_messages
+FROM fed LEFT JOIN horizons USING (part) GROUP BY 1
+HAVING time_bucket(INTERVAL 30 SECOND, any_value(kafka_time)) + INTERVAL 30 SECOND <= (SELECT max(kafka_time) FROM msg) - INTERVAL 1 MINUTE""", f""",
+fed AS (SELECT *, {LATE_FEED.format(ts="kafka_time", k="k")} AS part FROM msg),
+horizons AS (SELECT p.part, max(f.kafka_time) - INTERVAL 1 MINUTE AS horizon FROM (SELECT DISTINCT part FROM fed) p
+  JOIN fed f ON f.part < p.part GROUP BY p.part)"""))
+def str_07_corrected(spark, sf_dir):
+    """Trends of a stream that is fed eight days at a time, with a tenth of the messages eight days late: closed buckets
+    count all messages, and how many of them came late."""
+    from zoneflow.streaming import kept as KS
+    events = fixtures.events_to_messages(_events(spark, sf_dir), keep_k=True)
+    part = F.least((F.day("timestamp") - 1).cast("int") / 8, F.lit(99))
+    part = F.least(F.floor(part) + F.when(F.col("_k") % 10 == 0, 1).otherwise(0), F.lit(3))
+    table = KS.TrendTable(f"{_scratch(spark, 'str_07_table')}/trends", delay="1 minute")
+    _fed(spark, "str_07_corrected", [events.filter(part == i).drop("_k") for i in range(4)],
+         lambda stream, checkpoint: KS.start_corrected_trends(stream, table, checkpoint))
+    table.fold(spark, 1)
+    return table.read(spark)
+
+
+@register("src_01_deduplicated_stream", O.with_base(
+    "SELECT topic, CAST(count(DISTINCT json_payload) AS BIGINT) AS messages FROM msg_json GROUP BY topic"))
+def src_01_deduplicated(spark, sf_dir):
+    """A stream in which every third message was sent twice, counted a topic."""
+    from zoneflow.streaming import kept as KS
+    stream = fixtures.events_to_messages(fixtures.read_event_stream(spark, sf_dir), keep_k=True)
+    twice = stream.withColumn("_copy", F.explode(F.when(F.col("_k") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    resent = twice.withColumn("offset", F.col("offset") + F.col("_copy") * 1_000_000_000).withColumn(
+        "timestamp", F.expr("timestamp + make_interval(0, 0, 0, 0, 0, 0, _copy * 20)")).drop("_k", "_copy")
+    rows = _streamed(spark, "src_01_deduplicated", KS.deduplicated(resent, "1 minute"))
+    return rows.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@register("str_08_offset_ledger", SQL["str_08_scheduled_incremental"])
+def str_08_ledger(spark, sf_dir):
+    """Three scheduled runs that each read new offsets only; the last run's documents."""
+    from zoneflow.sinks.documents import DocumentSink
+    from zoneflow.sources.ledger import OffsetLedger, ledger_batch
+    base, landed = _scratch(spark, "str_08_ledger"), messages(spark, sf_dir)
+    ledger, sink = OffsetLedger(f"{base}/ledger"), DocumentSink(f"{base}/docs", writer="ledger")
+    last = landed.agg(F.max("offset")).first()[0]
+    for share in (0.4, 0.75, 1.0):
+        ledger_batch(K.within_offsets(landed, ending=int(last * share) + 1), ledger, AS_OF, sink, RANGE_LONG)
+    return sink.read_all(spark).filter("batch_id = 2").select(*S.UNIFIED_COLUMNS)

@@ -10,3 +10,5 @@ TICK_SECONDS = 3600
 # The two dashboard ranges checked: the default and the maximum.
 RANGE_SHORT = 60
 RANGE_LONG = 1440
+# A range whose start lies inside an hour: rollups need finer buckets and single documents at its ends.
+RANGE_RAGGED = 1003

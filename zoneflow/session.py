@@ -81,6 +81,11 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.mkdirs(target)
+
+
 def intermediate_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared folder for an intermediate table. Frames that read it are
     lazy, so it stays while the application lives and is removed when the application ends (the

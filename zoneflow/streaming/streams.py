@@ -18,6 +18,7 @@ from zoneflow.operators import latest as L
 from zoneflow.operators import parse as P
 from zoneflow.operators import unify as U
 from zoneflow.functions.times import as_wall_clock
+from zoneflow.sinks.documents import DocumentSink, checkpoint_writer
 from zoneflow.sources.kafka import message_columns
 
 
@@ -58,6 +59,11 @@ def unified_batch_writer(sink: Callable[[DataFrame, int], None],
     return process
 
 
+def as_checkpoint_writer(sink, stream: DataFrame, checkpoint: str):
+    """A document table as the writer that the checkpoint stands for; any other sink as it is."""
+    return sink.as_writer(checkpoint_writer(stream.sparkSession, checkpoint)) if isinstance(sink, DocumentSink) else sink
+
+
 def start_unified_stream(message_stream: DataFrame, sink: Callable[[DataFrame, int], None],
                          checkpoint: str, trigger: str = "availableNow",
                          processing_time_interval: str = "30 seconds",
@@ -67,8 +73,10 @@ def start_unified_stream(message_stream: DataFrame, sink: Callable[[DataFrame, i
     """STR-06: messages -> keyed latest state -> complete zones -> rules -> idempotent sink.
 
     ``complete`` re-emits every complete zone each trigger (the source's behaviour); ``update``
-    emits only zones whose state changed (use it when the zone population is large).
+    emits only zones whose state changed (use it when the zone population is large). A document table is
+    written as the checkpoint's own writer, so another checkpoint never replaces its batches.
     """
+    sink = as_checkpoint_writer(sink, message_stream, checkpoint)
     writer = (latest_state(message_stream).writeStream
               .outputMode(output_mode)
               .foreachBatch(unified_batch_writer(sink, zones, stamp))
