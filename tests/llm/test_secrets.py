@@ -116,3 +116,68 @@ def test_query_equals_a_plain_scan(spark):
     assert len(rows) == len(docs) and sum(r.n_assign for r in rows) > 0
     for r in rows:
         assert r.base_sha256 == hashlib.sha256(text_of(brute(docs[r.doc_id])).encode()).hexdigest()
+
+
+def plain_battery(token):
+    """Class and p-value of a token: the three tests written out one by one."""
+    import math
+    name, letters = next((k, a) for k, (pattern, a) in secrets.ALPHABETS.items() if re.search(pattern, token))
+    n, size, at = len(token), len(letters), [letters.index(c) + 1 for c in token]
+
+    def tail(z):
+        return 1 / (1 + math.exp(min(700, 1.5976 * z + 0.07056 * z ** 3)))
+
+    chi = sum((token.count(c) - n / size) ** 2 / (n / size) for c in letters)
+    uniform = tail((chi - (size - 1)) / math.sqrt(2 * (size - 1) * (n - 1) / n))
+    high = [x > (size + 1) / 2 for x in at]
+    changes = sum(a != b for a, b in zip(high, high[1:]))
+    runs = 2 * tail(abs(changes - (n - 1) / 2) / math.sqrt((n - 1) / 4))
+    centred = [x - (size + 1) / 2 for x in at]
+    serial = 2 * tail(abs(sum(a * b for a, b in zip(centred, centred[1:])) / ((size ** 2 - 1) / 12)) / math.sqrt(n - 1))
+    return f"{name}/{max(x for x in secrets.LENGTHS if x <= n)}", 1 - (1 - min(1, uniform, runs, serial)) ** 3
+
+
+def test_battery_and_thresholds_equal_plain_code(spark):
+    rng = random.Random(17)
+    tokens = ["".join(rng.choice(a) for _ in range(rng.choice([20, 27, 28, 40, 63, 64, 130]))) for _, a in secrets.ALPHABETS.values() for _ in range(12)]
+    tokens += ["".join(rng.choice(["enchlich", "keitver", "Ung", "schaft", "ober"]) for _ in range(7)) for _ in range(60)]
+    tokens = [t for t in tokens if not re.search("[_-]", t) or not re.search("[+/]", t)]
+    plain = {t: plain_battery(t) for t in tokens}
+    rows = frame(spark, tokens).select("text", F.explode(secrets.tested(F.col("text"))).alias("t")).where("t.start = 0 AND t.end = length(text)")
+    got = {r.text: (r.t.cls, r.t.p) for r in rows.collect()}
+    assert got.keys() == plain.keys()
+    for t, (cls, p) in plain.items():
+        assert got[t][0] == cls and abs(got[t][1] - p) < 1e-9, t
+    whole = [t for t in tokens if re.fullmatch("[A-Za-z0-9]+", t)]  # one token a text: no pieces
+    counts = {}
+    for t in set(whole):
+        cls, p = plain[t]
+        counts.setdefault(cls, [0] * secrets.BINS)[min(int(p * secrets.BINS), secrets.BINS - 1)] += 1
+    assert secrets.thresholds(frame(spark, whole), "text") == secrets.lowest(counts, secrets.FDR)
+
+
+def test_running_totals_and_spans_of_any_number(spark):
+    rng = random.Random(2)
+    for n in (0, 1, 127, 128, 129, 1000):
+        values = [rng.randint(0, 9) for _ in range(n)]
+        row = spark.createDataFrame([(values,)], "v array<int>").select(
+            secrets.running(F.col("v"), lambda a, b: a + b).alias("sum"), secrets.running(F.col("v"), F.greatest).alias("most")).first()
+        assert row["sum"] == [sum(values[: i + 1]) for i in range(n)] and row.most == [max(values[: i + 1]) for i in range(n)]
+    spans = [(s, s + rng.randint(1, 9)) for s in rng.sample(range(900), 300)]
+    base = sorted((s, 0, s + rng.randint(1, 5)) for s in rng.sample(range(900), 40))
+    row = spark.createDataFrame([(spans, base)], "t array<struct<start:int,end:int>>, b array<struct<start:int,kind:int,end:int>>").select(
+        secrets.apart(F.col("t"), F.col("b")).alias("apart"), secrets.outermost(F.col("t")).alias("outer")).first()
+    assert sorted(map(tuple, row.apart)) == sorted(t for t in spans if not any(s < t[1] and t[0] < e for s, _, e in base))
+    assert sorted(map(tuple, row.outer)) == sorted({t for t in spans if not any(o != t and o[0] <= t[0] and t[1] <= o[1] for o in spans)})
+
+
+def test_a_text_of_very_many_tokens(spark):
+    """50,000 tokens in one text, and one token of a million letters, take seconds."""
+    import time
+    rng = random.Random(23)
+    many = " ".join("".join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(50_000))
+    docs = frame(spark, [many, "ab3" * 350_000]).repartition(2)
+    start = time.perf_counter()
+    rows = {r.doc_id: r for r in secrets.secret_report(docs).collect()}
+    assert time.perf_counter() - start < 120
+    assert rows[0].n_hex == 50_000 and rows[0].base_sha256 == hashlib.sha256(text_of(brute(many)).encode()).hexdigest()

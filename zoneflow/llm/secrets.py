@@ -46,27 +46,53 @@ ALPHABETS = {
 #: Length classes by their least length.
 LENGTHS = [20, 28, 40, 64, 128]
 BINS = 100
+#: Elements of a block of ``running``.
+BLOCK = 128
 #: Share of false discoveries that a class may have; tokens that its histogram borrows, and that the lent ones borrow.
 FDR, PRIOR, WIDER = 0.05, 40.0, 200.0
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: higher-order functions don't share equal parts of an expression."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(values: Column, combine) -> Column:
+    """The array of running sums (or maxima: ``combine`` of two) of an array of integers from 0 on.
+
+    An array that grows step by step is copied at each step, so it only grows within blocks of ``BLOCK``, and once more over the
+    blocks: a text with very many matches takes little more than linear time."""
+    def grown(part: Column, before: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            return let(combine(acc["at"], x), lambda at: F.struct(at.alias("at"), F.concat(acc["out"], F.array(at)).alias("out")))
+
+        start = F.struct(before.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(part, start, step, lambda acc: acc["out"])
+
+    def in_blocks(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda part: F.aggregate(part, F.lit(0), lambda acc, x: combine(acc, x)))
+        before = F.concat(F.array(F.lit(0)), grown(totals, F.lit(0)))
+        return F.flatten(F.zip_with(blocks, F.slice(before, F.lit(1), F.size(blocks)), grown))
+
+    def of(values: Column) -> Column:
+        last = F.floor((F.size(values) - 1) / BLOCK).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(values, i * BLOCK + 1, F.lit(BLOCK)))
+        return F.when(F.size(values) > 0, let(blocks, in_blocks)).otherwise(F.array().cast("array<int>"))
+
+    return let(values, of)
+
+
 def places(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches with their places in code points: text between matches, then the match, in turn."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
-    steps = F.zip_with(found, between, lambda m, b: F.struct(m.alias("m"), F.char_length(b).alias("skip"),
-                                                             F.char_length(m).alias("length")))
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["skip"]
-        end = start + x["length"]
-        one = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+    def of(found: Column) -> Column:
+        between = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        ends = running(F.zip_with(found, between, lambda m, b: F.char_length(b) + F.char_length(m)), lambda a, b: a + b)
+        return F.zip_with(found, ends, lambda m, e: F.struct(
+            (e - F.char_length(m)).alias("start"), e.alias("end"), m.alias("value")))
 
-    none = F.array().cast(SPAN)
-    walked = F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), walked).otherwise(none)
+    found = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), of)
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(SPAN))
 
 
 def tokens_of(text: Column) -> Column:
@@ -183,15 +209,28 @@ def of_kind(found: Column, kind: int) -> Column:
 
 def outermost(found: Column) -> Column:
     """The spans that are in no other one of ``found``, by start."""
-    def step(acc: Column, s: Column) -> Column:
-        own = F.struct(s["start"].alias("start"), (-s["back"]).alias("end"))
-        fresh = -s["back"] > acc["upto"]
-        return F.struct(F.greatest(acc["upto"], -s["back"]).alias("upto"),
-                        F.when(fresh, F.concat(acc["out"], F.array(own))).otherwise(acc["out"]).alias("out"))
+    def of(longest_first: Column) -> Column:
+        upto = F.concat(F.array(F.lit(0)), running(F.transform(longest_first, lambda s: -s["back"]), F.greatest))
+        fresh = F.zip_with(longest_first, F.slice(upto, F.lit(1), F.size(longest_first)), lambda s, before: F.struct(
+            s["start"].alias("start"), (-s["back"]).alias("end"), (-s["back"] > before).alias("fresh")))
+        return F.transform(F.filter(fresh, lambda s: s["fresh"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+
+    return let(F.array_sort(F.transform(found, lambda t: F.struct(t["start"].alias("start"), (-t["end"]).alias("back")))), of)
+
+
+def apart(spans: Column, base: Column) -> Column:
+    """The ``spans`` that overlap none of ``base``: of the base spans that start before a span's end, none ends after its start."""
+    def of(events: Column) -> Column:  # a span stands at its end, before base spans that start there
+        upto = running(F.transform(events, lambda e: F.when(e["base"], e["end"]).otherwise(F.lit(0))), F.greatest)
+        seen = F.zip_with(events, upto, lambda e, u: F.struct(e["start"].alias("start"), e["end"].alias("end"),
+                                                              (~e["base"] & (u <= e["start"])).alias("alone")))
+        return F.transform(F.filter(seen, lambda e: e["alone"]), lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end")))
+
+    def event(span: Column, at: str, is_base: bool) -> Column:
+        return F.struct(span[at].alias("at"), F.lit(is_base).alias("base"), span["start"].alias("start"), span["end"].alias("end"))
 
-    longest_first = F.array_sort(F.transform(found, lambda t: F.struct(t["start"].alias("start"), (-t["end"]).alias("back"))))
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    return F.aggregate(longest_first, F.struct(F.lit(0).alias("upto"), none.alias("out")), step, lambda acc: acc["out"])
+    return let(F.array_sort(F.concat(F.transform(spans, lambda s: event(s, "end", False)),
+                                     F.transform(base, lambda b: event(b, "start", True)))), of)
 
 
 def count_of(spans: Column, kind: int) -> Column:
@@ -220,9 +259,10 @@ def find_secrets(docs: DataFrame, text: str = "text", out: str = "spans", fdr: f
     least = F.create_map(*[F.lit(x) for kv in sorted(at_least.items()) for x in kv])
 
     def random(row_base: Column) -> Column:
-        passing = F.filter(tested(whole), lambda t: F.coalesce(t["p"] >= least[t["cls"]], F.lit(False)) & ~F.exists(
-            row_base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-        return of_kind(outermost(passing), 3)
+        passing = F.filter(tested(whole), lambda t: F.coalesce(t["p"] >= least[t["cls"]], F.lit(False)))
+        found = F.transform(passing, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end")))
+        return let(found, lambda spans: F.when(F.size(spans) > 0, of_kind(outermost(apart(spans, row_base)), 3)).otherwise(
+            F.array().cast("array<struct<start:int,kind:int,end:int>>")))
 
     return docs.withColumn(out, base).withColumn(out, F.array_sort(F.concat(F.col(out), random(F.col(out)))))
 
