@@ -30,6 +30,54 @@ def test_learns_from_positives_and_unlabelled_alone():
     assert sum((toxicity.logit(known, t) >= 0) == x for t, x in test) / len(test) >= 0.95
 
 
+def test_the_prior_is_estimated_without_clean_labels():
+    for every, seed in ((4, 1), (4, 2)):
+        data = corpus(6000, seed)
+        positives = [t for t, x in data if x][:900]
+        unlabelled = [t for t, _ in data[2000:]]
+        learnt, kept = [t for i, t in enumerate(positives) if i % toxicity.KEPT], positives[::toxicity.KEPT]
+        assert abs(toxicity.estimated_prior(learnt, kept, unlabelled) - 1 / every) < 0.06
+    assert toxicity.estimated_prior([], [], ["a"]) == toxicity.FIRST_PRIOR
+    known = toxicity.Weights(toxicity.fit(positives, unlabelled))
+    test = corpus(400, 9)
+    assert sum((toxicity.logit(known, t) >= 0) == x for t, x in test) / len(test) >= 0.95
+
+
+def test_letters_inside_long_runs_count():
+    rng = random.Random(4)
+
+    def clause(toxic):  # a script without spaces: one run of letters
+        letters = [rng.choice("bcdfgaeiou") for _ in range(60)]
+        if toxic:
+            at = rng.randrange(20, 50)
+            letters[at:at] = "scumbag"
+        return "".join(letters)
+
+    positives = [clause(True) for _ in range(600)]
+    unlabelled = [clause(i % 4 == 0) for i in range(2400)]
+    known = toxicity.Weights(toxicity.fit(positives, unlabelled, 0.25))
+    assert sum((toxicity.logit(known, clause(i % 2 == 0)) >= 0) == (i % 2 == 0) for i in range(400)) >= 380
+
+
+def test_forward_risk_equals_plain_code():
+    """One step of training against the gradient of the risk by differences, in both cases of the estimator."""
+    import numpy as np
+    pos, unl, prior = ["a b c", "a c d"] * 4, ["b d", "e f a", "c", "d e"] * 4, 0.4
+    data = toxicity.Sparse(pos + unl)
+
+    def risk(w):
+        g = np.array([w[-1] + sum(v * w[c] for c, v in zip(*row)) for row in data.rows])
+        gp, gu = g[: len(pos)], g[len(pos):]
+        clean = np.mean(np.log1p(np.exp(gu))) - prior * np.mean(np.log1p(np.exp(gp)))
+        return prior * np.mean(np.log1p(np.exp(-gp))), clean
+
+    w = np.zeros(toxicity.FEATURES + 1)
+    w[-1] = np.log(prior / (1 - prior))
+    trained = toxicity.train(pos, unl, prior, passes=40)
+    before, after = sum(risk(w)), risk(trained)
+    assert after[0] + max(0, after[1]) < before
+
+
 def test_nulls_empty_tables_and_clashing_columns(spark):
     rows = [(1, "x y", 7), (2, None, 7), (None, "", 7), (3, "word " * 30_000, 7), (3, "word " * 30_000, 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score int")

@@ -19,6 +19,30 @@ def text_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def chosen(ids: DataFrame, limit: int, key: str) -> DataFrame:
+    """The ``limit`` rows of ``ids`` (different keys) whose keys have the smallest hashes: the same ones on every run.
+
+    A bound on the hash that leaves about twice as many rows comes first, so that what is ordered is small and no task
+    receives rows of all others. The bound is raised while it leaves too few."""
+    mark, total = F.xxhash64(F.col(key).cast("string")), ids.count()
+    share = 2 * limit / total if total else 1.0
+    few = ids
+    while share < 0.5:
+        few = ids.where(mark <= F.lit(int(share * 2.0**64) - (1 << 63)))
+        if few.count() >= limit:
+            break
+        share, few = 2 * share, ids
+    return few.orderBy(mark, F.col(key)).limit(limit)
+
+
+def chosen_texts(docs: DataFrame, ids: DataFrame, limit: int, most_bytes: int, key: str, text: str) -> DataFrame:
+    """(key, text) of at most ``limit`` keys of ``ids``, chosen by their hashes among all keys that are not null; of rows that
+    repeat a key the smallest text counts. Null texts and texts of more than ``most_bytes`` bytes drop out."""
+    keys = F.broadcast(chosen(ids.select(F.col(key).alias("key")).dropna().distinct(), limit, "key"))  # at most limit rows
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.octet_length("text") <= most_bytes)
+    return texts.join(keys, "key").groupBy("key").agg(F.min("text").alias("text"))
+
+
 def carried(column: str, kind: str) -> Column:
     """A key for its way through pandas, which makes floats of whole numbers next to nulls: as text, unless it is text or bytes.
     Cast back to ``kind`` it is what it was."""

@@ -8,8 +8,11 @@ class prior, the share of toxic texts, the risk of a classifier g is estimated w
 The second term estimates the clean texts' risk; it is kept from falling below 0, where a flexible model would only fit
 the unlabelled sample. When a batch's estimate is below 0, the step goes against it instead.
 
+The class prior is estimated from the same two samples: where a classifier finds positives that it did not learn from, it also finds
+their share of the unlabelled texts, and more only by mistake, so the least ratio of the two over all thresholds is the prior.
+
 The classifier is linear in the densities of hashed words and word beginnings, so a text's score is a sum of one number a
-word. It is trained in numpy on the driver, from a sample whose rows and bytes are bounded by parameters.
+word. It is trained in numpy by one task, from a sample whose rows and bytes are bounded by parameters; the driver gets the weights.
 """
 
 from __future__ import annotations
@@ -21,7 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zoneflow.llm.common import held_out, sample_texts, small_batches
+from zoneflow.llm.blocks import chosen_texts
+from zoneflow.llm.common import held_out, small_batches
 
 #: Bounds of the training sample: confirmed toxic texts, unlabelled texts, and bytes of a text that may be in it.
 POSITIVES, UNLABELLED, TEXT_BYTES = 2000, 4000, 100_000
@@ -30,6 +34,12 @@ FEATURES, BEGINNINGS, LEAST_TEXTS = 1 << 18, (3, 4, 5, 6, 7), 4
 #: Training: passes, texts of a batch, step, weight decay (more for few positives); one of so many positives is kept to place
 #: the threshold.
 PASSES, BATCH, STEP, DECAY, KEPT = 20, 512, 0.05, 1e-3, 5
+#: Prior of the first training, which only serves to estimate the prior; bounds of the estimate, and the share of the positives that
+#: the thresholds it looks at have to find.
+FIRST_PRIOR, LEAST_PRIOR, MOST_PRIOR, SURE = 0.1, 1e-4, 0.9, 0.5
+#: Runs of more letters than this are clauses of a script without spaces, or several words in one: of them all grams of so
+#: many letters are features too, and each ``WORD`` letters count as a word.
+LONG_RUN, GRAM, WORD = 20, 4, 6
 #: Scale of the densities: words added to a text's own, and the power of the sum.
 PRIOR_WORDS, POWER = 10, 0.6
 #: Words that one worker remembers.
@@ -38,9 +48,12 @@ RUN = re.compile(r"[^\W\d_]+")
 
 
 def features(word: str) -> list[int]:
-    """Hashed features of a lower-case token: each run of letters as a whole, and its beginnings."""
+    """Hashed features of a lower-case token: each run of letters as a whole, and its beginnings; of a very long one also
+    all that stands inside."""
     out = []
     for run in RUN.findall(word):
+        if len(run) > LONG_RUN:
+            out += [zlib.crc32(b"~" + run[i:i + GRAM].encode()) % FEATURES for i in range(len(run) - GRAM + 1)]
         out.append(zlib.crc32(b"=" + run.encode()) % FEATURES)
         out += [zlib.crc32(run[:n].encode()) % FEATURES for n in BEGINNINGS if len(run) >= n]
     return out
@@ -63,7 +76,7 @@ class Sparse:
                 if w not in known:
                     known[w] = np.array(features(w), np.int32)
             cols, n = np.unique(np.concatenate([known[w] for w in words] or [np.zeros(0, np.int32)]), return_counts=True)
-            rows.append((cols.astype(np.int32), (n / density(len(words))).astype(np.float32)))
+            rows.append((cols.astype(np.int32), (n / density(word_count(words))).astype(np.float32)))
         seen = np.zeros(FEATURES, np.int32)
         for cols, _ in rows:
             seen[cols] += 1
@@ -77,6 +90,11 @@ class Sparse:
         return at, np.concatenate([c for c, _ in own]), np.concatenate([v for _, v in own])
 
 
+def word_count(words: set[str]) -> int:
+    """Different tokens, of which very long ones count as several words."""
+    return len(words) + sum(len(w) // WORD for w in words if len(w) > LONG_RUN)
+
+
 def density(words: int) -> float:
     """What a text's sum over its different tokens is divided by: less than their number, as long texts dilute insults."""
     return (words + PRIOR_WORDS) ** POWER / 2
@@ -143,10 +161,38 @@ def placed(w: np.ndarray, positives: list[str], unlabelled: list[str], prior: fl
     return out
 
 
-def fit(positives: list[str], unlabelled: list[str], prior: float) -> np.ndarray:
-    """Train without some positives, which then place the threshold."""
-    learnt = [t for i, t in enumerate(positives) if i % KEPT]
-    return placed(train(learnt, unlabelled, prior), positives[::KEPT], unlabelled, prior)
+def class_prior(w: np.ndarray, positives: list[str], unlabelled: list[str]) -> float:
+    """The share of positives in the unlabelled texts: the least of found in unlabelled / found in positives over the thresholds that find
+    ``SURE`` of the positives, found in unlabelled moved up by its standard error. Both were kept from training."""
+    known = Weights(w)
+    p, u = (np.sort([logit(known, t) for t in part]) for part in (positives, unlabelled))
+    if not len(p) or not len(u):
+        return FIRST_PRIOR
+    found_p = 1 - np.searchsorted(p, p) / len(p)
+    found_u = len(u) - np.searchsorted(u, p)
+    found_u = (found_u + np.sqrt(found_u + 1)) / len(u)
+    sure = found_p >= SURE
+    return float(np.clip((found_u[sure] / found_p[sure]).min(), LEAST_PRIOR, MOST_PRIOR))
+
+
+def estimated_prior(learnt: list[str], kept: list[str], unlabelled: list[str]) -> float:
+    """The class prior of the unlabelled texts, by a classifier that learns from ``learnt`` and a part of them. Texts that
+    are among ``learnt`` are known positives: they are counted, not judged."""
+    known, share = set(learnt), 0.0
+    judged = unlabelled[::KEPT]
+    if judged:
+        share = sum(t in known for t in judged) / len(judged)
+        judged = [t for t in judged if t not in known]
+    w = train(learnt, [t for i, t in enumerate(unlabelled) if i % KEPT], FIRST_PRIOR, PASSES // 2)
+    return share + (1 - share) * class_prior(w, kept, judged)
+
+
+def fit(positives: list[str], unlabelled: list[str], prior: float | None = None) -> np.ndarray:
+    """Train without some positives, which then give the prior, if that is not given, and place the threshold."""
+    learnt, kept = [t for i, t in enumerate(positives) if i % KEPT], positives[::KEPT]
+    if prior is None:
+        prior = estimated_prior(learnt, kept, unlabelled)
+    return placed(train(learnt, unlabelled, prior), kept, unlabelled, prior)
 
 
 class Weights(dict):
@@ -165,22 +211,37 @@ class Weights(dict):
 
 def logit(known: Weights, text: str | None) -> float:
     words = tokens(text)
-    return float(known.w[-1]) + sum(map(known.__getitem__, words)) / density(len(words))
+    return float(known.w[-1]) + sum(map(known.__getitem__, words)) / density(word_count(words))
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-          positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> np.ndarray:
+          positives: int = POSITIVES, unlabelled: int = UNLABELLED, prior: float | None = None) -> np.ndarray:
     """The classifier of ``docs`` and ``labels``, from rows that are not held out.
 
-    Positives: at most ``positives`` documents labelled 1. Unlabelled: at most ``unlabelled`` of all documents, as the
-    estimator takes them for a sample of everything; their labels are not looked at. The class prior is the mean of all labels that are not held out.
+    Positives: at most ``positives`` documents that have a label 1. Unlabelled: at most ``unlabelled`` of all documents, as the
+    estimator takes them for a sample of everything; their labels are not looked at, and labels 0 are not used at all.
+    ``prior``: the share of toxic texts, if it is known; else it is estimated. One task trains, on at most
+    ``positives + unlabelled`` texts of ``TEXT_BYTES`` bytes.
     """
-    known = labels.where(~held_out(key) & F.col(label).isNotNull()).select(key, label)
-    prior = known.agg(F.avg(F.col(label).cast("double"))).first()[0]
-    prior = min(max(prior if prior is not None else 0.5, 1e-4), 1 - 1e-4)
-    p = sample_texts(docs, known.where(F.col(label) == 1).select(key), positives, TEXT_BYTES, key, text)
-    u = sample_texts(docs, docs.where(~held_out(key)).select(key), unlabelled, TEXT_BYTES, key, text)
-    return fit([t for _, t in p], [t for _, t in u], prior)
+    toxic = labels.where(~held_out(key) & (F.col(label) == 1)).select(key)
+    p = chosen_texts(docs, toxic, positives, TEXT_BYTES, key, text).withColumn("kind", F.lit(1))
+    u = chosen_texts(docs, docs.where(~held_out(key)).select(key), unlabelled, TEXT_BYTES, key, text).withColumn("kind", F.lit(0))
+    small_batches(docs.sparkSession)
+
+    def fitted(batches):
+        texts: tuple[list[str], list[str]] = ([], [])
+        for batch in batches:
+            for kind, mine in zip((1, 0), texts, strict=True):
+                mine += batch["text"][batch["kind"] == kind].tolist()
+        for mine in texts:
+            mine.sort()  # in whatever order they came
+        yield pd.DataFrame({"weights": [fit(*texts, prior).tobytes()]})
+
+    sample = p.select("kind", "text").unionByName(u.select("kind", "text"))
+    row = sample.repartition(1).mapInPandas(fitted, "weights binary").first()
+    if row is None:  # no text at all
+        return fit([], [], prior)
+    return np.frombuffer(bytes(row.weights), np.float64)
 
 
 def scorer(docs: DataFrame, model: np.ndarray):
@@ -206,7 +267,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     """One row a document: ``key``, held_out, score (probability of being toxic) and predicted (score >= ``threshold``).
 
     Null and empty texts score as the model's bias says; a null key is not held out; repeated rows score alike; other
-    columns are not read. Without labelled toxic rows every text scores the prior. An empty table gives no rows.
+    columns are not read. Without labelled toxic rows every text scores ``FIRST_PRIOR``. An empty table gives no rows.
     """
     score = scorer(docs, learn(docs, labels, key, text, label))
     return docs.select(key, held_out(key).alias("held_out"), score(F.col(text)).alias("score")).withColumn(
