@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.session import intermediate_path
+from zoneflow.session import intermediate_path, remove_path
 
 #: Rows of one Arrow batch handed to Python: whole texts travel, so few rows a batch keep a worker's memory small.
 BATCH_ROWS = 256
@@ -62,12 +62,20 @@ def sample_texts(docs: DataFrame, ids: DataFrame, limit: int, most_bytes: int, k
 def written(frame: DataFrame, name: str) -> DataFrame:
     """``frame`` written as Parquet in the shared folder and read back: a lineage cut that survives lost executors.
 
-    The folder lies under ``spark.checkpoint.dir`` and is removed when the application ends.
+    The folder lies under ``spark.checkpoint.dir``; it is removed by ``forget``, or else when the application ends.
     """
     spark = frame.sparkSession
     path = intermediate_path(spark, name)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    out = spark.read.schema(frame.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove ``written`` tables that nothing will read any more."""
+    for t in tables:
+        remove_path(t.sparkSession, t.written_at)
 
 
 def groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:

@@ -245,10 +245,11 @@ def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "t
     key, one a text stays if no row with a key has that text."""
     classes = classified(docs, key, text, ngram, similarity, recall)
     stay = classes.where(F.col("class_id").eqNullSafe(F.col("key"))).select(
-        F.col("key").alias("_key"), F.coalesce("digest", F.lit("")).alias("_digest")).distinct()
-    own = docs.withColumn("_own", F.coalesce(digest_of(F.col(text)), F.lit("")))
-    return (own.join(stay, F.col(key).cast("bigint").eqNullSafe(F.col("_key")) & (F.col("_own") == F.col("_digest")))
-            .dropDuplicates([key, "_own"]).select(*docs.columns))
+        F.col("key").alias("stays"), F.coalesce("digest", F.lit("")).alias("of")).distinct()
+    own = docs.select(F.struct("*").alias("doc"), F.col(key).cast("bigint").alias("key"),  # no column of documents can clash
+                      F.coalesce(digest_of(F.col(text)), F.lit("")).alias("digest"))
+    return (own.join(stay, F.col("key").eqNullSafe(F.col("stays")) & (F.col("digest") == F.col("of")))
+            .dropDuplicates(["key", "digest"]).select("doc.*"))
 
 
 #: DuckDB's form of ``near_duplicates`` over documents: all pairs of texts that share an n-gram, exactly.
