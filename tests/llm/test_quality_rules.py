@@ -57,3 +57,15 @@ def test_query(spark):
     assert sorted(rows_of(got)) == sorted((d.doc_id, *plain(d.text)) for d in docs.collect())
     labels = got.where("NOT base_failed").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
     assert labels.agg(F.avg((F.col("kept") == (F.col("quality") == 1)).cast("double"))).first()[0] >= 0.98
+
+
+def test_long_scripts_are_measured_in_code_points(spark):
+    import duckdb
+    clean = " ".join("\u0ba4\u0bae\u0bbf\u0bb4\u0bcd\u0b9a\u0bca\u0bb1\u0bcd\u0b95\u0bb3\u0bcd"[: 6 + i % 7] + chr(0x0b85 + i) for i in range(40))
+    long = " ".join("a" * 17 + chr(97 + i % 26) + str(i) for i in range(40))
+    docs = spark.createDataFrame([(1, clean), (2, long)], "doc_id long, text string")
+    got = {r.doc_id: r.kept for r in q.quality(docs).collect()}
+    assert got == {1: True, 2: False}
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    assert {r[0]: r[-1] for r in con.execute(catalog.SQL["op8_quality_rules"]).fetchall()} == got

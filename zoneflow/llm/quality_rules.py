@@ -65,8 +65,8 @@ class Batch:
             covered = np.concatenate([[0], np.cumsum(np.cumsum(steps[:-1]) > 0)])
             repeated = covered[self.words.first[1:]] - covered[self.words.first[:-1]]
         self.lines = np.array(lines, np.int64).reshape(-1, 2)
-        self.n_symbols = self.letters(SYMBOLS, all_)
-        return {"n_words": self.n_words, "word_chars": self.letters(whole, all_), "n_symbols": self.n_symbols,
+        self.n_symbols, self.word_chars = self.letters(SYMBOLS, all_), self.letters(whole, all_)
+        return {"n_words": self.n_words, "word_chars": self.word_chars, "n_symbols": self.n_symbols,
                 "n_dup_lines": self.lines[:, 1], "n_repeat_words": repeated}
 
 
@@ -105,9 +105,8 @@ def repeated_lines(b: Batch, i: np.ndarray) -> np.ndarray:
 
 
 def odd_words(b: Batch, i: np.ndarray) -> np.ndarray:
-    """Words of less than 2 or more than 16 bytes on average."""
-    size = np.array([int((b.words.ends[b.words.first[k]:b.words.first[k + 1]] - b.words.starts[b.words.first[k]:b.words.first[k + 1]]).sum()) for k in i], np.int64)
-    return (size < 2 * b.n_words[i]) | (size > 16 * b.n_words[i])
+    """Words of less than 2 or more than 16 code points on average."""
+    return (b.word_chars[i] < 2 * b.n_words[i]) | (b.word_chars[i] > 16 * b.n_words[i])
 
 
 def few_letters(b: Batch, i: np.ndarray) -> np.ndarray:
@@ -208,14 +207,13 @@ counted AS (
     coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines, length(t) - length(replace(t, '!', '')) AS shouts,
     length(regexp_replace(t, '[^A-Z]', '', 'g')) AS upper_, length(regexp_replace(t, '[^a-z]', '', 'g')) AS lower_,
     len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS again,
-    coalesce(list_sum(list_transform(w, lambda x: strlen(x))), 0) AS word_bytes,
     strlen(regexp_replace(t, '[\x00-\x7F]', '', 'g')) AS other_bytes, length(regexp_replace(t, '[^0-9]', '', 'g')) AS digits
   FROM d LEFT JOIN repeated USING (rid)),
 judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
   n_repeat_words::BIGINT AS n_repeat_words, base_failed,
   NOT (base_failed OR 10 * n_symbols > n_words OR 10 * shouts > n_words OR 3 * upper_ > upper_ + lower_ OR 10 * again > n_words
-       OR 10 * n_dup_lines > 4 * n_lines OR word_bytes < 2 * n_words OR word_bytes > 16 * n_words
+       OR 10 * n_dup_lines > 4 * n_lines OR word_chars < 2 * n_words OR word_chars > 16 * n_words
        OR upper_ + lower_ + other_bytes < digits + n_symbols) AS kept
 FROM judged
 """
