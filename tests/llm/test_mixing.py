@@ -68,3 +68,20 @@ def test_query_equals_duckdb(spark):
     want = sorted(con.execute(catalog.SQL["op9_mixing"]).fetchall())
     got = sorted(tuple(r) for r in catalog.QUERIES["op9_mixing"](spark, sf).select("doc_id", "size", "source_size", "target", "taken").collect())
     assert got == want
+
+
+def test_twin_splits_words_at_the_same_six_characters(spark, tmp_path):
+    text = "a b\tc\nd\x0be\x0cf\rg\xa0h\x85i\x1cj"
+    docs = spark.createDataFrame([(1, text, "s"), (2, "x y", "t")], "doc_id long, text string, source string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "d"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+    want = {r[0]: r[1] for r in con.execute(catalog.SQL["op9_mixing"]).fetchall()}
+    assert want == {1: 7, 2: 2} == {r.doc_id: r.size for r in mixing.mix_report(docs).collect()}
+
+
+def test_columns_of_documents_may_have_any_name(spark):
+    names = ["_times", "_below", "_again", "_s", "times", "below", "s", "h", "own", "doc", "a.b"]
+    docs = spark.createDataFrame([(i, "one two three", "s", *["x"] * len(names)) for i in range(4)], ["doc_id", "text", "source", *names])
+    mix = mixing.mixed_documents(docs)
+    assert mix.columns == docs.columns and all(tuple(r)[3:] == ("x",) * len(names) for r in mix.collect())

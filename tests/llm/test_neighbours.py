@@ -46,8 +46,8 @@ def test_query_is_exact_on_a_small_table(spark):
 
 def test_recall_with_buckets_and_parts(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "ROWS", 700)  # several buckets a tree, of several parts
-    ids, vectors = read(spark, "check_s")
-    frame = spark.read.parquet("/root/testdata/check_s/embeddings.parquet")
+    ids, vectors = read(spark, "sf0.1")
+    frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     got = found(neighbours.nearest(frame, every()))
     want = brute(ids, vectors, [i for i in ids if i % 100 == 0])
     hits = sum(len({i for i, _ in got[q]} & {i for i, _ in rows}) for q, rows in want.items())

@@ -53,3 +53,15 @@ def test_stages_on_nulls_repeats_and_empty_tables(spark):
             if name == "near_duplicates":
                 assert docs.count() == (5 if data else 0)
         assert docs.count() >= (2 if data else 0)
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Extra columns with the names of helper columns stay as they are, and n_chars may be missing."""
+    names = ["_own", "_key", "_digest", "_spans", "_times", "_below", "_again", "digest", "key", "doc", "spans"]
+    texts = ["alpha beta gamma delta epsilon zeta token=abcdefgh1234 eta theta", "some other words that stand here for a text of its own"]
+    docs = spark.createDataFrame([(i, texts[i % 2], "en", "s", *[f"{n}{i}" for n in names]) for i in range(4)],
+                                 ["doc_id", "text", "lang", "source", *names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == ["doc_id", "text", "lang", "source", *names], name
+        assert all(tuple(r)[4:] == tuple(f"{n}{r.doc_id}" for n in names) for r in docs.collect()), name

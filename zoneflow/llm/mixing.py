@@ -116,19 +116,19 @@ def mix_report(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
 def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
                     weights: tuple = WEIGHTS, share: float = SHARE) -> DataFrame:
     """The mix itself: rows of ``docs`` with all their columns, each as often as the plan takes it (see ``mix_report``)."""
-    by_source = plan(sizes(docs, key, text, source), weights, share).select(F.col("source").alias("_s"), "times", "below")
-    plan_columns = [F.col(c).alias(f"_{c}") for c in ("times", "below")]
-    joined = docs.join(by_source.select("_s", *plan_columns), F.col(source).cast("string").eqNullSafe(F.col("_s")))
-    times = F.col("_times") + F.when(hash_of(F.col(key), F.col(text)) < F.col("_below"), 1).otherwise(0)
-    taken = F.when(size_of(F.col(text)) > 0, times).otherwise(0)
-    return joined.where(taken > 0).withColumn("_again", F.explode(F.array_repeat(F.lit(1), taken.cast("int")))).select(*[docs[c] for c in docs.columns])
+    by_source = plan(sizes(docs, key, text, source), weights, share).select(F.col("source").alias("s"), "times", "below")
+    packed = docs.select(F.struct("*").alias("doc"), F.col(source).cast("string").alias("own"), size_of(F.col(text)).alias("size"),
+                         hash_of(F.col(key), F.col(text)).alias("h"))  # so that no column of documents clashes with the plan's
+    taken = packed.join(by_source, F.col("own").eqNullSafe(F.col("s"))).select(
+        "doc", F.when(F.col("size") > 0, copies(F.col("h"))).otherwise(0).cast("int").alias("taken"))
+    return taken.where("taken > 0").select("doc", F.explode(F.array_repeat(F.lit(1), F.col("taken")))).select("doc.*")
 
 
 #: DuckDB's form of ``mix_report`` over documents: within a source the histograms find where the running total of words,
 #: in the order of the hash, passes the budget.
 SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0)::BIGINT AS size,
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
          ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), text, '')), 1, 15))::BIGINT AS h FROM documents),
 totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 weighed AS (
