@@ -32,10 +32,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts are replaced by a mark; no document goes. n_chars follows the text."""
-    masked = secrets.redact(secrets.find_secrets(docs, out="_spans"), spans="_spans")
-    changed = F.size("_spans") > 0
-    return masked.withColumn("n_chars", F.when(changed, F.char_length("text")).otherwise(F.col("n_chars")).cast(
-        docs.schema["n_chars"].dataType)).select(*docs.columns)
+    spans = "_spans"
+    while spans in docs.columns:  # a name that documents don't have
+        spans += "_"
+    masked = secrets.redact(secrets.find_secrets(docs, out=spans), spans=spans)
+    if "n_chars" in docs.columns:
+        length = F.when(F.size(spans) > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+        masked = masked.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
+    return masked.select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
