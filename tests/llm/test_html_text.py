@@ -71,6 +71,27 @@ def test_faults_and_edges():
     assert html_text.main_text("<div>" * 3000 + "deep" + "</div>" * 10) == "deep"
 
 
+def test_time_is_linear_in_unclosed_and_stray_tags():
+    import time
+    start = time.perf_counter()
+    for unclosed in ("<div>", "<b>", "<article><div>", '<div class="ad">', "<a><p>"):
+        assert html_text.main_text((unclosed + "some text here ") * 50_000)
+    html_text.main_text("<div>" * 50_000 + "x</span>" * 50_000)
+    assert time.perf_counter() - start < 60
+
+
+def test_nothing_is_looked_for_in_a_few_open_elements_only():
+    deep = "<b>" * 20
+    prose = "".join(f"<p>{P.format(i)}</p>" for i in range(6))
+    # a paragraph under many open elements ends where the next block begins, and a link's text counts under them
+    assert html_text.main_text(f"<article>{prose}<p>{deep}one<div>two</div></article>").split("\n")[-2:] == ["one", "two"]
+    menu = "".join(f'<li><a href="#">{deep}Part {i}{"</b>" * 20}</a></li>' for i in range(4))
+    assert "Part" not in html_text.main_text(f"<article>{prose}<ul>{menu}</ul></article>")
+    titles = [f"Something of the length of a title, part {i}" for i in range(5)]
+    reading = "".join(f'<li><a href="#">{t}</a></li>' for t in titles)
+    assert html_text.main_text(f"<article>{prose}<ul>{reading}</ul></article>").split("\n")[-5:] == titles
+
+
 def test_frames(spark):
     rows = [(1, None, None, "t"), (2, "u", "<p>a</p>", None), (2, "u", "<p>a</p>", None), (None, "", "", "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

@@ -101,4 +101,5 @@ SQL: dict[str, str] = {
     "op8_quality_rules": quality_rules.SQL,
     "op9_mixing": mixing.SQL,
     "op11_vector_codes": vector_codes.SQL,
+    "op12_suffix_dedup": suffix_dedup.SQL,
 }

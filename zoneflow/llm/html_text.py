@@ -39,8 +39,8 @@ ROOTS = frozenset(["article", "main"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Smoothing: standard deviation and radius in lines. Share of the content's letters that a region must hold.
 SIGMA, RADIUS, HOLDS = 1.0, 2, 0.5
-#: Lines of links alone that in a row make a menu.
-MENU = 3
+#: Lines of links alone that in a row make a menu, and their letters on average at most.
+MENU, MENU_LETTERS = 3, 20
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 #: A tag that the page's end cuts off.
 CUT = re.compile(r"<[/!?a-zA-Z][^<>]*\Z")
@@ -58,22 +58,40 @@ def hinted(attributes: list[tuple[str, str | None]], inside: bool) -> bool:
     return False
 
 
+class Element:
+    """An open element, with what it inherits: whether it lies in a part that never holds article text, in a heading, in a link, in an
+    article; ``hint``: the innermost hinted element up from it. Kind 2 never holds article text, kind 1 is hinted not to."""
+
+    __slots__ = ("tag", "number", "parent", "kind", "never", "heading", "link", "root", "hint")
+
+    def __init__(self, tag: str, number: int, parent: Element | None, kind: int = 0):
+        self.tag, self.number, self.kind = tag, number, kind
+        self.parent = self if parent is None else parent
+        up = self.parent if parent is not None else None
+        self.never = kind == 2 or up is not None and up.never
+        self.heading = tag in HEADINGS or up is not None and up.heading
+        self.link = tag == "a" or up is not None and up.link
+        self.root = tag in ROOTS or up is not None and up.root
+        self.hint = self if kind == 1 else up.hint if up is not None else None
+
+
 class Line:
-    __slots__ = ("text", "tags", "links", "path", "heading", "never", "hints")
+    __slots__ = ("text", "tags", "links", "at")
 
-    def __init__(self, text: str, tags: int, links: int, path: tuple, heading: bool, never: bool, hints: tuple):
-        self.text, self.tags, self.links, self.path = text, tags, links, path
-        self.heading, self.never, self.hints = heading, never, hints
+    def __init__(self, text: str, tags: int, links: int, at: Element):
+        self.text, self.tags, self.links, self.at = text, tags, links, at
 
 
 class Lines(HTMLParser):
-    """Collects the lines of one page. Open elements are (tag, number, kind): kind 2 never holds article text, kind 1 is
-    hinted not to, 0 is any other."""
+    """Collects the lines of one page, each with the innermost element that is open at its end. Elements are numbered
+    in page order, so a parent's number is less than its children's, and sums over parts take one pass over all elements."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, int]] = []
-        self.count, self.lines, self.names = 0, [], {}
+        self.top = Element("", 0, None)
+        self.open: list[Element] = [self.top]
+        self.elements, self.lines = [self.top], []
+        self.depth: dict[str, int] = {}  # open elements by tag
         self.wrapping: set[int] = set()  # hinted elements that hold an article
         self.parts: list[str] = []
         self.tags = self.links = 0
@@ -81,72 +99,104 @@ class Lines(HTMLParser):
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split()) if self.parts else ""
         if text:
-            open_ = self.open
-            self.lines.append(Line(text, self.tags, self.links, tuple(n for _, n, _ in open_),
-                                   any(t in HEADINGS for t, _, _ in open_), any(k == 2 for _, _, k in open_),
-                                   tuple(n for _, n, k in open_ if k == 1)))
+            self.lines.append(Line(text, self.tags, self.links, self.open[-1]))
             self.tags = 0
         self.parts, self.links = [], 0
 
+    def close_from(self, i: int) -> None:
+        for x in self.open[i:]:
+            self.depth[x.tag] -= 1
+        del self.open[i:]
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCKS:
             self.flush()
-            if tag != "p" or any(t == "p" for t, _, _ in self.open[-8:]):
-                self.end_paragraph()
+            self.end_paragraph()
         elif tag == "br":
             self.parts.append(" ")
         self.tags += 1
         if tag in VOID:
             return
-        inside = any(t in ROOTS for t, _, _ in self.open)
-        if tag in ROOTS:  # an article in an unclosed menu is still an article
-            while self.open and any(k == 2 for _, _, k in self.open) and not inside:
-                self.open.pop()
-        self.count += 1
+        inside = self.open[-1].root
+        if tag in ROOTS and not inside:  # an article in an unclosed menu is still an article
+            i = len(self.open)
+            while self.open[i - 1].never:
+                i -= 1
+            self.close_from(i)
         kind = 0
         if tag in NEVER or tag == "header" and not inside:
             kind = 2
         elif tag not in ("html", "body", "main") and attrs and hinted(attrs, inside or tag == "article"):
             kind = 1
         if tag in ROOTS and not kind:
-            self.wrapping.update(n for _, n, k in self.open if k == 1)
-        self.names[self.count] = "div" if kind and tag in ROOTS else tag
-        self.open.append((tag, self.count, kind))
+            hint = self.open[-1].hint
+            while hint is not None and hint.number not in self.wrapping:
+                self.wrapping.add(hint.number)
+                hint = hint.parent.hint
+        element = Element(tag, len(self.elements), self.open[-1], kind)
+        self.elements.append(element)
+        self.open.append(element)
+        self.depth[tag] = self.depth.get(tag, 0) + 1
 
     def end_paragraph(self) -> None:
         """A block ends an open paragraph (and what is open in it), but not one outside of a table cell or list."""
-        for i in range(len(self.open) - 1, -1, -1):
-            tag = self.open[i][0]
+        if not self.depth.get("p"):
+            return
+        for i in range(len(self.open) - 1, 0, -1):
+            tag = self.open[i].tag
             if tag == "p":
-                del self.open[i:]
+                self.close_from(i)
                 return
             if tag in BLOCKS:
                 return
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
-        if tag in VOID:
-            self.handle_starttag(tag, attrs)
-        else:
-            self.handle_starttag(tag, attrs)
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCKS:
             self.flush()
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                del self.open[i:]
+        if not self.depth.get(tag):
+            return
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i].tag == tag:
+                self.close_from(i)
                 return
-            if self.open[i][0] in ROOTS and tag not in ("body", "html", "article", "main"):
+            if self.open[i].tag in ROOTS and tag not in ("body", "html", "article", "main"):
                 return  # a stray end tag does not leave the article
 
     def handle_data(self, data: str) -> None:
-        if self.open and self.open[-1][0] in ("script", "style"):
+        if self.open[-1].tag in ("script", "style"):
             return
         self.parts.append(data)
-        if any(t == "a" for t, _, _ in self.open[-4:]):
+        if self.open[-1].link:
             self.links += len(data.strip())
 
+    def sums(self, lines: list[Line]) -> list[int]:
+        """Letters of these lines by the number of each element that holds them."""
+        out = [0] * len(self.elements)
+        for x in lines:
+            out[x.at.number] += len(x.text)
+        for e in reversed(self.elements[1:]):
+            out[e.parent.number] += out[e.number]
+        return out
+
+    def ends(self) -> list[int]:
+        """By number, the last element inside each one: what it holds are the numbers from its own to that."""
+        out = list(range(len(self.elements)))
+        for e in reversed(self.elements[1:]):
+            out[e.parent.number] = max(out[e.parent.number], out[e.number])
+        return out
+
+    def under(self, roots: set[int]) -> list[bool]:
+        """By number, whether an element is one of ``roots`` or lies in one."""
+        out = [False] * len(self.elements)
+        for e in self.elements:
+            out[e.number] = e.number in roots or out[e.parent.number]
+        return out
+
 
 def smooth(ratios: np.ndarray) -> np.ndarray:
     """Gaussian smoothing; weights beyond either end are left out."""
@@ -187,55 +237,53 @@ def main_text(html: str | None) -> str:
     page.feed(CUT.sub("", html))
     page.close()
     page.flush()
-    lines = [x for x in page.lines if not x.never]
+    lines = [x for x in page.lines if not x.at.never]
     whole = sum(len(x.text) for x in lines)
-    held: dict[int, int] = {}
-    for x in lines:
-        for h in x.hints:
-            held[h] = held.get(h, 0) + len(x.text)
+    held = page.sums(lines)
     # a hint on what holds an article and most of the text, or almost all of it, is of the page's layout
-    believed = {h for h, n in held.items() if 2 * n <= whole or 10 * n <= 9 * whole and h not in page.wrapping}
+    believed = {e.number for e in page.elements if e.kind == 1 and (
+        2 * held[e.number] <= whole or 10 * held[e.number] <= 9 * whole and e.number not in page.wrapping)}
+    apart = page.under(believed)
     marks = content(page.lines) if page.lines else np.zeros(0, bool)
-    rows = [(x, m) for x, m in zip(page.lines, marks, strict=True) if not x.never and not any(h in believed for h in x.hints)]
+    rows = [(x, m) for x, m in zip(page.lines, marks, strict=True) if not x.at.never and not apart[x.at.number]]
     if not rows:
         return ""
     if not any(m for _, m in rows):
         rows = [(x, True) for x, _ in rows]
-    mass: dict[int, int] = {}
-    for x, m in rows:
-        if m:
-            for n in x.path:
-                mass[n] = mass.get(n, 0) + len(x.text)
-    total = sum(len(x.text) for x, m in rows if m)
-    roots = [n for n, v in mass.items() if page.names[n] in ROOTS and v >= HOLDS * total]
+    mass, ends = page.sums([x for x, m in rows if m]), page.ends()
+    total = mass[0]
+    # a hinted article is a part like any other (a reader's comment)
+    roots = [e.number for e in page.elements if e.tag in ROOTS and not e.kind and mass[e.number] and mass[e.number] >= HOLDS * total]
     if roots:
         region = min(roots, key=lambda n: (-mass[n], n))
-        for inner in sorted(roots):  # an article in the main part that holds nearly all of it
-            if 5 * mass[inner] >= 4 * mass[region] and any(region in x.path and inner in x.path for x, _ in rows) and inner > region:
-                region = inner
-        kept = [x for x, _ in rows if region in x.path]
+        for n in sorted(roots):  # an article in the main part that holds nearly all of it
+            if 5 * mass[n] >= 4 * mass[region] and region < n <= ends[region]:
+                region = n
+        kept = [x for x, _ in rows if region <= x.at.number <= ends[region]]
     else:
-        regions = [n for n, v in mass.items() if v >= 0.9 * total and page.names[n] in BLOCKS]
-        if regions and page.names[max(regions)] not in HEADINGS | {"p", "li"}:
-            kept = [(x, m) for x, m in rows if max(regions) in x.path]
-        else:
-            kept = rows
+        regions = [e.number for e in page.elements[1:] if mass[e.number] >= 0.9 * total and (e.tag in BLOCKS or e.kind and e.tag in ROOTS)]
+        kept = rows
+        if regions and page.elements[max(regions)].tag not in HEADINGS | {"p", "li"}:
+            region = max(regions)
+            kept = [(x, m) for x, m in rows if region <= x.at.number <= ends[region]]
         first = next(i for i, (_, m) in enumerate(kept) if m)
         last = max(i for i, (_, m) in enumerate(kept) if m)
-        while first and kept[first - 1][0].heading:
+        while first and kept[first - 1][0].at.heading:
             first -= 1
         kept = [x for x, _ in kept[first:last + 1]]
     return "\n".join(x.text for x in without_menus(kept))
 
 
 def without_menus(lines: list[Line]) -> list[Line]:
-    """The lines but for runs of ``MENU`` and more, in one element, that are links alone."""
+    """The lines but for runs of ``MENU`` and more, in one element, that are links alone and short ones: a list of things to read
+    has titles, which are longer."""
     out: list[Line] = []
     run: list[Line] = []
     for x in [*lines, None]:
-        link = x is not None and not x.heading and 10 * x.links >= 9 * len(x.text)
-        if run and not (link and x.path[:-1] == run[0].path[:-1]):
-            out += run if len(run) < MENU else []
+        link = x is not None and not x.at.heading and 10 * x.links >= 9 * len(x.text)
+        if run and not (link and x.at.parent is run[0].at.parent):
+            letters = sum(len(y.text) for y in run)
+            out += run if len(run) < MENU or letters > MENU_LETTERS * len(run) else []
             run = []
         if link:
             run.append(x)

@@ -368,3 +368,25 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     whole = texts.select("block", "row", carried("key", kind).alias("held"), "data")
     rows = whole.groupBy("block").cogroup(side.groupBy("block")).applyInPandas(of, columns)
     return rows.select(F.col("held").cast(kind).alias(key), *names[1:])
+
+
+#: DuckDB: the same result over documents by numbering all windows that are equal (texts as hex, two letters a byte).
+SQL = r"""
+WITH d AS (
+  SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+windows AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS i FROM d WHERE length(h) >= 200) x),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS n FROM windows) x WHERE n > 1),
+parted AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS fresh FROM later),
+spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM parted) x GROUP BY doc_id, g),
+cut AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS after FROM spans),
+kept AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, string_agg(substr(h, 2 * after + 1, 2 * (a - after)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS k
+  FROM cut JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
