@@ -75,6 +75,32 @@ def test_edges(spark):
     assert {r.lang_pred for r in language.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_null_and_long_texts_take_no_places_of_the_sample(spark):
+    keys = [i for i in range(1, 400) if zlib.crc32(str(i).encode()) % 5]
+    rng = random.Random(6)
+    say = lambda words, n: " ".join(rng.choice(words) for _ in range(n))
+    fr, es, de = ["le", "chat", "et", "chien", "dans"], ["el", "gato", "y", "perro", "donde"], ["der", "hund", "und", "katze", "wo"]
+    rows = [(k, None, "fr") for k in keys[:100]] + [(k, say(fr, 8_000), "fr") for k in keys[100:150]]  # null or long alone, or
+    rows += [(k, say(fr, 20), "fr") for k in keys[150:155]] + [(k, say(es, 20), "es") for k in keys[160:200]]  # a few others
+    rows += [(k, say(de, 9_000), "de") for k in keys[200:240]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = language.learn(docs, per_language=5)
+    assert model.languages == ["de", "es", "fr"]
+    texts = [say(w, 30).encode() for w in (de, es, fr)]
+    assert language.code_lengths(model, texts).argmin(axis=1).tolist() == [0, 1, 2]
+
+
+def test_chosen_rows_are_those_of_the_smallest_hashes(spark):
+    rows = spark.range(30_000).select(F.col("id").alias("key"), F.when(F.col("id") % 100 == 0, "a").otherwise("b").alias("lang"),
+                                      (F.col("id") % 7 == 0).alias("long"))
+    got = sorted(tuple(r) for r in language.chosen_rows(rows, 50).collect())
+    mark = F.xxhash64(F.col("key").cast("string"))
+    want = []
+    for name in "ab":
+        want += [(r.key, name) for r in rows.where(F.col("lang") == name).orderBy("long", mark).limit(50).collect()]
+    assert got == sorted(want)
+
+
 def test_held_out_accuracy_of_the_query(spark):
     sf = "/root/testdata/sf0.1"
     got = catalog.QUERIES["op2_language"](spark, sf)

@@ -17,12 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from zoneflow.llm.common import held_out, sample_texts, small_batches
+from zoneflow.llm.common import held_out, small_batches
 from zoneflow.llm.shingles import chunks
 
 #: Bounds of the training sample: texts of a language, texts in all, bytes of a text.
 PER_LANGUAGE, SAMPLE, TEXT_BYTES = 400, 20_000, 20_000
-#: Longest context; bytes told apart (the rarer ones count as one); observations that make a context; table entries.
+#: Longest context; bytes told apart (the rarer ones count as one); observations that make a context; table entries of all
+#: languages together (15,625 contexts with four languages; more languages share them, the commonest contexts first).
 ORDER, SYMBOLS, LEAST, ENTRIES = 3, 128, 4, 8_000_000
 #: Bytes scored at once.
 CHUNK = 500_000
@@ -63,7 +64,7 @@ def train(texts: dict[str, list[bytes]]) -> Model:
     """A model of the texts of each language."""
     languages = sorted(texts)
     if not languages:
-        return Model([], np.zeros(256, np.uint8), np.zeros(1, np.int32), np.zeros((1, 0), np.float16))
+        return Model([], np.zeros(256, np.uint8), np.zeros(1, np.int32), np.zeros((1, 0), np.float32))
     counts = np.zeros(256, np.int64)
     for t in texts.values():
         for x in t:
@@ -133,7 +134,7 @@ def train(texts: dict[str, list[bytes]]) -> Model:
         view = deepest.reshape(-1, span)
         view[:, contexts] = numbers - len(contexts) + np.arange(len(contexts), dtype=np.int32)
     table = np.concatenate(probabilities)
-    return Model(languages, symbol, deepest, -np.log(np.maximum(table, 1e-12)).reshape(-1, size).astype(np.float16))
+    return Model(languages, symbol, deepest, -np.log(np.maximum(table, 1e-12)).reshape(-1, size).astype(np.float32))
 
 
 def deepest_of(levels: tuple | None, contexts: np.ndarray) -> np.ndarray:
@@ -171,15 +172,36 @@ def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
     return out
 
 
+def chosen_rows(rows: DataFrame, per_language: int) -> DataFrame:
+    """(key, lang) of at most ``per_language`` rows (key, lang, long) of each language, by the hash of the key; long texts come last.
+
+    A bound on the hash that leaves about four times as many rows of a language comes before they are ordered, so no task
+    receives many rows of a language, however many there are."""
+    sizes = rows.groupBy("lang", "long").agg(F.count(F.lit(1)).alias("n"))
+    mark = F.xxhash64(F.col("key").cast("string"))
+    place = (mark.cast("double") + 2.0**63) / 2.0**64
+    few = rows.join(sizes, ["lang", "long"]).where(place * F.col("n") <= 4 * per_language + 100)
+    order = Window.partitionBy("lang").orderBy("long", mark, "key")
+    return few.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language).select("key", "lang").distinct()
+
+
 def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
     """A model of the languages in ``lang``, from at most ``per_language`` texts of each (``SAMPLE`` in all) that are not
-    held out; texts are chosen by the hash of their key."""
-    rows = docs.where(~held_out(key) & F.col(lang).isNotNull() & F.col(key).isNotNull()).select(key, F.col(lang).alias("_lang"))
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64(F.col(key).cast("string")), key)
-    chosen = rows.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_language).drop("_rank")
+    held out; texts are chosen by the hash of their key among those that are not null.
+
+    Texts of more than ``TEXT_BYTES`` bytes are learnt from only where a language has too few others, and then from that many bytes of
+    their middle. With several languages on one key the first by name counts, with several texts the smallest."""
+    rows = docs.where(~held_out(key) & F.col(lang).isNotNull() & F.col(key).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(key).alias("key"), F.col(lang).alias("lang"), (F.octet_length(text) > TEXT_BYTES).alias("long"))
+    chosen = chosen_rows(rows, per_language).groupBy("key").agg(F.min("lang").alias("lang"))
+    chosen = F.broadcast(chosen.orderBy(F.xxhash64(F.col("key").cast("string")), "key").limit(SAMPLE))  # SAMPLE rows at most
+    middle = F.substring(F.col("text"), (F.char_length("text") / 2 - TEXT_BYTES / 8).cast("int"), F.lit(TEXT_BYTES // 4))
+    cut = F.when(F.octet_length("text") > TEXT_BYTES, middle).otherwise(F.col("text"))
+    found = (docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
+             .select("key", cut.alias("text")).join(chosen, "key").groupBy("key", "lang").agg(F.min("text").alias("text")))
     texts: dict[str, list[bytes]] = {}
-    for _, t, language in sample_texts(docs, chosen, SAMPLE, TEXT_BYTES, key, text):
-        texts.setdefault(language, []).append(as_bytes(t))
+    for r in sorted(found.collect(), key=lambda r: r.key):
+        texts.setdefault(r.lang, []).append(as_bytes(r.text))
     return train(texts)
 
 
@@ -187,14 +209,13 @@ def predictor(docs: DataFrame, model: Model):
     """A function from a text column to struct<lang_pred, score>, for use on ``docs``."""
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(model)  # at most ENTRIES code lengths of two bytes and SYMBOLS**ORDER numbers
+    shared = spark.sparkContext.broadcast(model)  # at most ENTRIES code lengths of four bytes and SYMBOLS**ORDER numbers
     held: dict[str, Model] = {}
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
         if not held:
-            m = shared.value
-            held["model"] = Model(m.languages, m.symbol, m.deepest, m.lengths.astype(np.float32))
+            held["model"] = shared.value
         m = held["model"]
         lettered = np.array([bool(m.languages) and has_letter(t) for t in texts], bool)
         names, scores = np.full(len(texts), UNDETERMINED, object), np.zeros(len(texts))
