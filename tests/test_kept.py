@@ -326,6 +326,38 @@ def test_silent_zones_leave_the_state_and_may_return(spark, scratch):
     assert seen[-1] == ("zone 3", 30, 3.0)  # an older reading does not replace a newer one
 
 
+def test_zones_share_state_rows(spark, scratch):
+    seen, hour = [], dt.timedelta(hours=1)
+
+    def start(stream, checkpoint):
+        rows = KS.expiring_latest(stream, "2 hours", "10 minutes", buckets=4).select(
+            "norm_zone", "aqi_reading.aqi", "traffic_reading.congestion_pct", "aqi_reading.aqi_kafka_offset")
+        return ST.apply_trigger(rows.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(
+            lambda batch, i: seen.extend(tuple(r) for r in batch.collect()))).start()
+
+    def held(query):
+        return [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]][-1]
+
+    def state_zones():
+        state = spark.read.format("statestore").load(os.path.join(scratch, "ckpt"))
+        return sorted(z for r in state.collect() for z in json.loads(r.value.groupState.zones))
+
+    rows = [m for i in range(40) for m in readings(f"Zone {i}", T0, 10 * i, i)]
+    assert held(feed(spark, scratch, rows + rows[:30], start)) == 4  # forty zones, some messages twice: four rows
+    assert sorted(seen) == sorted((f"zone {i}", i, 10.0, 10 * i) for i in range(40))
+    seen.clear()
+    early = [m for i in range(0, 40, 2) for m in readings(f"Zone {i}", T0 + hour, 500 + 10 * i, 100 + i)]
+    feed(spark, scratch, early + readings("Zone 1", T0 + 3 * hour, 999, 7)[:1], start)
+    assert sorted(seen) == sorted([("zone 1", 7, None, 999)] + [(f"zone {i}", 100 + i, 10.0, 500 + 10 * i) for i in range(0, 40, 2)])
+    seen.clear()
+    # the odd zones fell silent, but their buckets hold zones that did not
+    assert state_zones() == sorted(["zone 1", *[f"zone {i}" for i in range(0, 40, 2)]])
+    feed(spark, scratch, readings("Zone 3", T0 + 3 * hour, 1100, 30)[:1] + readings("Zone 2", T0 + 2.9 * hour, 1110, 31)[:1], start)
+    assert sorted(seen) == [("zone 2", 31, 10.0, 1110), ("zone 3", 30, None, 1100)]
+    last = feed(spark, scratch, readings("Zone 2", T0 + 9 * hour, 1200, 32), start)
+    assert held(last) == 1 and state_zones() == ["zone 2"]
+
+
 def test_expiring_stream_writes_documents(spark, scratch):
     sink = DocumentSink(os.path.join(scratch, "docs"))
     feed(spark, scratch, readings("Kothrud", T0, 1, 250) + readings("Aundh", T0, 11)[:2],

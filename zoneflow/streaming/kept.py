@@ -9,6 +9,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -37,39 +38,49 @@ def event_time(time: str = "kafka_time") -> Column:
 # --- state that ends ----------------------------------------------------------------------------
 
 _FIELDS = ("payload string", "micros bigint", "kafka_partition int", "kafka_offset bigint")
-_STATE = ", ".join(f"{S.FEED_PREFIX[t]}_{f}" for t in S.TOPICS for f in _FIELDS)
+_NEWEST = ", ".join(f"{S.FEED_PREFIX[t]}_{f}" for t in S.TOPICS for f in _FIELDS)
+_NO_PARTITION, _NO_OFFSET = -(2**31), -(2**63)  # stand for null, which comes first in Spark's order
+STATE_BUCKETS = 4096
 
 
 def _merge_newest(ttl_micros: int) -> Callable:
-    width = len(_FIELDS)
+    """Merges the messages of one bucket of zones into its state: a JSON object of the zones' newest message (payload, micros,
+    partition, offset) of each feed. A call costs milliseconds, so it takes many zones; a message costs a step of a plain loop."""
+    columns = ["norm_zone", "topic", "json_payload", "micros", "kafka_partition", "kafka_offset"]
+    out_columns = ["norm_zone", *[f.split()[0] for f in _NEWEST.split(", ")]]
+    place, nothing = {t: i for i, t in enumerate(S.TOPICS)}, (None,) * len(_FIELDS)
+
+    def expiry(newest: list) -> int:
+        return (max(n[1] for n in newest if n) + ttl_micros) // 1000
 
     def merge(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        zones = json.loads(state.get[0]) if state.exists else {}
+        touched = {}
+        for batch in batches if not state.hasTimedOut else ():
+            for zone, topic, *message in zip(*(batch[c].tolist() for c in columns), strict=True):
+                newest = touched[zone] = zones.setdefault(zone, [None] * len(S.TOPICS))
+                old = newest[place[topic]]
+                if old is None or message[1:] > old[1:]:
+                    newest[place[topic]] = message
+        for newest in touched.values():
+            oldest = max(n[1] for n in newest if n) - ttl_micros
+            newest[:] = [n if n and n[1] >= oldest else None for n in newest]
+        watermark = state.getCurrentWatermarkMs()
+        ends = {zone: expiry(newest) for zone, newest in zones.items()}
+        alive = {zone: newest for zone, newest in zones.items() if ends[zone] + 1 >= watermark}
+        if alive:
+            state.update((json.dumps(alive, ensure_ascii=False, separators=(",", ":")),))
+            state.setTimeoutTimestamp(max(min(ends[zone] for zone in alive), watermark) + 1)
+        else:
             state.remove()
-            return
-        kept = state.get if state.exists else (None,) * (width * len(S.TOPICS))
-        newest = [kept[i * width : (i + 1) * width] for i in range(len(S.TOPICS))]
-        for batch in batches:
-            for i, topic in enumerate(S.TOPICS):
-                mine = batch[batch["topic"] == topic]
-                if len(mine):
-                    row = mine.sort_values(["micros", "kafka_partition", "kafka_offset"]).iloc[-1]
-                    row = (row["json_payload"], int(row["micros"]), int(row["kafka_partition"]), int(row["kafka_offset"]))
-                    if newest[i][1] is None or row[1:] > tuple(newest[i][1:]):
-                        newest[i] = row
-        last = max((n[1] for n in newest if n[1] is not None), default=None)
-        if last is None:
-            return
-        flat = [x for n in newest for x in (n if n[1] is not None and n[1] >= last - ttl_micros else (None,) * width)]
-        state.update(tuple(flat))
-        state.setTimeoutTimestamp(max((last + ttl_micros) // 1000, state.getCurrentWatermarkMs()) + 1)
-        out = pd.DataFrame([[key[0], *flat]], columns=["norm_zone", *[f.split()[0] for f in _STATE.split(", ")]], dtype=object)
-        yield out
+        if touched:
+            yield pd.DataFrame([[zone, *[x for n in newest for x in n or nothing]] for zone, newest in touched.items()],
+                               columns=out_columns, dtype=object)
 
     return merge
 
 
-def expiring_latest(message_stream: DataFrame, ttl: str, delay: str) -> DataFrame:
+def expiring_latest(message_stream: DataFrame, ttl: str, delay: str, buckets: int = STATE_BUCKETS) -> DataFrame:
     """STR-04 with an end: per zone and trigger with messages, the newest reading of each feed (``<feed>_reading``, as
     ``latest.latest_readings`` gives them), but none that is more than ``ttl`` (such as ``2 days``) older than the zone's
     newest message. Runs in update mode.
@@ -77,21 +88,27 @@ def expiring_latest(message_stream: DataFrame, ttl: str, delay: str) -> DataFram
     A zone's state goes when the watermark (``delay`` behind the newest message of all) is ``ttl`` past its newest message, so the
     state holds the zones that are alive, however many there ever were. A zone that returns begins anew; as older readings would not
     count any more, the rows are the same whenever the state is dropped. Messages behind the watermark are dropped.
+
+    Zones share state rows by a hash into ``buckets``, so a trigger makes at most so many calls of the merge function, however many
+    zones it has; a bucket's state row holds its live zones. A checkpoint keeps the ``buckets`` that it began with.
     """
     micros = F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, kafka_time)")
     keyed = (message_columns(message_stream).withColumn("norm_zone", P.zone_of_payload())
              .filter(L.has_zone() & F.col("topic").isin(*S.TOPICS) & F.col("kafka_time").isNotNull())
-             .select("norm_zone", "topic", "json_payload", micros.alias("micros"), "kafka_partition", "kafka_offset",
+             .select(F.pmod(F.xxhash64("norm_zone"), F.lit(buckets)).alias("bucket"), "norm_zone", "topic", "json_payload",
+                     micros.alias("micros"), F.coalesce("kafka_partition", F.lit(_NO_PARTITION)).alias("kafka_partition"),
+                     F.coalesce("kafka_offset", F.lit(_NO_OFFSET)).alias("kafka_offset"),
                      event_time().alias("event_time")).withWatermark("event_time", delay))
     seconds = int(tick_length(ttl) / dt.timedelta(seconds=1))
-    rows = keyed.groupBy("norm_zone").applyInPandasWithState(
-        _merge_newest(seconds * 1_000_000), f"norm_zone string, {_STATE}", _STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    rows = keyed.groupBy("bucket").applyInPandasWithState(
+        _merge_newest(seconds * 1_000_000), f"norm_zone string, {_NEWEST}", "zones string", "update", GroupStateTimeout.EventTimeTimeout)
     raw = []
     for t in S.TOPICS:
         p = S.FEED_PREFIX[t]
         message = F.struct(F.col(f"{p}_payload").alias("json_payload"),
                            F.expr(f"timestampadd(MICROSECOND, {p}_micros, {_EPOCH})").alias("kafka_time"),
-                           F.col(f"{p}_kafka_partition").alias("kafka_partition"), F.col(f"{p}_kafka_offset").alias("kafka_offset"))
+                           F.nullif(f"{p}_kafka_partition", F.lit(_NO_PARTITION)).alias("kafka_partition"),
+                           F.nullif(f"{p}_kafka_offset", F.lit(_NO_OFFSET)).alias("kafka_offset"))
         raw.append(F.when(F.col(f"{p}_micros").isNotNull(), message).alias(f"_raw_{p}"))
     return P.parse_newest(rows.select("norm_zone", *raw), ("norm_zone",))
 
